@@ -93,19 +93,51 @@ ACTION_COUNT_COLUMNS = {
 # ----------------------------------------------------------------------------
 
 
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def case_sql(ref: str, table: Mapping[str, str], default: str = UNKNOWN) -> str:
+    """``CASE ref WHEN code THEN label ... ELSE default END`` as SQL text."""
+    whens = " ".join(f"WHEN {_sql_str(k)} THEN {_sql_str(v)}" for k, v in table.items())
+    return f"CASE {ref} {whens} ELSE {_sql_str(default)} END"
+
+
 def decode(c: str | Column, table: Mapping[str, str], default: str = UNKNOWN) -> Column:
-    """Map a code column to its label; unknown codes and nulls give ``default``."""
-    code = as_col(c)
+    """Map a code column to its label; unknown codes and nulls give ``default``.
+
+    A column *name* is decoded with one SQL ``CASE`` expression (a single call
+    into the JVM while planning); a ``Column`` gets the equivalent ``when`` chain.
+    Both analyse to the same expression.
+    """
+    if isinstance(c, str):
+        return F.expr(case_sql(_ident(c), table, default))
     expr = None
     for key, label in table.items():
-        cond = code == F.lit(key)
+        cond = c == F.lit(key)
         expr = F.when(cond, label) if expr is None else expr.when(cond, label)
     return expr.otherwise(default)
 
 
-def decode_array(c: str | Column, table: Mapping[str, str], default: str = UNKNOWN) -> Column:
+def decode_array(c: str, table: Mapping[str, str], default: str = UNKNOWN) -> Column:
     """Decode every element of an array column (a null array stays null)."""
-    return F.transform(as_col(c), lambda x: decode(x, table, default))
+    return F.expr(f"transform({_ident(c)}, x -> {case_sql('x', table, default)})")
+
+
+def _bin_conditions(ref, bins, ge, lt, both):
+    for lower, upper, label in bins:
+        if lower is None and upper is None:
+            raise ValueError("a bin needs at least one bound")
+        if lower is None:
+            yield lt(ref, upper), label
+        elif upper is None:
+            yield ge(ref, lower), label
+        else:
+            yield both(ge(ref, lower), lt(ref, upper)), label
 
 
 def bin_by(
@@ -113,17 +145,20 @@ def bin_by(
     bins: Sequence[tuple[float | None, float | None, str]] = AGE_BINS,
     default: str = UNKNOWN,
 ) -> Column:
-    """Label a numeric column by half-open ``[lower, upper)`` bins."""
-    value = as_col(c)
+    """Label a numeric column by half-open ``[lower, upper)`` bins (null -> ``default``).
+
+    Like ``decode``: one SQL ``CASE`` for a column name, a ``when`` chain for a Column.
+    """
+    if isinstance(c, str):
+        conds = _bin_conditions(
+            _ident(c), bins,
+            lambda r, v: f"{r} >= {v!r}", lambda r, v: f"{r} < {v!r}", lambda a, b: f"{a} AND {b}",
+        )
+        whens = " ".join(f"WHEN {cond} THEN {_sql_str(label)}" for cond, label in conds)
+        return F.expr(f"CASE {whens} ELSE {_sql_str(default)} END")
     expr = None
-    for lower, upper, label in bins:
-        cond = None
-        if lower is not None:
-            cond = value >= F.lit(lower)
-        if upper is not None:
-            upper_cond = value < F.lit(upper)
-            cond = upper_cond if cond is None else cond & upper_cond
-        if cond is None:
-            raise ValueError("a bin needs at least one bound")
+    for cond, label in _bin_conditions(
+        c, bins, lambda r, v: r >= F.lit(v), lambda r, v: r < F.lit(v), lambda a, b: a & b
+    ):
         expr = F.when(cond, label) if expr is None else expr.when(cond, label)
     return expr.otherwise(default)

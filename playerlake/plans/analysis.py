@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from playerlake.functions.codes import ACTION_COUNT_COLUMNS
 from playerlake.functions.parse import safe_ratio
+from playerlake.operators.aggregates import count_unique_key
 from playerlake.operators.correlation import correlation_matrix
 
 ESTABLISHED_AFTER_DAYS = 15
@@ -175,10 +176,11 @@ def revenue_by_item(purchases: DataFrame) -> DataFrame:
     )
 
 
-def transactions_by_payment(purchases: DataFrame) -> DataFrame:
+def transactions_by_payment(purchases: DataFrame, unique_ids: bool = True) -> DataFrame:
+    """Transactions per payment method (TransactionID is unique in the gold table)."""
     return (
         purchases.groupBy("PaymentMethod")
-        .agg(F.count_distinct("TransactionID").alias("Transactions"))
+        .agg(count_unique_key("TransactionID", unique_ids).alias("Transactions"))
         .select("Transactions", "PaymentMethod")
     )
 

@@ -15,6 +15,14 @@ Plan notes (what keeps these cheap at scale):
   per task, and the join then runs at player grain instead of session x action
   grain. Grouping by PlayerID and then joining the distinct (PlayerID, Country)
   pairs gives exactly the rows of join-then-group-by (PlayerID, Country).
+* SessionID and TransactionID are unique keys of the denormalised tables (the
+  silver dedup keeps one row per id, and the join to players is many-to-one),
+  so their "distinct" counts are plain counts, combined map-side. Pass
+  ``unique_ids=False`` for inputs where they may repeat.
+* Distinct session days and platforms of one player come from small domains
+  (the calendar, the platform codes): they are counted from a per-player set
+  instead of the ``Expand``-based distinct rewrite, which would shuffle several
+  copies of every session row.
 
 ``as_of`` pins "today" for AccountAgeDays and IsActive; it defaults to
 ``current_date()`` like a live job, tests pass a fixed date.
@@ -29,6 +37,7 @@ from pyspark.sql import functions as F
 
 from playerlake.functions.codes import ACTION_COUNT_COLUMNS
 from playerlake.functions.parse import as_date_col, safe_ratio
+from playerlake.operators.aggregates import count_distinct_small, count_unique_key
 from playerlake.operators.argmax import priority_argmax
 
 ACTIVE_WITHIN_DAYS = 15
@@ -55,7 +64,7 @@ def players_purchases(purchases: DataFrame, players: DataFrame) -> DataFrame:
     )
 
 
-def daily_session_metrics(info: DataFrame) -> DataFrame:
+def daily_session_metrics(info: DataFrame, unique_ids: bool = True) -> DataFrame:
     """Per (SessionDate, Country): players, sessions, minutes and age statistics.
 
     Age statistics are session-weighted (over session rows, not players).
@@ -67,7 +76,7 @@ def daily_session_metrics(info: DataFrame) -> DataFrame:
         info.groupBy("SessionDate", "Country")
         .agg(
             F.count_distinct("PlayerID").alias("UniquePlayers"),
-            F.count_distinct("SessionID").alias("UniqueSessions"),
+            count_unique_key("SessionID", unique_ids).alias("UniqueSessions"),
             F.sum("SessionTimeLength").alias("TotalDailySessionLength"),
             F.avg("Age").alias("AvgPlayerAge"),
             F.median("Age").alias("MedianPlayerAge"),
@@ -81,10 +90,10 @@ def daily_session_metrics(info: DataFrame) -> DataFrame:
     )
 
 
-def daily_purchase_metrics(purchases: DataFrame) -> DataFrame:
+def daily_purchase_metrics(purchases: DataFrame, unique_ids: bool = True) -> DataFrame:
     """Per (SessionDate, Country) of payment: transactions and revenue."""
     return purchases.groupBy("SessionDate", "Country").agg(
-        F.count_distinct("TransactionID").alias("UniqueTransactions"),
+        count_unique_key("TransactionID", unique_ids).alias("UniqueTransactions"),
         F.sum("ItemPrice").alias("TotalDailyRevenue"),
         F.avg("ItemPrice").alias("AverageDailyItemPrice"),
     )
@@ -130,39 +139,40 @@ def actions_summary(game_logs: DataFrame, players: DataFrame) -> DataFrame:
     )
 
 
-def player_activity(info: DataFrame, as_of: AsOf = None) -> DataFrame:
+def player_activity(info: DataFrame, as_of: AsOf = None, unique_ids: bool = True) -> DataFrame:
     """Per (PlayerID, Country): session counts, play time, recency and platforms."""
     today = as_date_col(as_of)
     last_login = F.max("LoginTime")
+    sessions = count_unique_key("SessionID", unique_ids)
     return info.groupBy("PlayerID", "Country").agg(
-        F.count_distinct("SessionID").alias("TotalSessions"),
+        sessions.alias("TotalSessions"),
         F.avg("SessionTimeLength").alias("AvgSessionLengthMinutes"),
         F.sum("SessionTimeLength").alias("TotalPlayTimeMinutes"),
         last_login.alias("LastLoginDate"),
-        safe_ratio(F.count_distinct("SessionID"), F.count_distinct("SessionDate")).alias(
-            "AvgSessionsPerDay"
-        ),
+        safe_ratio(sessions, count_distinct_small("SessionDate")).alias("AvgSessionsPerDay"),
         F.date_diff(today, F.min("AccountCreationDate")).alias("AccountAgeDays"),
         F.mode("Platform", deterministic=True).alias("PrimaryPlatform"),
-        F.count_distinct("Platform").alias("PlatformDiversity"),
+        count_distinct_small("Platform").alias("PlatformDiversity"),
         F.coalesce(F.date_diff(today, last_login) <= ACTIVE_WITHIN_DAYS, F.lit(False)).alias(
             "IsActive"
         ),
     )
 
 
-def player_engagement(info: DataFrame, action_summary: DataFrame, as_of: AsOf = None) -> DataFrame:
+def player_engagement(
+    info: DataFrame, action_summary: DataFrame, as_of: AsOf = None, unique_ids: bool = True
+) -> DataFrame:
     """Activity aggregates joined with the action summary on (PlayerID, Country)."""
-    return player_activity(info, as_of).join(
+    return player_activity(info, as_of, unique_ids).join(
         action_summary, on=["PlayerID", "Country"], how="inner"
     )
 
 
-def player_spend(purchases: DataFrame) -> DataFrame:
+def player_spend(purchases: DataFrame, unique_ids: bool = True) -> DataFrame:
     """Per (PlayerID, Country): spend, purchase count and first/last payment."""
     return purchases.groupBy("PlayerID", "Country").agg(
         F.sum("ItemPrice").alias("TotalSpent"),
-        F.count_distinct("TransactionID").alias("NumPurchases"),
+        count_unique_key("TransactionID", unique_ids).alias("NumPurchases"),
         F.avg("ItemPrice").alias("AvgPurchaseValue"),
         F.min("PaymentTimestamp").alias("FirstPurchaseDate"),
         F.max("PaymentTimestamp").alias("LastPurchaseDate"),

@@ -11,6 +11,7 @@ fresh folder under the shared checkpoint root and streamed into a bronze table.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,52 +41,63 @@ def _bronze(source: str, table: str) -> Query:
     return build
 
 
-def silver_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    configure(spark)
-    return {
-        "game_logs": silver.clean_game_logs(adapter.game_logs(spark, sf_dir)),
-        "players": silver.clean_players(adapter.players(spark, sf_dir)),
-        "purchases": silver.clean_purchases(adapter.purchases(spark, sf_dir)),
-    }
+class Layers:
+    """The lazily built layers of one query over one driver data set.
 
+    Each layer is planned once and shared by everything built on it, so the
+    driver does the (eager) analysis once and identical subtrees let Spark
+    reuse one exchange where a plan reads the same layer twice.
+    """
 
-def _info(spark, sf_dir):
-    s = silver_frames(spark, sf_dir)
-    return gold.players_info(s["game_logs"], s["players"])
-
-
-def _paid(spark, sf_dir):
-    s = silver_frames(spark, sf_dir)
-    return gold.players_purchases(s["purchases"], s["players"])
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        configure(spark)
+        self.spark, self.sf_dir = spark, sf_dir
 
+    @cached_property
+    def game_logs(self) -> DataFrame:
+        return silver.clean_game_logs(adapter.game_logs(self.spark, self.sf_dir))
 
-def _daily(spark, sf_dir):
-    return gold.daily_metrics(
-        gold.daily_session_metrics(_info(spark, sf_dir)),
-        gold.daily_purchase_metrics(_paid(spark, sf_dir)),
-    )
+    @cached_property
+    def players(self) -> DataFrame:
+        return silver.clean_players(adapter.players(self.spark, self.sf_dir))
 
+    @cached_property
+    def purchases(self) -> DataFrame:
+        return silver.clean_purchases(adapter.purchases(self.spark, self.sf_dir))
 
-def _actions_summary(spark, sf_dir):
-    s = silver_frames(spark, sf_dir)
-    return gold.actions_summary(s["game_logs"], s["players"])
+    @cached_property
+    def info(self) -> DataFrame:
+        return gold.players_info(self.game_logs, self.players)
 
+    @cached_property
+    def paid(self) -> DataFrame:
+        return gold.players_purchases(self.purchases, self.players)
 
-def _engagement(spark, sf_dir):
-    return gold.player_engagement(_info(spark, sf_dir), _actions_summary(spark, sf_dir), AS_OF)
+    @cached_property
+    def daily(self) -> DataFrame:
+        return gold.daily_metrics(
+            gold.daily_session_metrics(self.info), gold.daily_purchase_metrics(self.paid)
+        )
 
+    @cached_property
+    def actions_summary(self) -> DataFrame:
+        return gold.actions_summary(self.game_logs, self.players)
 
-def _summary(spark, sf_dir):
-    return gold.player_summary(_engagement(spark, sf_dir), gold.player_spend(_paid(spark, sf_dir)))
+    @cached_property
+    def engagement(self) -> DataFrame:
+        return gold.player_engagement(self.info, self.actions_summary, AS_OF)
 
+    @cached_property
+    def spend(self) -> DataFrame:
+        return gold.player_spend(self.paid)
 
-def _players(spark, sf_dir):
-    return silver_frames(spark, sf_dir)["players"]
+    @cached_property
+    def summary(self) -> DataFrame:
+        return gold.player_summary(self.engagement, self.spend)
 
 
-def _actions_exploded(spark, sf_dir):
-    s = silver_frames(spark, sf_dir)
-    return gold.actions_exploded(s["game_logs"], s["players"])
+def _on(build: Callable[[Layers], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(Layers(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
@@ -94,37 +106,35 @@ QUERIES: dict[str, Query] = {
     "bronze_players": _bronze("player_profiles", "bronze_players"),
     "bronze_purchases": _bronze("purchases", "bronze_purchases"),
     # silver
-    "silver_game_logs": lambda spark, d: silver_frames(spark, d)["game_logs"],
-    "silver_players": _players,
-    "silver_purchases": lambda spark, d: silver_frames(spark, d)["purchases"],
+    "silver_game_logs": _on(lambda L: L.game_logs),
+    "silver_players": _on(lambda L: L.players),
+    "silver_purchases": _on(lambda L: L.purchases),
     # gold and its intermediate steps
-    "gold_players_info": _info,
-    "gold_players_purchases": _paid,
-    "daily_session_metrics": lambda spark, d: gold.daily_session_metrics(_info(spark, d)),
-    "daily_purchase_metrics": lambda spark, d: gold.daily_purchase_metrics(_paid(spark, d)),
-    "gold_daily_metrics": _daily,
-    "actions_exploded": _actions_exploded,
-    "actions_summary": _actions_summary,
-    "player_engagement": _engagement,
-    "player_spend": lambda spark, d: gold.player_spend(_paid(spark, d)),
-    "gold_player_summary": _summary,
+    "gold_players_info": _on(lambda L: L.info),
+    "gold_players_purchases": _on(lambda L: L.paid),
+    "daily_session_metrics": _on(lambda L: gold.daily_session_metrics(L.info)),
+    "daily_purchase_metrics": _on(lambda L: gold.daily_purchase_metrics(L.paid)),
+    "gold_daily_metrics": _on(lambda L: L.daily),
+    "actions_exploded": _on(lambda L: gold.actions_exploded(L.game_logs, L.players)),
+    "actions_summary": _on(lambda L: L.actions_summary),
+    "player_engagement": _on(lambda L: L.engagement),
+    "player_spend": _on(lambda L: L.spend),
+    "gold_player_summary": _on(lambda L: L.summary),
     # analysis
-    "q_total_players": lambda spark, d: analysis.total_players(_players(spark, d)),
-    "q_active_players": lambda spark, d: analysis.active_players(_summary(spark, d)),
-    "q_new_players": lambda spark, d: analysis.new_players(_summary(spark, d)),
-    "q_players_by_country": lambda spark, d: analysis.players_by_country(_players(spark, d)),
-    "q_hours_by_action": lambda spark, d: analysis.hours_by_action(_summary(spark, d)),
-    "q_hours_by_platform": lambda spark, d: analysis.hours_by_platform(_summary(spark, d)),
-    "q_sessions_by_weekday": lambda spark, d: analysis.sessions_by_weekday(_info(spark, d)),
-    "q_players_by_age_gender": lambda spark, d: analysis.players_by_age_gender(_info(spark, d)),
-    "q_retention": lambda spark, d: analysis.retention(_summary(spark, d)),
-    "q_feature_mix": lambda spark, d: analysis.feature_mix(_summary(spark, d)),
-    "q_revenue_by_month": lambda spark, d: analysis.revenue_by_month(_paid(spark, d)),
-    "q_engagement_spend": lambda spark, d: analysis.engagement_spend(_summary(spark, d)),
-    "q_revenue_by_item": lambda spark, d: analysis.revenue_by_item(_paid(spark, d)),
-    "q_transactions_by_payment": lambda spark, d: analysis.transactions_by_payment(_paid(spark, d)),
-    "q_daily_totals": lambda spark, d: analysis.daily_totals(_daily(spark, d)),
-    "engagement_spend_correlation": lambda spark, d: analysis.engagement_spend_correlation(
-        _summary(spark, d)
-    ),
+    "q_total_players": _on(lambda L: analysis.total_players(L.players)),
+    "q_active_players": _on(lambda L: analysis.active_players(L.summary)),
+    "q_new_players": _on(lambda L: analysis.new_players(L.summary)),
+    "q_players_by_country": _on(lambda L: analysis.players_by_country(L.players)),
+    "q_hours_by_action": _on(lambda L: analysis.hours_by_action(L.summary)),
+    "q_hours_by_platform": _on(lambda L: analysis.hours_by_platform(L.summary)),
+    "q_sessions_by_weekday": _on(lambda L: analysis.sessions_by_weekday(L.info)),
+    "q_players_by_age_gender": _on(lambda L: analysis.players_by_age_gender(L.info)),
+    "q_retention": _on(lambda L: analysis.retention(L.summary)),
+    "q_feature_mix": _on(lambda L: analysis.feature_mix(L.summary)),
+    "q_revenue_by_month": _on(lambda L: analysis.revenue_by_month(L.paid)),
+    "q_engagement_spend": _on(lambda L: analysis.engagement_spend(L.summary)),
+    "q_revenue_by_item": _on(lambda L: analysis.revenue_by_item(L.paid)),
+    "q_transactions_by_payment": _on(lambda L: analysis.transactions_by_payment(L.paid)),
+    "q_daily_totals": _on(lambda L: analysis.daily_totals(L.daily)),
+    "engagement_spend_correlation": _on(lambda L: analysis.engagement_spend_correlation(L.summary)),
 }

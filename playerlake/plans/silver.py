@@ -81,15 +81,14 @@ def clean_game_logs(bronze: DataFrame) -> DataFrame:
 def clean_players(bronze: DataFrame) -> DataFrame:
     """One row per PlayerID; Age int, AgeBin label, AccountCreationDate date."""
     raw = keep_first(_renamed(bronze, PLAYER_NAMES), "PlayerID")
-    age = parse_int("Age")
-    return raw.select(
+    typed = raw.select(
         "PlayerID",
         "Country",
-        age.alias("Age"),
+        parse_int("Age").alias("Age"),
         parse_date("AccountCreationDate").alias("AccountCreationDate"),
         decode("Gender", GENDERS).alias("Gender"),
-        bin_by(age).alias("AgeBin"),
     )
+    return typed.withColumn("AgeBin", bin_by("Age"))
 
 
 def clean_purchases(bronze: DataFrame) -> DataFrame:

@@ -28,6 +28,21 @@ PURCHASES_SPREAD_SECONDS = 2_592_000
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-distribute a fact scan that has fewer splits than the cluster has cores.
+
+    The driver files are single-row-group parquet, so their scan is one task
+    and every narrow step after it (the string building here, the map-side
+    half of the silver dedup) would run on one core. At scale a scan has far
+    more splits than cores and this is a no-op.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def _padded_id(prefix: str, number, width: int):
     return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
 
@@ -50,8 +65,9 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def game_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``bronze_game_logs`` shape from events (``k`` = the integer in ``props``)."""
-    events = read_driver_table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "value", "props"
+    events = _spread(
+        read_driver_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props"),
+        "event_id",
     )
     k = F.regexp_extract("props", "[0-9]+", 0).try_cast("bigint")
     event_id = F.col("event_id")
@@ -74,8 +90,11 @@ def game_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``bronze_purchases`` shape from lineitem x orders (duplicate ids occur)."""
-    lineitem = read_driver_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice"
+    lineitem = _spread(
+        read_driver_table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice"
+        ),
+        "l_orderkey",
     )
     orders = read_driver_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     orderkey, line = F.col("l_orderkey"), F.col("l_linenumber")
