@@ -37,6 +37,13 @@ SCALE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
 }
 
+# Driver-side only: do not record the Python call site of every DataFrame API
+# call in the JVM (several extra Py4J round trips per call while planning).
+# Error messages lose the Python line, results are unchanged.
+PLANNING_CONF = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def build_session(
     master: str | None = None,
@@ -53,7 +60,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = {**SEMANTIC_CONF, **SCALE_CONF, "spark.ui.enabled": "false"}
+    conf = {**SEMANTIC_CONF, **SCALE_CONF, **PLANNING_CONF, "spark.ui.enabled": "false"}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -104,6 +111,7 @@ def local_path(path: str) -> str:
 __all__ = [
     "SEMANTIC_CONF",
     "SCALE_CONF",
+    "PLANNING_CONF",
     "build_session",
     "configure",
     "checkpoint_root",

@@ -11,10 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_FORMAT = "parquet"
 
+# Scans of the read-only driver tables, per session: listing the files and
+# reading the parquet footers for the schema is done once, not once per query.
+# Only the (lazy) scan plan is kept; no data is cached.
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
 
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table (``{sf_dir}/{name}.parquet``); columns are pruned lazily."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    scan = _SCANS.get(key)
+    if scan is None or scan.sparkSession is not spark:
+        scan = _SCANS[key] = spark.read.parquet(path)
+    return scan
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
