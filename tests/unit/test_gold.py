@@ -1,0 +1,152 @@
+"""Gold tables: joins, aggregates, favourite action, activity (FIXTURES §2)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from playerlake.plans import gold
+
+AS_OF = dt.date(2025, 3, 31)
+
+LOGS = "PlayerID string, SessionID string, LoginTime timestamp, LogoutTime timestamp, " \
+       "Actions array<string>, Platform string, SessionTimeLength double"
+PLAYERS = "PlayerID string, Country string, Age int, AccountCreationDate date, Gender string, AgeBin string"
+PURCHASES = "TransactionID string, PlayerID string, Item string, ItemPrice double, " \
+            "PaymentMethod string, Timestamp timestamp"
+
+
+def ts(day, hour=10):
+    return dt.datetime(2025, 3, day, hour, 0, 0)
+
+
+def _frames(spark, logs, players, purchases):
+    return (spark.createDataFrame(logs, LOGS), spark.createDataFrame(players, PLAYERS),
+            spark.createDataFrame(purchases, PURCHASES))
+
+
+@pytest.fixture()
+def small(spark):
+    players = [
+        ("P1", "US", 30, dt.date(2025, 1, 1), "Male", "25-34"),
+        ("P2", "BR", 20, dt.date(2025, 3, 20), "Female", "15-24"),   # new: 11 days
+        ("P3", "US", 40, dt.date(2025, 1, 1), "Male", "35-44"),      # never buys
+        ("P4", None, 50, dt.date(2025, 1, 1), "Male", "45-54"),      # null country
+    ]
+    actions_tie = ["0"] * 0 + ["PvP Battle"] * 5 + ["Dungeon Raid"] * 5 + ["Crafting"]
+    logs = [
+        ("P1", "S1", ts(16), ts(16, 11), actions_tie, "Mobile", 60.0),          # 15 days before as_of
+        ("P2", "S2", ts(15), ts(15, 11), ["Unknown", "Unknown"], "Mobile", 60.0),  # 16 days before
+        ("P2", "S3", ts(15, 12), ts(15, 13), [], "Personal Computer", 60.0),
+        ("P3", "S4", ts(20), ts(20, 11), ["Trading"], "Mobile", 60.0),
+        ("P4", "S5", ts(20), ts(20, 11), ["Trading"], "Mobile", 60.0),
+        ("P9", "S6", ts(20), ts(20, 11), ["Trading"], "Mobile", 60.0),           # unknown player
+    ]
+    purchases = [
+        ("T1", "P1", "Mount Egg", 10.0, "PayPal", ts(16)),
+        ("T2", "P2", "Mount Egg", 5.5, "PayPal", ts(1)),
+        ("T3", "P4", "Mount Egg", 1.0, "PayPal", ts(20)),
+    ]
+    return _frames(spark, logs, players, purchases)
+
+
+def test_players_info_inner_join_and_session_date(spark, small):
+    logs, players, _ = small
+    info = gold.players_info(logs, players)
+    assert sorted(r.SessionID for r in info.collect()) == ["S1", "S2", "S3", "S4", "S5"]
+    assert info.columns == [
+        "PlayerID", "SessionID", "LoginTime", "LogoutTime", "Actions", "Platform",
+        "SessionTimeLength", "Country", "Age", "AccountCreationDate", "Gender", "AgeBin",
+        "SessionDate",
+    ]
+
+
+def test_players_purchases_columns(spark, small):
+    _, players, purchases = small
+    paid = gold.players_purchases(purchases, players)
+    assert paid.columns == [
+        "PlayerID", "TransactionID", "Item", "ItemPrice", "PaymentMethod", "PaymentTimestamp",
+        "Country", "Age", "AccountCreationDate", "Gender", "AgeBin", "SessionDate",
+    ]
+    assert {r.SessionDate for r in paid.collect()} == {dt.date(2025, 3, 16), dt.date(2025, 3, 1),
+                                                       dt.date(2025, 3, 20)}
+
+
+def test_actions_summary_ties_unknowns_and_empty(spark, small):
+    logs, players, _ = small
+    out = {r.PlayerID: r for r in gold.actions_summary(logs, players).collect()}
+    assert out["P1"].PvP_Battle_Count == 5 and out["P1"].Dungeon_Raid_Count == 5
+    assert out["P1"].FavoriteAction == "PvP Battle"  # tie: priority order
+    assert out["P2"].PvP_Battle_Count == 0 and out["P2"].FavoriteAction == "PvP Battle"  # only unknowns
+    assert out["P4"].Country is None  # distinct (PlayerID, Country) keeps a null country
+    assert "P9" not in out
+
+
+def test_actions_summary_equals_join_then_explode(spark, small):
+    from pyspark.sql import functions as F
+
+    logs, players, _ = small
+    exploded = gold.actions_exploded(logs, players)
+    reference = exploded.groupBy("PlayerID", "Country").agg(
+        *[F.sum(F.when(F.col("Action") == label, 1).otherwise(0)).alias(name)
+          for label, name in gold.ACTION_COUNT_COLUMNS.items()]
+    )
+    ours = gold.actions_summary(logs, players).drop("FavoriteAction")
+    assert sorted(ours.collect()) == sorted(reference.select(ours.columns).collect())
+
+
+def test_activity_flags_and_ages(spark, small):
+    logs, players, _ = small
+    info = gold.players_info(logs, players)
+    out = {r.PlayerID: r for r in gold.player_activity(info, AS_OF).collect()}
+    assert out["P1"].IsActive is True       # last login 15 days before as_of
+    assert out["P2"].IsActive is False      # 16 days before
+    assert out["P2"].AccountAgeDays == 11
+    assert out["P2"].TotalSessions == 2 and out["P2"].AvgSessionsPerDay == 2.0
+    assert out["P2"].PlatformDiversity == 2
+    assert out["P2"].PrimaryPlatform == "Mobile"  # tie 1:1, smallest value
+    exact = {r.PlayerID: r for r in gold.player_activity(info, AS_OF, unique_ids=False).collect()}
+    assert out == exact
+
+
+def test_activity_null_login_gives_inactive_and_null_ratio(spark):
+    logs, players, _ = _frames(
+        spark,
+        [("P1", "S1", None, None, ["PvP Battle"], "Mobile", None)],
+        [("P1", "US", 30, dt.date(2025, 1, 1), "Male", "25-34")],
+        [],
+    )
+    row = gold.player_activity(gold.players_info(logs, players), AS_OF).collect()[0]
+    assert row.IsActive is False and row.AvgSessionsPerDay is None and row.LastLoginDate is None
+
+
+def test_summary_keeps_only_buyers_with_actions(spark, small):
+    logs, players, purchases = small
+    built = gold.build_gold({"game_logs": logs, "players": players, "purchases": purchases}, AS_OF)
+    summary = built["gold_player_summary"]
+    assert sorted(r.PlayerID for r in summary.collect()) == ["P1", "P2"]  # P3 never buys, P4 null country
+    assert len(summary.columns) == 25
+
+
+def test_daily_metrics_stats_and_inner_join(spark, small):
+    logs, players, purchases = small
+    info = gold.players_info(logs, players)
+    paid = gold.players_purchases(purchases, players)
+    sessions = {(r.SessionDate, r.Country): r for r in gold.daily_session_metrics(info).collect()}
+    one = sessions[(dt.date(2025, 3, 16), "US")]
+    assert one.StandardDeviationPlayerAge is None  # one session
+    assert one.UniqueCountries == 1 and one.MedianPlayerAge == 30.0 and one.ModePlayerAge == 30
+    assert sessions[(dt.date(2025, 3, 20), None)].UniqueCountries == 0
+    daily = gold.daily_metrics(gold.daily_session_metrics(info), gold.daily_purchase_metrics(paid))
+    keys = {(r.SessionDate, r.Country) for r in daily.collect()}
+    assert keys == {(dt.date(2025, 3, 16), "US")}  # sessions without purchases and null country drop
+
+
+def test_mode_median_on_ties(spark):
+    logs = [(f"P{i}", f"S{i}", ts(1), ts(1, 11), ["Trading"], "Mobile", 60.0) for i in range(4)]
+    players = [(f"P{i}", "US", age, dt.date(2025, 1, 1), "Male", "x") for i, age in enumerate([3, 1, 1, 3])]
+    lg, pl, _ = _frames(spark, logs, players, [])
+    row = gold.daily_session_metrics(gold.players_info(lg, pl)).collect()[0]
+    assert row.ModePlayerAge == 1 and row.MedianPlayerAge == 2.0
+    assert row.UniquePlayers == 4 and row.UniqueSessions == 4
