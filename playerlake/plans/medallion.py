@@ -92,6 +92,18 @@ def run(
     return out
 
 
+def register_views(tables: dict[str, DataFrame]) -> list[str]:
+    """Expose every layer under its table name as a temporary view.
+
+    SQL written against the layer names (``SELECT ... FROM gold_player_summary``)
+    then runs unchanged through ``spark.sql``; the views are lazy plans over the
+    written (or in-memory) tables.
+    """
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    return sorted(tables)
+
+
 def answers(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Every analysis question over a set of silver/gold tables (lazy frames)."""
     players = tables["silver_players"]
