@@ -39,3 +39,17 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert len(df.columns) == 25 and df.count() > 0
+
+
+SPARK_TO_DUCKDB = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "array<string>": "VARCHAR[]",
+}
+
+
+@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith("bronze_")))
+def test_column_types_match_oracle(spark, con, name):
+    df = entry.queries()[name](spark, SF_SMALL)
+    rel = con.sql(entry.oracle_sql()[name])
+    oracle_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCKDB[t] for c, t in df.dtypes} == oracle_types
