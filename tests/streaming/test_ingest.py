@@ -46,3 +46,12 @@ def test_json_source_reads_numbers_as_strings(spark, scratch):
     row = read_table(spark, f"{scratch}/bronze_logs").collect()[0]
     assert result.rows == 1
     assert row._action == ["0", "3", "1"] and row._platform == "1"
+
+
+def test_bounded_micro_batches(spark, scratch):
+    landing, target, ckpt = f"{scratch}/raw_b", f"{scratch}/bronze_b", f"{scratch}/_ckpt_b"
+    for ids in ([1], [2, 3], [4]):
+        land_raw(_players(spark, ids).coalesce(1), "player_profiles", landing)
+    result = ingest_source(spark, "player_profiles", landing, target, ckpt, max_files_per_trigger=1)
+    assert (result.rows, result.batches) == (4, 3)
+    assert read_table(spark, target).count() == 4
