@@ -10,6 +10,14 @@ combines map-side before the shuffle. A key that owns a third of all rows is
 reduced to one row per map task first; no task ever holds a whole group, which a
 ``row_number()`` window would need (it sorts every row of the group in one task).
 Rows whose key is null collapse into one row, like ``dropDuplicates``.
+
+The survivor is returned whole from the winning struct, key included (the key
+is constant within a group, so this changes no value). Spark then does not
+treat the output as already partitioned by the key, and a later join on that
+key shuffles this side through the planner's own exchange. Adaptive execution
+can split a skewed partition only between two such exchanges, so a hot key on
+the other (fact) side is still split, exactly as when the dedup output is read
+back from a written table.
 """
 
 from __future__ import annotations
@@ -33,7 +41,5 @@ def keep_first(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[str]
     order = list(order_by) if order_by is not None else others
     if sorted(order) != sorted(others):
         raise ValueError("order_by must name every non-key column exactly once")
-    survivors = df.groupBy(*key_cols).agg(F.min(F.struct(*order)).alias(_WINNER))
-    return survivors.select(
-        *[F.col(c) if c in key_cols else F.col(f"{_WINNER}.{c}").alias(c) for c in df.columns]
-    )
+    survivors = df.groupBy(*key_cols).agg(F.min(F.struct(*key_cols, *order)).alias(_WINNER))
+    return survivors.select(*[F.col(f"{_WINNER}.{c}").alias(c) for c in df.columns])

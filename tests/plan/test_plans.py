@@ -57,3 +57,43 @@ def test_filters_and_columns_pushed_to_parquet(spark, scratch, layers):
     schema = [line for line in text.splitlines() if line.startswith("ReadSchema")][0]
     fields = schema.split("struct<", 1)[1].rstrip(">").split(",")
     assert sorted(fields) == ["AccountAgeDays:int", "IsActive:boolean", "PlayerID:string"]
+
+
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def test_hot_player_is_split_in_the_session_join(spark):
+    """One player owns a third of all sessions and players is too big to broadcast."""
+    from pyspark.sql import functions as F
+
+    from playerlake.plans import gold, silver
+
+    saved = {k: spark.conf.get(k) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        ids = F.col("id")
+        logs = spark.range(30000).select(
+            F.when(ids % 3 == 0, F.lit("P0")).otherwise(F.concat(F.lit("P"), (ids % 1000).cast("string"))).alias("_player_id"),
+            F.concat(F.lit("S"), ids.cast("string")).alias("_session_id"),
+            F.lit("2025-01-01T10:00:00").alias("_login"), F.lit("2025-01-01T11:00:00").alias("_logout"),
+            F.array(F.lit("1")).alias("_action"), F.lit("1").alias("_platform"))
+        players = spark.range(1000).select(
+            F.concat(F.lit("P"), ids.cast("string")).alias("plid"), F.lit("US").alias("country"),
+            F.lit("30").alias("age"), F.lit("2024-01-01").alias("acc_creat_date"), F.lit("1").alias("gender"))
+        info = gold.players_info(silver.clean_game_logs(logs), silver.clean_players(players))
+        assert info.count() == 30000
+        rows = info.collect()
+        assert len(rows) == 30000
+        final = _plan(info).split("Initial Plan")[0]
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
