@@ -12,7 +12,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from playerlake.functions.parse import as_col
 
 # --- Fixed values -----------------------------------------------------------
 # Labels of the source systems' codes. They must equal the reference's text

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from playerlake.functions.codes import ACTION_COUNT_COLUMNS
 from playerlake.operators.argmax import priority_argmax
@@ -92,4 +91,3 @@ def test_action_counts_bounded_by_array_sizes(spark, arrays):
         assert out == []
     else:
         assert sum(out[0][c] for c in COLUMNS) == known <= total_elements
-    assert F is not None
