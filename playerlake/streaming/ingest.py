@@ -24,6 +24,12 @@ from playerlake.sources.schemas import SOURCES
 
 @dataclass(frozen=True)
 class IngestResult:
+    """What one run appended: rows and non-empty micro-batches.
+
+    Taken from the query's recent progress reports, i.e. the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` batches (100 by default).
+    """
+
     target: str
     batches: int
     rows: int
@@ -65,12 +71,12 @@ def ingest(spark: SparkSession, fmt: str, source_dir: str, schema: StructType, t
     if finished is False:
         query.stop()
         raise TimeoutError(f"ingest into {target} did not finish in {timeout_seconds}s")
-    if query.exception() is not None:
-        raise RuntimeError(f"ingest into {target} failed") from None
-    progress = [p for p in query.recentProgress if p.get("numInputRows", 0) or p.get("batchId") is not None]
-    rows = sum(int(p.get("numInputRows", 0)) for p in progress)
-    batches = len({p.get("batchId") for p in progress if p.get("numInputRows", 0)})
-    return IngestResult(target=target, batches=batches, rows=rows)
+    failure = query.exception()  # awaitTermination raises on failure; double check
+    if failure is not None:
+        raise RuntimeError(f"ingest into {target} failed: {failure}")
+    loaded = [p for p in query.recentProgress if int(p.get("numInputRows", 0)) > 0]
+    rows = sum(int(p["numInputRows"]) for p in loaded)
+    return IngestResult(target=target, batches=len({p["batchId"] for p in loaded}), rows=rows)
 
 
 def ingest_source(spark: SparkSession, source: str, source_dir: str, target: str,
