@@ -30,9 +30,11 @@ class MedallionRun:
     ingested: dict[str, IngestResult] = field(default_factory=dict)
 
 
-def _table_ref(warehouse: str | None, name: str) -> str:
-    """A path under ``warehouse`` or, without one, a catalog table name."""
-    return f"{warehouse.rstrip('/')}/{name}" if warehouse else name
+def _table_ref(warehouse: str | None, name: str, database: str | None = None) -> str:
+    """A path under ``warehouse`` or, without one, a (qualified) catalog table name."""
+    if warehouse:
+        return f"{warehouse.rstrip('/')}/{name}"
+    return f"{database}.{name}" if database else name
 
 
 def run(
@@ -42,18 +44,24 @@ def run(
     warehouse: str | None = None,
     as_of: gold.AsOf = None,
     fmt: str = DEFAULT_FORMAT,
+    database: str | None = None,
 ) -> MedallionRun:
     """Ingest new raw files and rebuild silver and gold.
 
     ``raw_root`` holds one landing folder per source (``game_logs``,
     ``player_profiles``, ``purchases``). Stream checkpoints live under
-    ``checkpoint_root``, which must be shared storage on a cluster.
+    ``checkpoint_root``, which must be shared storage on a cluster. Tables are
+    folders under ``warehouse`` or, without one, catalog tables (in
+    ``database`` when given).
     """
     configure(spark)
     out = MedallionRun()
 
+    def ref(name: str) -> str:
+        return _table_ref(warehouse, name, database)
+
     for source, table in BRONZE_TABLES.items():
-        target = _table_ref(warehouse, table)
+        target = ref(table)
         out.ingested[table] = ingest_source(
             spark, source, f"{raw_root.rstrip('/')}/{source}", target,
             f"{checkpoint_root.rstrip('/')}/{source}",
@@ -67,27 +75,27 @@ def run(
     }
     for table, (clean, source_table) in cleaners.items():
         out.tables[table] = write_table(
-            clean(out.tables[source_table]), _table_ref(warehouse, table), fmt
+            clean(out.tables[source_table]), ref(table), fmt
         )
 
     logs = out.tables["silver_game_logs"]
     players = out.tables["silver_players"]
     purchases = out.tables["silver_purchases"]
 
-    info = write_table(gold.players_info(logs, players), _table_ref(warehouse, "gold_players_info"), fmt)
+    info = write_table(gold.players_info(logs, players), ref("gold_players_info"), fmt)
     paid = write_table(
-        gold.players_purchases(purchases, players), _table_ref(warehouse, "gold_players_purchases"), fmt
+        gold.players_purchases(purchases, players), ref("gold_players_purchases"), fmt
     )
     out.tables["gold_players_info"] = info
     out.tables["gold_players_purchases"] = paid
 
     daily = gold.daily_metrics(gold.daily_session_metrics(info), gold.daily_purchase_metrics(paid))
-    out.tables["gold_daily_metrics"] = write_table(daily, _table_ref(warehouse, "gold_daily_metrics"), fmt)
+    out.tables["gold_daily_metrics"] = write_table(daily, ref("gold_daily_metrics"), fmt)
 
     engagement = gold.player_engagement(info, gold.actions_summary(logs, players), as_of)
     summary = gold.player_summary(engagement, gold.player_spend(paid))
     out.tables["gold_player_summary"] = write_table(
-        summary, _table_ref(warehouse, "gold_player_summary"), fmt
+        summary, ref("gold_player_summary"), fmt
     )
     return out
 

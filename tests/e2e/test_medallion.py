@@ -103,6 +103,25 @@ def test_analyst_sql_runs_on_registered_views(spark, run):
         assert _rows(spark.sql(sql)) == _rows(answers[name]), name
 
 
+def test_catalog_tables(spark):
+    """The same run into catalog tables (streaming toTable, saveAsTable)."""
+    import uuid
+
+    from playerlake.session import scratch_dir
+
+    root = scratch_dir(spark, "e2e-catalog")
+    database = f"playerlake_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
+    for source, df in adapter.bronze_frames(spark, SF_SMALL).items():
+        land_raw(df, source, f"{root}/raw/{source}")
+    result = medallion.run(spark, f"{root}/raw", f"{root}/_checkpoints", as_of=AS_OF, database=database)
+    tables = {t.name for t in spark.catalog.listTables(database)}
+    assert {"bronze_game_logs", "silver_players", "gold_player_summary"} <= tables
+    assert _rows(spark.table(f"{database}.gold_player_summary")) == _rows(
+        QUERIES["gold_player_summary"](spark, SF_SMALL))
+    assert result.ingested["bronze_purchases"].rows == 6000
+
+
 # Runs last: it overwrites the tables the module fixture points at.
 def test_rerun_ingests_nothing_new(spark, run):
     root, first = run
