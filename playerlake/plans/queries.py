@@ -96,8 +96,23 @@ class Layers:
         return gold.player_summary(self.engagement, self.spend)
 
 
+# Layer plans per (session, data set). Only lazy plans are kept, never data:
+# every query still executes from the parquet scans; what is saved is the
+# driver-side planning of the shared layers (like temporary views in a session).
+_LAYERS: dict[tuple[int, str], Layers] = {}
+
+
+def layers_for(spark: SparkSession, sf_dir: str) -> Layers:
+    key = (id(spark), sf_dir)
+    found = _LAYERS.get(key)
+    if found is None or found.spark is not spark:
+        found = _LAYERS[key] = Layers(spark, sf_dir)
+    configure(spark)
+    return found
+
+
 def _on(build: Callable[[Layers], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(Layers(spark, sf_dir))
+    return lambda spark, sf_dir: build(layers_for(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
