@@ -122,6 +122,17 @@ def test_catalog_tables(spark):
     assert result.ingested["bronze_purchases"].rows == 6000
 
 
+def test_command_line_job(spark, run, capsys):
+    from playerlake.__main__ import main
+
+    root, _ = run
+    assert main(["--raw-root", f"{root}/raw", "--warehouse", f"{root}/cli-lake", "--as-of", "2024-02-14"]) == 0
+    out = capsys.readouterr().out
+    assert "bronze_game_logs: 1000 new rows" in out
+    summary = spark.read.parquet(f"{root}/cli-lake/gold_player_summary")
+    assert _rows(summary) == _rows(QUERIES["gold_player_summary"](spark, SF_SMALL))
+
+
 # Runs last: it overwrites the tables the module fixture points at.
 def test_rerun_ingests_nothing_new(spark, run):
     root, first = run
