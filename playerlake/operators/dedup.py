@@ -5,7 +5,7 @@ result can change between runs and even between a task and its retry after an
 executor loss. Here the survivor is fixed: the smallest row in a total order over
 the other columns (frame order, ascending, nulls first).
 
-The plan is ``groupBy(key).agg(min(struct(others)))``: an aggregate, so Spark
+The plan is ``groupBy(key).agg(min(struct(key, others)))``: an aggregate, so Spark
 combines map-side before the shuffle. A key that owns a third of all rows is
 reduced to one row per map task first; no task ever holds a whole group, which a
 ``row_number()`` window would need (it sorts every row of the group in one task).
