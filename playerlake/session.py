@@ -25,10 +25,20 @@ SEMANTIC_CONF = {
     "spark.sql.caseSensitive": "false",
 }
 
-SCALE_CONF = {
+# Skew handling, applied to every session that runs our plans (configure). AQE
+# splits a partition that holds a hot key between the two sides of a
+# sort-merge join. By default it gives up when the split would need one more
+# shuffle for a parent operator (a per-player aggregate right after the join):
+# that shuffle only carries partial aggregates, so forcing the split is always
+# worth it. These settings change a plan only when skew is measured at run time.
+SKEW_CONF = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+SCALE_CONF = {
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Broadcast only what AQE has measured to be small; the static estimate of a
     # filtered or aggregated side is not trusted.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
@@ -60,7 +70,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = {**SEMANTIC_CONF, **SCALE_CONF, **PLANNING_CONF, "spark.ui.enabled": "false"}
+    conf = {**SEMANTIC_CONF, **SKEW_CONF, **SCALE_CONF, **PLANNING_CONF, "spark.ui.enabled": "false"}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -72,8 +82,8 @@ def build_session(
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the semantic settings to an existing session (idempotent)."""
-    for key, value in SEMANTIC_CONF.items():
+    """Apply the semantic and skew settings to an existing session (idempotent)."""
+    for key, value in {**SEMANTIC_CONF, **SKEW_CONF}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
@@ -110,6 +120,7 @@ def local_path(path: str) -> str:
 
 __all__ = [
     "SEMANTIC_CONF",
+    "SKEW_CONF",
     "SCALE_CONF",
     "PLANNING_CONF",
     "build_session",
