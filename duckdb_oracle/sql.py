@@ -226,56 +226,54 @@ FROM player_engagement e JOIN player_spend s ON e.PlayerID = s.PlayerID AND e.Co
 
 _CTE_NAMES = [name for name, _ in _CTES]
 
-# Analysis queries (the reference's SQL, with its unaliased columns named).
+# Analysis queries. Row order is not part of the comparison, so no ORDER BY.
 _ANALYSIS: dict[str, str] = {
-    "q_total_players": "SELECT COUNT(DISTINCT PlayerID) AS Players FROM silver_players",
-    "q_active_players": "SELECT COUNT(DISTINCT PlayerID) AS ActivePlayers FROM gold_player_summary "
-                        "WHERE IsActive = TRUE AND AccountAgeDays > 15",
-    "q_new_players": "SELECT COUNT(DISTINCT PlayerID) AS NewPlayers FROM gold_player_summary "
+    "q_total_players": "SELECT count(DISTINCT PlayerID) AS Players FROM silver_players",
+    "q_active_players": "SELECT count(DISTINCT PlayerID) AS ActivePlayers FROM gold_player_summary "
+                        "WHERE IsActive AND AccountAgeDays > 15",
+    "q_new_players": "SELECT count(DISTINCT PlayerID) AS NewPlayers FROM gold_player_summary "
                      "WHERE AccountAgeDays <= 15",
     "q_players_by_country": """
-SELECT Country, COUNT(DISTINCT PlayerID) AS Players,
-       COUNT(DISTINCT PlayerID) / (SELECT COUNT(DISTINCT PlayerID) FROM silver_players) AS PercPlayers
-FROM silver_players GROUP BY Country ORDER BY Players DESC""",
+SELECT Country, Players, Players / (SELECT count(DISTINCT PlayerID) FROM silver_players) AS PercPlayers
+FROM (SELECT Country, count(DISTINCT PlayerID) AS Players FROM silver_players GROUP BY Country)""",
     "q_hours_by_action": """
-SELECT FavoriteAction, ROUND(SUM(TotalPlayTimeMinutes) / 60) AS HoursPlayed
-FROM gold_player_summary GROUP BY FavoriteAction ORDER BY HoursPlayed DESC""",
+SELECT FavoriteAction, round(sum(TotalPlayTimeMinutes) / 60) AS HoursPlayed
+FROM gold_player_summary GROUP BY 1""",
     "q_hours_by_platform": """
-SELECT PrimaryPlatform, ROUND(SUM(TotalPlayTimeMinutes) / 60) AS HoursPlayed
-FROM gold_player_summary GROUP BY PrimaryPlatform ORDER BY HoursPlayed DESC""",
+SELECT PrimaryPlatform, round(sum(TotalPlayTimeMinutes) / 60) AS HoursPlayed
+FROM gold_player_summary GROUP BY 1""",
     "q_sessions_by_weekday": """
-SELECT CAST(isodow(SessionDate) - 1 AS INTEGER) AS SessionWeekDay, COUNT(*) AS sessions,
-       ROUND(SUM(SessionTimeLength) / 60) AS TotalSessionTimeInHours
-FROM gold_players_info GROUP BY 1 ORDER BY 1""",
+SELECT CAST(isodow(SessionDate) - 1 AS INTEGER) AS SessionWeekDay, count(*) AS sessions,
+       round(sum(SessionTimeLength) / 60) AS TotalSessionTimeInHours
+FROM gold_players_info GROUP BY 1""",
     "q_players_by_age_gender": """
-SELECT COUNT(DISTINCT PlayerID) AS Players, AgeBin, Gender
-FROM gold_players_info GROUP BY AgeBin, Gender ORDER BY AgeBin, Gender""",
+SELECT count(DISTINCT PlayerID) AS Players, AgeBin, Gender FROM gold_players_info GROUP BY 2, 3""",
     "q_retention": """
-SELECT COUNT(DISTINCT PlayerID) AS Players,
-       ROUND(COUNT(DISTINCT PlayerID) /
-             (SELECT COUNT(DISTINCT PlayerID) FROM gold_player_summary WHERE AccountAgeDays > 15), 2) AS Percentage,
+SELECT Players,
+       round(Players / (SELECT count(DISTINCT PlayerID) FROM gold_player_summary WHERE AccountAgeDays > 15), 2)
+         AS Percentage,
        IsActive
-FROM gold_player_summary WHERE AccountAgeDays > 15 GROUP BY IsActive""",
+FROM (SELECT IsActive, count(DISTINCT PlayerID) AS Players
+      FROM gold_player_summary WHERE AccountAgeDays > 15 GROUP BY 1)""",
     "q_feature_mix": "SELECT *, "
     + ", ".join(f"sum_{c} / TotalActions AS perc_{c}" for _, c in ACTION_COLUMNS)
     + " FROM (SELECT *, " + " + ".join(f"sum_{c}" for _, c in ACTION_COLUMNS) + " AS TotalActions FROM ("
-    + "SELECT AVG(PlatformDiversity) AS AvgPlatformDiversity, "
-    + ", ".join(f"CAST(SUM({c}) AS BIGINT) AS sum_{c}" for _, c in ACTION_COLUMNS)
-    + " FROM (SELECT DISTINCT * FROM gold_player_summary WHERE IsActive = TRUE AND AccountAgeDays > 15)))",
+    + "SELECT avg(PlatformDiversity) AS AvgPlatformDiversity, "
+    + ", ".join(f"CAST(sum({c}) AS BIGINT) AS sum_{c}" for _, c in ACTION_COLUMNS)
+    + " FROM (SELECT DISTINCT * FROM gold_player_summary WHERE IsActive AND AccountAgeDays > 15)))",
     "q_revenue_by_month": """
-SELECT SUM(ItemPrice) AS Revenue, strftime(date_trunc('month', PaymentTimestamp), '%Y-%m-01') AS Month
-FROM gold_players_purchases GROUP BY 2 ORDER BY 2""",
+SELECT sum(ItemPrice) AS Revenue, strftime(date_trunc('month', PaymentTimestamp), '%Y-%m-01') AS Month
+FROM gold_players_purchases GROUP BY 2""",
     "q_engagement_spend": """
 SELECT PlayerID, TotalSessions, AvgSessionLengthMinutes, TotalPlayTimeMinutes, TotalSpent, AvgPurchaseValue
 FROM gold_player_summary""",
-    "q_revenue_by_item": """
-SELECT SUM(ItemPrice) AS TotalRevenue, Item FROM gold_players_purchases GROUP BY Item ORDER BY SUM(ItemPrice) DESC""",
+    "q_revenue_by_item": "SELECT sum(ItemPrice) AS TotalRevenue, Item FROM gold_players_purchases GROUP BY 2",
     "q_transactions_by_payment": """
-SELECT COUNT(DISTINCT TransactionID) AS Transactions, PaymentMethod FROM gold_players_purchases GROUP BY PaymentMethod""",
+SELECT count(DISTINCT TransactionID) AS Transactions, PaymentMethod FROM gold_players_purchases GROUP BY 2""",
     "q_daily_totals": """
-SELECT SessionDate, CAST(SUM(UniqueTransactions) AS BIGINT) AS UniqueTransactions,
-       SUM(TotalDailyRevenue) AS TotalDailyRevenue, SUM(AverageDailyItemPrice) AS AverageDailyItemPrice
-FROM gold_daily_metrics GROUP BY SessionDate ORDER BY SessionDate""",
+SELECT SessionDate, CAST(sum(UniqueTransactions) AS BIGINT) AS UniqueTransactions,
+       sum(TotalDailyRevenue) AS TotalDailyRevenue, sum(AverageDailyItemPrice) AS AverageDailyItemPrice
+FROM gold_daily_metrics GROUP BY 1""",
     "engagement_spend_correlation": " UNION ALL ".join(
         f"SELECT {_q(r)} AS RowVariable, {_q(c)} AS ColumnVariable, corr({r}, {c}) AS Correlation "
         f"FROM gold_player_summary"

@@ -44,53 +44,50 @@ def test_answers_equal_in_memory_path(spark, run):
         assert _rows(df) == _rows(QUERIES[name](spark, SF_SMALL)), name
 
 
-# Analysis SQL as an analyst writes it against the layer tables (scalar
-# subqueries, CTEs, lateral column aliases), run through spark.sql on the views.
+# The questions as an analyst would write them in SQL against the layer tables,
+# using what SQL users rely on: CTEs, scalar subqueries in expressions and
+# lateral column aliases. Run through spark.sql on the registered views.
+COUNTS = ["PvP_Battle_Count", "Dungeon_Raid_Count", "Crafting_Count", "Exploration_Count",
+          "Trading_Count", "Gathering_Count", "Questing_Story_Progression_Count",
+          "Social_Interaction_Count"]
+
 ANALYST_SQL = {
     "q_players_by_country": """
-        WITH result_1 AS (SELECT COUNT(DISTINCT PlayerID) AS Players FROM silver_players)
-        SELECT Country, COUNT(DISTINCT PlayerID) AS Players,
-               COUNT(DISTINCT PlayerID) / (SELECT Players FROM result_1) AS PercPlayers
-        FROM silver_players GROUP BY Country ORDER BY Players DESC""",
+        WITH everyone AS (SELECT count(DISTINCT PlayerID) AS n FROM silver_players)
+        SELECT Country,
+               count(DISTINCT PlayerID) AS Players,
+               count(DISTINCT PlayerID) / (SELECT n FROM everyone) AS PercPlayers
+        FROM silver_players
+        GROUP BY Country""",
     "q_retention": """
-        WITH result_1 AS (SELECT COUNT(DISTINCT PlayerID) FROM gold_player_summary WHERE AccountAgeDays > 15)
-        SELECT COUNT(DISTINCT PlayerID) AS Players,
-               ROUND(COUNT(DISTINCT PlayerID) / (SELECT * FROM result_1), 2) AS Percentage, IsActive
-        FROM gold_player_summary WHERE AccountAgeDays > 15 GROUP BY IsActive""",
+        WITH established AS (SELECT PlayerID, IsActive FROM gold_player_summary WHERE AccountAgeDays > 15)
+        SELECT count(DISTINCT PlayerID) AS Players,
+               round(count(DISTINCT PlayerID) / (SELECT count(DISTINCT PlayerID) FROM established), 2)
+                 AS Percentage,
+               IsActive
+        FROM established
+        GROUP BY IsActive""",
     "q_sessions_by_weekday": """
-        WITH sessions_weekday AS (SELECT *, weekday(SessionDate) AS SessionWeekday FROM gold_players_info)
-        SELECT SessionWeekDay, COUNT(*) AS sessions, ROUND(SUM(SessionTimeLength) / 60) AS TotalSessionTimeInHours
-        FROM sessions_weekday GROUP BY SessionWeekDay ORDER BY SessionWeekDay""",
-    "q_feature_mix": """
-        WITH active_players AS (
-          SELECT DISTINCT * FROM gold_player_summary WHERE IsActive = TRUE AND AccountAgeDays > 15),
-        summary_active_players AS (
-          SELECT AVG(PlatformDiversity) AS AvgPlatformDiversity,
-                 SUM(PvP_Battle_Count) AS sum_PvP_Battle_Count, SUM(Dungeon_Raid_Count) AS sum_Dungeon_Raid_Count,
-                 SUM(Crafting_Count) AS sum_Crafting_Count, SUM(Exploration_Count) AS sum_Exploration_Count,
-                 SUM(Trading_Count) AS sum_Trading_Count, SUM(Gathering_Count) AS sum_Gathering_Count,
-                 SUM(Questing_Story_Progression_Count) AS sum_Questing_Story_Progression_Count,
-                 SUM(Social_Interaction_Count) AS sum_Social_Interaction_Count
-          FROM active_players)
-        SELECT *,
-          sum_PvP_Battle_Count + sum_Dungeon_Raid_Count + sum_Crafting_Count + sum_Exploration_Count
-            + sum_Trading_Count + sum_Gathering_Count + sum_Questing_Story_Progression_Count
-            + sum_Social_Interaction_Count AS TotalActions,
-          sum_PvP_Battle_Count / TotalActions AS perc_PvP_Battle_Count,
-          sum_Dungeon_Raid_Count / TotalActions AS perc_Dungeon_Raid_Count,
-          sum_Crafting_Count / TotalActions AS perc_Crafting_Count,
-          sum_Exploration_Count / TotalActions AS perc_Exploration_Count,
-          sum_Trading_Count / TotalActions AS perc_Trading_Count,
-          sum_Gathering_Count / TotalActions AS perc_Gathering_Count,
-          sum_Questing_Story_Progression_Count / TotalActions AS perc_Questing_Story_Progression_Count,
-          sum_Social_Interaction_Count / TotalActions AS perc_Social_Interaction_Count
-        FROM summary_active_players""",
+        SELECT weekday(SessionDate) AS SessionWeekDay,
+               count(1) AS sessions,
+               round(sum(SessionTimeLength) / 60) AS TotalSessionTimeInHours
+        FROM gold_players_info
+        GROUP BY 1""",
+    "q_feature_mix": (
+        "WITH chosen AS (SELECT DISTINCT * FROM gold_player_summary "
+        "WHERE IsActive AND AccountAgeDays > 15), "
+        "totals AS (SELECT avg(PlatformDiversity) AS AvgPlatformDiversity, "
+        + ", ".join(f"sum({c}) AS sum_{c}" for c in COUNTS)
+        + " FROM chosen) SELECT *, "
+        + " + ".join(f"sum_{c}" for c in COUNTS) + " AS TotalActions, "
+        + ", ".join(f"sum_{c} / TotalActions AS perc_{c}" for c in COUNTS)
+        + " FROM totals"
+    ),
     "q_revenue_by_month": """
-        WITH purchases_with_months AS (
-          SELECT *, date_format(date_trunc('month', PaymentTimestamp), 'yyyy-MM-01') AS month_year
-          FROM gold_players_purchases)
-        SELECT SUM(ItemPrice) AS Revenue, month_year AS Month FROM purchases_with_months
-        GROUP BY month_year ORDER BY month_year""",
+        SELECT sum(ItemPrice) AS Revenue,
+               date_format(date_trunc('month', PaymentTimestamp), 'yyyy-MM-01') AS Month
+        FROM gold_players_purchases
+        GROUP BY 2""",
 }
 
 
