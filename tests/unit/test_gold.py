@@ -150,3 +150,32 @@ def test_mode_median_on_ties(spark):
     row = gold.daily_session_metrics(gold.players_info(lg, pl)).collect()[0]
     assert row.ModePlayerAge == 1 and row.MedianPlayerAge == 2.0
     assert row.UniquePlayers == 4 and row.UniqueSessions == 4
+
+
+def test_as_of_accepts_string_date_column_and_default(spark, small):
+    from pyspark.sql import functions as F
+
+    logs, players, _ = small
+    info = gold.players_info(logs, players)
+
+    def ages(as_of):
+        return {r.PlayerID: r.AccountAgeDays for r in gold.player_activity(info, as_of).collect()}
+
+    expected = ages(AS_OF)
+    assert ages("2025-03-31") == expected
+    assert ages(F.lit(AS_OF)) == expected
+    today = dt.date.today()
+    assert ages(None)["P1"] == (today - dt.date(2025, 1, 1)).days
+
+
+def test_exact_distinct_path_equals_key_counts_on_deduplicated_input(spark, small):
+    logs, players, purchases = small
+    info = gold.players_info(logs, players)
+    paid = gold.players_purchases(purchases, players)
+
+    def rows(df):
+        return sorted(df.collect(), key=repr)
+
+    assert rows(gold.daily_session_metrics(info)) == rows(gold.daily_session_metrics(info, unique_ids=False))
+    assert rows(gold.daily_purchase_metrics(paid)) == rows(gold.daily_purchase_metrics(paid, unique_ids=False))
+    assert rows(gold.player_spend(paid)) == rows(gold.player_spend(paid, unique_ids=False))
