@@ -26,6 +26,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--as-of", help="the 'today' of activity and account age (default: current date)")
     parser.add_argument("--format", default="parquet", help="table format (parquet, delta, ...)")
     parser.add_argument("--checkpoint-root", help="stream checkpoints (default: next to the tables)")
+    parser.add_argument("--archive-root", help="move ingested raw files here after each batch")
     parser.add_argument("--answers", action="store_true", help="print every analysis answer")
     args = parser.parse_args(argv)
 
@@ -37,6 +38,7 @@ def main(argv: list[str] | None = None) -> int:
     run = medallion.run(
         spark, args.raw_root, checkpoints,
         warehouse=args.warehouse, as_of=args.as_of, fmt=args.format, database=args.database,
+        archive_root=args.archive_root,
     )
     for table, result in run.ingested.items():
         print(f"{table}: {result.rows} new rows in {result.batches} batches")

@@ -45,6 +45,7 @@ def run(
     as_of: gold.AsOf = None,
     fmt: str = DEFAULT_FORMAT,
     database: str | None = None,
+    archive_root: str | None = None,
 ) -> MedallionRun:
     """Ingest new raw files and rebuild silver and gold.
 
@@ -52,7 +53,8 @@ def run(
     ``player_profiles``, ``purchases``). Stream checkpoints live under
     ``checkpoint_root``, which must be shared storage on a cluster. Tables are
     folders under ``warehouse`` or, without one, catalog tables (in
-    ``database`` when given).
+    ``database`` when given). With ``archive_root`` every ingested raw file is
+    moved there after its batch commits, so the landing folders stay small.
     """
     configure(spark)
     out = MedallionRun()
@@ -65,6 +67,7 @@ def run(
         out.ingested[table] = ingest_source(
             spark, source, f"{raw_root.rstrip('/')}/{source}", target,
             f"{checkpoint_root.rstrip('/')}/{source}",
+            archive_dir=f"{archive_root.rstrip('/')}/{source}" if archive_root else None,
         )
         out.tables[table] = read_table(spark, target)
 

@@ -37,25 +37,33 @@ class IngestResult:
 
 def read_stream(spark: SparkSession, fmt: str, source_dir: str, schema: StructType,
                 options: dict[str, str] | None = None,
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of a landing folder with a fixed schema (never inferred)."""
+                max_files_per_trigger: int | None = None,
+                archive_dir: str | None = None) -> DataFrame:
+    """Streaming scan of a landing folder with a fixed schema (never inferred).
+
+    ``archive_dir`` moves every file out of the landing folder once its batch is
+    committed (``cleanSource=archive``), so the folder listed on each run stays
+    small however long the feed runs.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.load(source_dir)
 
 
 def ingest(spark: SparkSession, fmt: str, source_dir: str, schema: StructType, target: str,
            checkpoint: str, options: dict[str, str] | None = None,
            sink_format: str = "parquet", max_files_per_trigger: int | None = None,
-           timeout_seconds: float | None = None) -> IngestResult:
+           timeout_seconds: float | None = None, archive_dir: str | None = None) -> IngestResult:
     """Append all new files of ``source_dir`` to ``target`` and wait for it.
 
     ``target`` is a catalog table name or, when it contains ``/``, a path.
     """
-    stream = read_stream(spark, fmt, source_dir, schema, options, max_files_per_trigger)
+    stream = read_stream(spark, fmt, source_dir, schema, options, max_files_per_trigger, archive_dir)
     writer = (
         stream.writeStream.format(sink_format)
         .outputMode("append")

@@ -55,3 +55,20 @@ def test_bounded_micro_batches(spark, scratch):
     result = ingest_source(spark, "player_profiles", landing, target, ckpt, max_files_per_trigger=1)
     assert (result.rows, result.batches) == (4, 3)
     assert read_table(spark, target).count() == 4
+
+
+def test_archive_keeps_the_landing_folder_small(spark, scratch):
+    import glob
+
+    from playerlake.session import local_path
+
+    landing, target, ckpt = f"{scratch}/raw_a", f"{scratch}/bronze_a", f"{scratch}/_ckpt_a"
+    archive = f"{scratch}/archive"
+    for ids in ([1], [2], [3]):
+        land_raw(_players(spark, ids).coalesce(1), "player_profiles", landing)
+    result = ingest_source(spark, "player_profiles", landing, target, ckpt,
+                           max_files_per_trigger=1, archive_dir=archive)
+    assert result.rows == 3 and read_table(spark, target).count() == 3
+    archived = glob.glob(local_path(archive) + "/**/*.csv", recursive=True)
+    left = glob.glob(local_path(landing) + "/*.csv")
+    assert len(archived) >= 2 and len(archived) + len(left) == 3
