@@ -1,15 +1,16 @@
 """Spark session settings the pipeline depends on.
 
-Two groups of settings matter:
-
-* *semantic* ones change results and are applied to every session that runs our
-  plans (``configure``): dates, weekdays and months are taken in UTC, ANSI mode is
-  on (bad input is handled explicitly with ``try_*`` functions), and identifiers
-  are case-insensitive as the source notebooks assume;
-* *scale* ones only change the physical plan: AQE re-plans every stage from real
-  shuffle statistics, coalesces small partitions, splits skewed join partitions and
-  turns a sort-merge join into a broadcast join only when the measured build side
-  is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+* *semantic* settings change results and are applied to every session that runs
+  our plans (``configure``): dates, weekdays and months are taken in UTC, ANSI
+  mode is on (bad input is handled explicitly with ``try_*`` functions), and
+  identifiers are case-insensitive as the source notebooks assume;
+* *skew* settings (also applied by ``configure``) let AQE split a partition that
+  holds a hot key, even under a parent aggregate; they act only on measured skew;
+* *scale* settings only change the physical plan: AQE re-plans every stage from
+  real shuffle statistics, coalesces small partitions and turns a sort-merge
+  join into a broadcast join only when the measured build side is under
+  ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
+* *planning* settings cut driver-side overhead while plans are built.
 """
 
 from __future__ import annotations
