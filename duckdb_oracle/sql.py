@@ -8,9 +8,11 @@ semantic difference, not at a shared mistake.
 
 Doubles are rounded in the final projection with the same digits the Spark
 wrapper uses (``ROUND_DIGITS``), so sums computed in a different order hash
-equal. Both sides round through ``decimal(38,10)`` (half away from zero), so an
-exact tie such as an average of cents over 32 rows rounds the same way in both
-engines. Timestamps are plain ``TIMESTAMP`` (UTC wall clock).
+equal. Both sides round through ``decimal(38, digits + 3)`` (half away from
+zero), so an exact tie such as an average of cents over 32 rows rounds the same
+way in both engines. Three guard digits absorb last-bit noise, and they keep
+``value * 10^scale`` exact in DuckDB's double-to-decimal conversion (exact
+below 2^53); a wider scale loses that for large sums. Timestamps are plain ``TIMESTAMP`` (UTC wall clock).
 """
 
 from __future__ import annotations
@@ -342,7 +344,8 @@ def _rounded(name: str, sql: str) -> str:
     if not cols:
         return sql
     repl = ", ".join(
-        f"CAST(round(TRY_CAST({c} AS DECIMAL(38,10)), {digits(c)}) AS DOUBLE) AS {c}" for c in cols
+        f"CAST(round(TRY_CAST({c} AS DECIMAL(38,{digits(c) + 3})), {digits(c)}) AS DOUBLE) AS {c}"
+        for c in cols
     )
     return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n)"
 
