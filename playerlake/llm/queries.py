@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from playerlake.llm import oracles
 from playerlake.llm.decontamination import find_contamination
+from playerlake.llm.simhash import near_duplicates
 from playerlake.session import configure
 
 
@@ -30,6 +31,16 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate group of each document."""
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(configure(spark), sf_dir)
@@ -38,5 +49,5 @@ def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
     return run
 
 
-QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination,)}
+QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op5_simhash_neardup)}
 ORACLES = oracles.SQL
