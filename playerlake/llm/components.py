@@ -11,14 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playerlake.session import scratch_dir
-
-
-def saved(df: DataFrame, purpose: str) -> DataFrame:
-    """The frame written to the shared scratch folder and read back."""
-    path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from playerlake.llm.storage import saved
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from playerlake.llm import oracles
 from playerlake.llm.decontamination import find_contamination
+from playerlake.llm.quality_rules import BASE, apply_rules
 from playerlake.llm.simhash import near_duplicates
 from playerlake.session import configure
 
@@ -31,6 +32,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts of each document and the verdict of its group's thresholds."""
+    judged = apply_rules(table(spark, sf_dir, "documents"), columns=["doc_id", "lang", "source"])
+    return judged.select("doc_id", *BASE, "base_failed", "kept")
+
+
 def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate group of each document."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
@@ -49,5 +56,5 @@ def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
     return run
 
 
-QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op5_simhash_neardup)}
+QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op2_quality_rules, op5_simhash_neardup)}
 ORACLES = oracles.SQL

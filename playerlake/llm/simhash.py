@@ -29,7 +29,8 @@ from xxhash import xxh64_intdigest
 
 from playerlake.llm.bit_slices import close_pairs
 from playerlake.llm.columns import LOWER, NOT_SPACE, bound_batches, ragged, row_slices, text_buffer, word_spans
-from playerlake.llm.components import components, saved
+from playerlake.llm.components import components
+from playerlake.llm.storage import saved
 
 SHINGLE = 4
 RADIUS = 4
