@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playerlake.llm import oracles
+from playerlake.llm import oracles, pii
 from playerlake.llm.decontamination import find_contamination
+from playerlake.llm.pii import find_pii, span_list
 from playerlake.llm.quality_rules import BASE, apply_rules
 from playerlake.llm.simhash import near_duplicates
 from playerlake.session import configure
@@ -48,6 +49,14 @@ def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in each document."""
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["kind"] < len(pii.BASE))
+    counts = [F.size(F.expr(f"filter(pii, s -> s.kind = {k})")).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.BASE)]
+    return found.select("doc_id", *counts, F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("pii")).alias("spans"))
+
+
 def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(configure(spark), sf_dir)
@@ -56,5 +65,5 @@ def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
     return run
 
 
-QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op2_quality_rules, op5_simhash_neardup)}
+QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op2_quality_rules, op5_simhash_neardup, op9_pii)}
 ORACLES = oracles.SQL
