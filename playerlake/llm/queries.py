@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playerlake.llm import oracles, pii
 from playerlake.llm.decontamination import find_contamination
 from playerlake.llm.pii import find_pii, span_list
+from playerlake.llm.piece_codec import encode
 from playerlake.llm.quality_rules import BASE, apply_rules
 from playerlake.llm.simhash import near_duplicates
+from playerlake.llm.token_counts import count_tokens
 from playerlake.session import configure
 
 
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,6 +55,25 @@ def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each document under the 32k piece model."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, public_tokenizers.path(PIECE_MODEL), keep_text=False)
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of each document under the 32k piece model, and the text they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = encode(docs, public_tokenizers.path(PIECE_MODEL), decoded=True, keep_text=False)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.coalesce(F.get("piece_ends", F.size("piece_ends") - 1), F.lit(0)).cast("long").alias("n_bytes_covered"),
+    )
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in each document."""
     found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -65,5 +90,5 @@ def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
     return run
 
 
-QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op2_quality_rules, op5_simhash_neardup, op9_pii)}
+QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op2_quality_rules, op5_simhash_neardup, op6_token_counts, op7_sentencepiece, op9_pii)}
 ORACLES = oracles.SQL
