@@ -30,4 +30,24 @@ SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coa
 FROM documents LEFT JOIN totals USING (doc_id) LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-SQL = {"op1_decontamination": OP1}
+_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_BASE32 = " || ".join(
+    f"substr('{_SYMBOLS}', 1 + ((CAST('0x' || substr(sha1(payload), {5 * chunk + 1}, 5) AS INTEGER) >> {shift}) & 31), 1)"
+    for chunk in range(8) for shift in (15, 10, 5, 0)
+)
+
+OP8 = f"""
+WITH payloads AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), digests AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, {_BASE32} AS payload_digest FROM payloads
+), newest AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM digests
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to, TRUE AS complete
+FROM newest
+"""
+
+SQL = {"op8_warc": OP8, "op1_decontamination": OP1}

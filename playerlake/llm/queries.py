@@ -15,7 +15,8 @@ from playerlake.llm.piece_codec import encode
 from playerlake.llm.quality_rules import BASE, apply_rules
 from playerlake.llm.simhash import near_duplicates
 from playerlake.llm.token_counts import count_tokens
-from playerlake.session import configure
+from playerlake.llm.warc import read_archives, write_archives
+from playerlake.session import configure, scratch_dir
 
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -74,6 +75,14 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to WARC archives (when the query is built) and read back."""
+    path = scratch_dir(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    found = read_archives(spark, path, keep_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "complete")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in each document."""
     found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -90,5 +99,5 @@ def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
     return run
 
 
-QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op2_quality_rules, op5_simhash_neardup, op6_token_counts, op7_sentencepiece, op9_pii)}
+QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op2_quality_rules, op5_simhash_neardup, op6_token_counts, op7_sentencepiece, op8_warc, op9_pii)}
 ORACLES = oracles.SQL
