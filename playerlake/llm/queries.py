@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from playerlake.llm import oracles, pii
 from playerlake.llm.decontamination import find_contamination
+from playerlake.llm.lm_scoring import score_documents
 from playerlake.llm.pii import find_pii, span_list
 from playerlake.llm.piece_codec import encode
 from playerlake.llm.quality_rules import BASE, apply_rules
@@ -46,6 +47,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *BASE, "base_failed", "kept")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and log-bilinear log-probabilities of each document."""
+    scored = score_documents(table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate group of each document."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
@@ -99,5 +106,5 @@ def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
     return run
 
 
-QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op2_quality_rules, op5_simhash_neardup, op6_token_counts, op7_sentencepiece, op8_warc, op9_pii)}
+QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op2_quality_rules, op3_lm_scoring, op5_simhash_neardup, op6_token_counts, op7_sentencepiece, op8_warc, op9_pii)}
 ORACLES = oracles.SQL

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from playerlake.session import scratch_dir
 
 
-def saved(df: DataFrame, purpose: str) -> DataFrame:
+def saved(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """The frame written to the shared scratch folder and read back: lineage ends here."""
     path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
