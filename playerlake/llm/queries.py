@@ -13,6 +13,7 @@ from playerlake.llm.decontamination import find_contamination
 from playerlake.llm.lm_scoring import score_documents
 from playerlake.llm.pii import find_pii, span_list
 from playerlake.llm.piece_codec import encode
+from playerlake.llm.quality_classifier import score_quality
 from playerlake.llm.quality_rules import BASE, apply_rules
 from playerlake.llm.simhash import near_duplicates
 from playerlake.llm.token_counts import count_tokens
@@ -53,6 +54,11 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated probability that each document is of good quality."""
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate group of each document."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
@@ -106,5 +112,5 @@ def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
     return run
 
 
-QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op2_quality_rules, op3_lm_scoring, op5_simhash_neardup, op6_token_counts, op7_sentencepiece, op8_warc, op9_pii)}
+QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op2_quality_rules, op3_lm_scoring, op4_quality_classifier, op5_simhash_neardup, op6_token_counts, op7_sentencepiece, op8_warc, op9_pii)}
 ORACLES = oracles.SQL
