@@ -13,10 +13,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Odd multiplier of the polynomial word hash (mod 2**64) and its inverse.
-HASH_BASE = 0x9E3779B97F4A7C15
-HASH_BASE_INVERSE = pow(HASH_BASE, -1, 1 << 64)
-
 SLICE_BYTES = 2 << 20
 
 #: Settings that bound one Arrow batch; applied only where the cluster set none.
@@ -88,7 +84,9 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tu
 
 
 class Hasher:
-    """Polynomial hashes of byte ranges; power tables are kept per process."""
+    """Polynomial hashes of byte ranges mod 2**64; power tables are kept per process."""
+
+    base = 0x9E3779B97F4A7C15  # odd, so that it has an inverse
 
     def __init__(self) -> None:
         self.powers = np.ones(1, np.uint64)
@@ -98,7 +96,7 @@ class Hasher:
         if len(self.powers) <= n:
             size = max(n + 1, SLICE_BYTES + 1)
             with np.errstate(over="ignore"):
-                up, down = np.full(size, HASH_BASE, np.uint64), np.full(size, HASH_BASE_INVERSE, np.uint64)
+                up, down = np.full(size, self.base, np.uint64), np.full(size, pow(self.base, -1, 1 << 64), np.uint64)
                 up[0] = down[0] = 1
                 self.powers, self.inverses = np.multiply.accumulate(up), np.multiply.accumulate(down)
 

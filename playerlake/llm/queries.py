@@ -15,6 +15,7 @@ from playerlake.llm.pii import find_pii, span_list
 from playerlake.llm.piece_codec import encode
 from playerlake.llm.quality_classifier import score_quality
 from playerlake.llm.quality_rules import BASE, apply_rules
+from playerlake.llm.repeated_substrings import repeated_spans, text_keys
 from playerlake.llm.simhash import near_duplicates
 from playerlake.llm.token_counts import count_tokens
 from playerlake.llm.warc import read_archives, write_archives
@@ -104,6 +105,21 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("pii")).alias("spans"))
 
 
+def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document that a string of 400 bytes found elsewhere covers."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    text = F.coalesce("text", F.lit(""))
+    cut = repeated_spans(docs).select("k1", "k2", "n_removed", (F.size("removed") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("cut_sha256"))
+    rows = docs.select("doc_id", *text_keys(text), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole_sha256"))
+    return rows.join(cut, ["k1", "k2"], "left").select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
+        F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"),
+    )
+
+
 def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(configure(spark), sf_dir)
@@ -112,5 +128,5 @@ def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
     return run
 
 
-QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op2_quality_rules, op3_lm_scoring, op4_quality_classifier, op5_simhash_neardup, op6_token_counts, op7_sentencepiece, op8_warc, op9_pii)}
+QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op2_quality_rules, op3_lm_scoring, op4_quality_classifier, op5_simhash_neardup, op6_token_counts, op7_sentencepiece, op8_warc, op9_pii, op10_repeated_substrings)}
 ORACLES = oracles.SQL
