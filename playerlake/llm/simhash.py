@@ -23,7 +23,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -82,10 +82,17 @@ def _set_bits(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
+def row_keys(id_: Column, text: Column) -> list[Column]:
+    """A 128-bit hash of id and text: rows that share it are equal in both."""
+    id_, text = F.coalesce(id_.cast("string"), F.lit("")), F.coalesce(text, F.lit(""))
+    return [F.xxhash64(id_, text).alias("r1"), F.xxhash64(F.lit(1), id_, text).alias("r2")]
+
+
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp): the 64-bit fingerprint of each row as a signed long."""
+    """(id, r1, r2, fp): the 64-bit fingerprint of each row as a signed long, and the ``row_keys``."""
     bound_batches(docs.sparkSession)
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    id_, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(id_.alias("id"), *row_keys(id_, text), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,9 +100,10 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             parts = [np.zeros(0, np.uint64)]
             for a, b in row_slices(offsets):
                 parts.append(_set_bits(*_shingle_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], shingle)))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.concatenate(parts).view(np.int64))], names=["id", "fp"])
+            keys = [batch.column(c) for c in ("id", "r1", "r2")]
+            yield pa.RecordBatch.from_arrays([*keys, pa.array(np.concatenate(parts).view(np.int64))], names=["id", "r1", "r2", "fp"])
 
-    return rows.mapInArrow(run, "id long, fp long")
+    return rows.mapInArrow(run, "id long, r1 long, r2 long, fp long")
 
 
 def block_choices(radius: int, blocks: int = BLOCKS) -> list[int]:
@@ -187,14 +195,24 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, til
     return rows.mapInArrow(_links(radius), "a long, b long").distinct()
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int) -> DataFrame:
+    """(id, r1, r2, fp, group) of every row; group is the smallest fingerprint of the rows linked to it."""
+    prints = saved(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle), "fingerprints")
+    nodes = saved(prints.select(F.col("fp").alias("node"), "fp").distinct(), "nodes")
+    groups = components(near_links(nodes, radius)).select(F.col("node").alias("fp"), F.col("component").alias("group"))
+    return prints.join(groups, "fp", "left").select("id", "r1", "r2", "fp", F.coalesce("group", "fp").alias("group"))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(id, fp, component) of every row; component is the smallest id of its group."""
-    prints = saved(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle), "fingerprints")
-    # one node for each fingerprint
-    nodes = saved(prints.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
-    links = near_links(nodes.select(F.col("fp").alias("node"), "fp"), radius)
-    groups = components(links)
-    named = nodes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("group"))
-    names = named.groupBy("group").agg(F.min("least").alias("component"))
-    named = named.join(names, "group").select("fp", "component")
-    return prints.join(named, "fp").select("id", "fp", "component")
+    rows = _grouped(docs, id_col, text_col, shingle, radius)
+    names = rows.groupBy("group").agg(F.min("id").alias("component"))
+    return rows.join(names, "group").select("id", "fp", "component")
+
+
+def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The row with the smallest id of each group, null ids last; of equal ids and texts one row."""
+    rows = _grouped(docs, id_col, text_col, shingle, radius)
+    best = rows.groupBy("group").agg(F.min(F.struct(F.col("id").isNull(), "id", "r1", "r2")).alias("best")).select("best.r1", "best.r2")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *row_keys(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")))
+    return keyed.join(best, ["r1", "r2"], "left_semi").groupBy("r1", "r2").agg(F.min("row").alias("row")).select("row.*")
