@@ -50,4 +50,67 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM newest
 """
 
-SQL = {"op8_warc": OP8, "op1_decontamination": OP1}
+OP2 = r"""
+WITH texts AS (
+    SELECT doc_id, lang, source, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+), grams AS (
+    SELECT doc_id, unnest(range(1, len(words) - 1)) AS i, words FROM texts WHERE len(words) >= 3
+), windows AS (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i : i + 2]) AS n FROM grams
+), repeats AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM windows, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1 GROUP BY doc_id
+), counts AS (
+    SELECT doc_id, lang, source, len(words) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+           CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+           len(lines) AS n_lines, CAST(length(regexp_replace(text, '[^\p{Lu}]+', '', 'g')) AS BIGINT) AS n_capitals,
+           CAST(length(regexp_replace(text, '[^!?]+', '', 'g')) AS BIGINT) AS n_marks
+    FROM texts LEFT JOIN repeats USING (doc_id)
+), judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
+), measures AS (
+    SELECT doc_id, lang, source, unnest([
+        {'measure': 'word_length', 'value': 1000000 * word_chars // n_words, 'spread': 250000, 'both': TRUE},
+        {'measure': 'symbols', 'value': 1000000 * n_symbols // word_chars, 'spread': 5000, 'both': FALSE},
+        {'measure': 'capitals', 'value': 1000000 * n_capitals // word_chars, 'spread': 20000, 'both': FALSE},
+        {'measure': 'marks', 'value': 1000000 * n_marks // word_chars, 'spread': 5000, 'both': FALSE},
+        {'measure': 'dup_lines', 'value': 1000000 * n_dup_lines // n_lines, 'spread': 125000, 'both': FALSE},
+        {'measure': 'repeats', 'value': 1000000 * n_repeat_words // n_words, 'spread': 100000, 'both': FALSE}], recursive := true)
+    FROM judged WHERE NOT base_failed
+), buckets AS (
+    SELECT *, 32 * greatest(length(bin(value)) - 6, 0) + (value >> greatest(length(bin(value)) - 6, 0)) AS bucket FROM measures
+), merged AS (
+    SELECT level, CASE WHEN level < 2 THEN lang END AS of_lang, CASE WHEN level < 1 THEN source END AS of_source,
+           measure, bucket, count(*) AS n, any_value(spread) AS spread, any_value("both") AS "both"
+    FROM buckets, (SELECT unnest([0, 1, 2]) AS level) GROUP BY ALL
+), ranked AS (
+    SELECT *, sum(n) OVER (PARTITION BY level, of_lang, of_source, measure) AS total,
+           sum(n) OVER (PARTITION BY level, of_lang, of_source, measure ORDER BY bucket) AS upto,
+           (bucket - 32 * greatest(bucket // 32 - 1, 0)) << greatest(bucket // 32 - 1, 0) AS value
+    FROM merged
+), quartiles AS (
+    SELECT level, of_lang, of_source, measure, max(total) AS total, any_value(spread) AS spread, any_value("both") AS "both",
+           min(value) FILTER (100 * upto >= 25 * total) AS q25, min(value) FILTER (100 * upto >= 50 * total) AS q50,
+           min(value) FILTER (100 * upto >= 75 * total) AS q75
+    FROM ranked GROUP BY ALL
+), limits AS (
+    SELECT *, CASE WHEN "both" THEN q25 - 4 * greatest(q75 - q25, q50 // 8, spread) END AS low, q75 + 4 * greatest(q75 - q25, q50 // 8, spread) AS high
+    FROM quartiles
+), inside AS (
+    SELECT doc_id, bool_and(
+        value BETWEEN coalesce(CASE WHEN a.total >= 200 THEN a.low WHEN b.total >= 200 THEN b.low ELSE c.low END, value)
+                  AND CASE WHEN a.total >= 200 THEN a.high WHEN b.total >= 200 THEN b.high ELSE c.high END) AS inside
+    FROM measures m
+    JOIN limits a ON a.level = 0 AND a.measure = m.measure AND a.of_lang IS NOT DISTINCT FROM m.lang AND a.of_source IS NOT DISTINCT FROM m.source
+    JOIN limits b ON b.level = 1 AND b.measure = m.measure AND b.of_lang IS NOT DISTINCT FROM m.lang
+    JOIN limits c ON c.level = 2 AND c.measure = m.measure
+    GROUP BY doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(inside, FALSE) AS kept
+FROM judged LEFT JOIN inside USING (doc_id)
+"""
+
+SQL = {"op2_quality_rules": OP2, "op8_warc": OP8, "op1_decontamination": OP1}
