@@ -66,14 +66,14 @@ def repeated(text: np.ndarray, starts: np.ndarray, bucket: np.ndarray) -> np.nda
 
     item = np.arange(len(starts))
     group = _ranks(_ranks(bucket.astype(np.int64), short[starts]), _ranks(short[starts + TAIL], short[starts + TAIL + MODULUS]))
-    while True:
+    while len(item):
         order = np.argsort(group, kind="stable")
         item, group = item[order], group[order]
         first = np.r_[True, group[1:] != group[:-1]]
         alone = first & np.r_[first[1:], True]
         item, group, first = item[~alone], group[~alone], first[~alone]
         if not len(item):
-            return flagged
+            break
         at = starts[item]
         where = np.flatnonzero(first)
         size = np.diff(np.r_[where, len(item)])
@@ -86,3 +86,4 @@ def repeated(text: np.ndarray, starts: np.ndarray, bucket: np.ndarray) -> np.nda
         flagged[item[equal & many]] = True
         number = np.repeat(np.arange(len(where)), size)
         item, group = item[~equal], (2 * number + (side > 0))[~equal]
+    return flagged
