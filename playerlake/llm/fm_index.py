@@ -77,7 +77,7 @@ class FMIndex:
             self.zeros.append(n - int(ones.sum()))
             last = np.r_[last[~ones], last[ones]]
         counts = np.bincount(symbols, minlength=(1 << depth) + 1)
-        self.before = np.cumsum(counts) - counts
+        self.counts, self.before = counts, np.cumsum(counts) - counts
         run_start = np.zeros(n, bool)
         run_start[0] = n > 0
         run_start[1:] = symbols[:-1] == 0
@@ -101,6 +101,10 @@ class FMIndex:
     def search(self, patterns: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row interval of each pattern. ``patterns`` is right-aligned, padded with 0 on the left."""
         low, high = np.zeros(len(patterns), np.int64), np.full(len(patterns), self.n, np.int64)
+        # a pattern with a symbol that the text lacks has no row
+        known = np.minimum(patterns, len(self.counts) - 1)
+        absent = ((patterns >= len(self.counts)) | (self.counts[known] == 0)) & (patterns > 0)
+        high[absent.any(axis=1)] = 0
         for k in range(1, patterns.shape[1] + 1):
             live = np.flatnonzero((lengths >= k) & (low < high))
             if not len(live):
