@@ -34,6 +34,8 @@ ITEMS = [
     ("9", "Treasure Map Fragment"), ("10", "Skill Tome"), ("11", "Title Scroll"),
     ("12", "Upgrade Protection Charm"), ("13", "Event Token Pack"), ("14", "Premium Dye Pack"),
 ]
+AGE_BINS = [(15, "Under 15"), (25, "15-24"), (35, "25-34"), (45, "35-44"), (55, "45-54"), (65, "55-64")]
+OLDEST = "65+"
 PAYMENT_METHODS = [("1", "Credit Card"), ("2", "PayPal"), ("3", "GiftCard")]
 ACTION_COLUMNS = [
     ("PvP Battle", "PvP_Battle_Count"), ("Dungeon Raid", "Dungeon_Raid_Count"),
@@ -75,15 +77,8 @@ def _dedup(table: str, key: str, others: list[str]) -> str:
 
 
 def _age_bin(age: str) -> str:
-    return (
-        f"CASE WHEN {age} < 15 THEN 'Under 15' "
-        f"WHEN {age} >= 15 AND {age} < 25 THEN '15-24' "
-        f"WHEN {age} >= 25 AND {age} < 35 THEN '25-34' "
-        f"WHEN {age} >= 35 AND {age} < 45 THEN '35-44' "
-        f"WHEN {age} >= 45 AND {age} < 55 THEN '45-54' "
-        f"WHEN {age} >= 55 AND {age} < 65 THEN '55-64' "
-        f"WHEN {age} >= 65 THEN '65+' ELSE 'Unknown' END"
-    )
+    whens = " ".join(f"WHEN {age} < {upper} THEN {_q(label)}" for upper, label in AGE_BINS)
+    return f"CASE {whens} WHEN {age} IS NOT NULL THEN {_q(OLDEST)} ELSE 'Unknown' END"
 
 
 def _favorite() -> str:
@@ -108,27 +103,27 @@ def _mode_smallest(source: str, keys: list[str], value: str, alias: str) -> str:
 # Layer CTEs, each as (name, sql). Later ones refer to earlier ones by name.
 _CTES: list[tuple[str, str]] = [
     ("bronze_players", """
-SELECT 'P'||lpad(CAST(c_custkey AS VARCHAR),6,'0') AS plid, n_name AS country,
+SELECT 'P'||lpad(CAST(c_custkey AS VARCHAR),CAST(greatest(6,length(CAST(c_custkey AS VARCHAR))) AS INT),'0') AS plid, n_name AS country,
        CAST(8+(c_custkey*7)%65 AS VARCHAR) AS age,
        strftime(DATE '2024-02-14' - CAST((c_custkey*13)%400 AS INT),'%Y-%m-%d') AS acc_creat_date,
        CAST(c_custkey%4 AS VARCHAR) AS gender
 FROM customer JOIN nation ON c_nationkey = n_nationkey"""),
     ("bronze_game_logs", """
-SELECT 'P'||lpad(CAST(user_id AS VARCHAR),6,'0') AS _player_id,
-       'S'||lpad(CAST(event_id AS VARCHAR),7,'0') AS _session_id,
+SELECT 'P'||lpad(CAST(user_id AS VARCHAR),CAST(greatest(6,length(CAST(user_id AS VARCHAR))) AS INT),'0') AS _player_id,
+       'S'||lpad(CAST(event_id AS VARCHAR),CAST(greatest(7,length(CAST(event_id AS VARCHAR))) AS INT),'0') AS _session_id,
        strftime(ts,'%Y-%m-%dT%H:%M:%S') AS _login,
        strftime(ts + to_seconds(CAST(floor(value*60) AS BIGINT)),'%Y-%m-%dT%H:%M:%S') AS _logout,
        [CAST(k%9 AS VARCHAR), CAST((k//9)%9 AS VARCHAR), CAST(event_id%8 AS VARCHAR)] AS _action,
        CAST(event_id%5 AS VARCHAR) AS _platform
 FROM (SELECT *, TRY_CAST(regexp_extract(props,'[0-9]+') AS BIGINT) AS k FROM events)"""),
     ("bronze_purchases", """
-SELECT 'T'||lpad(CAST(l_orderkey*10+l_linenumber AS VARCHAR),9,'0') AS transaction_id,
-       'P'||lpad(CAST(o_custkey AS VARCHAR),6,'0') AS player_id,
+SELECT 'T'||lpad(CAST(l_orderkey*10+l_linenumber AS VARCHAR),CAST(greatest(9,length(CAST(l_orderkey*10+l_linenumber AS VARCHAR))) AS INT),'0') AS transaction_id,
+       'P'||lpad(CAST(o_custkey AS VARCHAR),CAST(greatest(6,length(CAST(o_custkey AS VARCHAR))) AS INT),'0') AS player_id,
        CAST(l_partkey%16 AS VARCHAR) AS item,
        CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS item_price,
        CAST(l_linenumber%4 AS VARCHAR) AS pmethod,
-       strftime(TIMESTAMP '2024-01-01'
-                + to_seconds((l_orderkey*7919+l_linenumber*131)%2592000),'%Y-%m-%dT%H:%M:%S') AS "time"
+       strftime(TIMESTAMP '2023-11-16'
+                + to_seconds((l_orderkey*7919+l_linenumber*131)%7776000),'%Y-%m-%dT%H:%M:%S') AS "time"
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""),
     ("silver_game_logs", f"""
 SELECT _player_id AS PlayerID, _session_id AS SessionID,
@@ -359,4 +354,7 @@ def oracle_queries() -> dict[str, str]:
         out[name] = _rounded(name, _with(f"SELECT * FROM {name}", i + 1))
     for name, body in _ANALYSIS.items():
         out[name] = _rounded(name, _with(body, len(_CTES)))
+    # the same questions asked in SQL, and tables written and read back
+    out |= {f"{name}_sql": out[name] for name in _ANALYSIS}
+    out |= {f"table_{name}": out[name] for name in ("silver_game_logs", "gold_player_summary")}
     return out

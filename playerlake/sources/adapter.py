@@ -21,30 +21,18 @@ from pyspark.sql import functions as F
 from playerlake.sources.tables import read_driver_table
 
 # Fixed values of the fixture derivation: the as-of date players' account ages
-# are measured from, and the start of the 30 days purchases are spread over.
+# are measured from, and the start of the 90 days purchases are spread over.
 ADAPTER_AS_OF = _dt.date(2024, 2, 14)
-PURCHASES_EPOCH = "2024-01-01 00:00:00"
-PURCHASES_SPREAD_SECONDS = 2_592_000
+PURCHASES_EPOCH = "2023-11-16 00:00:00"
+PURCHASES_SPREAD_SECONDS = 7_776_000
+DRIVER_TABLES = ["customer", "nation", "events", "lineitem", "orders"]
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-distribute a fact scan that has fewer splits than the cluster has cores.
-
-    The driver files are single-row-group parquet, so their scan is one task
-    and every narrow step after it (the string building here, the map-side
-    half of the silver dedup) would run on one core. At scale a scan has far
-    more splits than cores and this is a no-op.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def _padded_id(prefix: str, number, width: int):
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+    """The prefix and the number, padded to ``width`` digits and never cut."""
+    digits = number.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
 
 
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,10 +53,7 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def game_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``bronze_game_logs`` shape from events (``k`` = the integer in ``props``)."""
-    events = _spread(
-        read_driver_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props"),
-        "event_id",
-    )
+    events = read_driver_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
     k = F.regexp_extract("props", "[0-9]+", 0).try_cast("bigint")
     event_id = F.col("event_id")
     logout = F.col("ts") + F.make_dt_interval(
@@ -90,11 +75,8 @@ def game_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``bronze_purchases`` shape from lineitem x orders (duplicate ids occur)."""
-    lineitem = _spread(
-        read_driver_table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice"
-        ),
-        "l_orderkey",
+    lineitem = read_driver_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice"
     )
     orders = read_driver_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     orderkey, line = F.col("l_orderkey"), F.col("l_linenumber")

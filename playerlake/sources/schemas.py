@@ -7,6 +7,7 @@ string field keep their text, so ``[0, 3]`` lands as ``["0", "3"]``.
 
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+# Field names, order and types of the raw files.
 GAME_LOGS_SCHEMA = StructType([
     StructField("_player_id", StringType(), True),
     StructField("_session_id", StringType(), True),
