@@ -1,52 +1,115 @@
-"""Batch table access: driver parquet scans, managed-table reads and writes.
+"""Batch table access: driver parquet scans, table reads and restart-safe refreshes.
 
 Layer hand-offs go through written tables. That cuts the lineage between
 layers (an executor lost in the gold stage recomputes from silver files, not
 from raw text), and it is how the layers are shared with BI readers.
+
+A full refresh never touches the version that readers see: the rows go to a new
+version folder first, and one small step then makes it current. A job killed
+before that step leaves the old table as it was.
+
+* A catalog table is an external table; its location is switched.
+* A path table is a folder with ``versions/`` and ``_commits/``: the commit with
+  the highest number names the current version.
+* Delta tables have atomic overwrites of their own.
+
+The version before the current one stays for readers that still scan it.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_FORMAT = "parquet"
 
-# Scans of the read-only driver tables, per session: listing the files and
-# reading the parquet footers for the schema is done once, not once per query.
-# Only the (lazy) scan plan is kept; no data is cached.
-_SCANS: dict[tuple[int, str], DataFrame] = {}
-
 
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table (``{sf_dir}/{name}.parquet``); columns are pruned lazily."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    scan = _SCANS.get(key)
-    if scan is None or scan.sparkSession is not spark:
-        scan = _SCANS[key] = spark.read.parquet(path)
-    return scan
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _fs(spark: SparkSession, path: str):
+    """Hadoop's (file system, path), for any store that Spark reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def file_stamp(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files at a path: equal stamps, equal files."""
+    fs, at = _fs(spark, path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(at)))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, at = _fs(spark, path)
+    fs.delete(at, True)
+
 
+def _commits(spark: SparkSession, name: str) -> list[str]:
+    """Commit file names of a path table, oldest first: ``<number>-<version>``."""
+    fs, at = _fs(spark, f"{name.rstrip('/')}/_commits")
+    if not fs.exists(at):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(at)]
+    return sorted(n for n in names if n[:1].isdigit())
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """A catalog table by name, or a table directory when ``name`` is a path."""
+
+def current_folder(spark: SparkSession, name: str) -> str:
+    """The folder that holds the rows of a path table now."""
+    commits = _commits(spark, name)
+    return f"{name.rstrip('/')}/versions/{commits[-1].split('-', 1)[1]}" if commits else name
+
+
+def read_table(spark: SparkSession, name: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
+    """A catalog table by name, or the current version of a table folder."""
     if "/" in name:
-        return spark.read.load(name)
+        return spark.read.format(fmt).load(current_folder(spark, name))
     return spark.read.table(name)
 
 
-def write_table(df: DataFrame, name: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
+def _commit_path(spark: SparkSession, name: str, version: str) -> None:
+    commits = _commits(spark, name)
+    number = int(commits[-1].split("-", 1)[0]) + 1 if commits else 0
+    fs, at = _fs(spark, f"{name}/_commits/{number:012d}-{version}")
+    fs.create(at, False).close()
+    for old in commits[:-1]:  # the last one before this is still being read
+        remove_folder(spark, f"{name}/versions/{old.split('-', 1)[1]}")
+        fs.delete(_fs(spark, f"{name}/_commits/{old}")[1], False)
+
+
+def _commit_catalog(spark: SparkSession, name: str, folder: str, fmt: str) -> None:
+    place = f"USING {fmt} LOCATION '{folder}'"
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {name} {place}")
+    elif spark.read.table(name).schema == spark.read.format(fmt).load(folder).schema and spark.catalog.getTable(name).tableType == "EXTERNAL":
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    else:  # another schema: metadata is replaced, the files of the old version stay
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"CREATE TABLE {name} {place}")
+    spark.catalog.refreshTable(name)
+
+
+def write_table(df: DataFrame, name: str, fmt: str = DEFAULT_FORMAT, root: str | None = None) -> DataFrame:
     """Full refresh with schema replace, then return a scan of what was written.
 
-    ``name`` is a catalog table name (``saveAsTable``) or a path. An overwrite
-    recreates the table, so a changed schema replaces the old one. With Delta on
-    the classpath pass ``fmt="delta"`` to get an atomic overwrite.
+    ``name`` is a catalog table name or a path. A catalog table's versions lie
+    below ``root``, by default the folder of its database.
     """
-    writer = df.write.mode("overwrite").format(fmt)
-    if fmt == "delta":
-        writer = writer.option("overwriteSchema", "true")
     spark = df.sparkSession
-    if "/" in name:
-        writer.save(name)
-        return spark.read.format(fmt).load(name)
-    writer.saveAsTable(name)
-    return spark.read.table(name)
+    version = uuid.uuid4().hex
+    if fmt == "delta":
+        writer = df.write.mode("overwrite").format(fmt).option("overwriteSchema", "true")
+        writer.save(name) if "/" in name else writer.saveAsTable(name)
+    elif "/" in name:
+        name = name.rstrip("/")
+        df.write.format(fmt).save(f"{name}/versions/{version}")
+        _commit_path(spark, name, version)
+    else:
+        database, _, table = name.rpartition(".")
+        root = root or spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+        folder = f"{root.rstrip('/')}/_versions/{table}-{version}"
+        df.write.format(fmt).save(folder)
+        _commit_catalog(spark, name, folder, fmt)
+    return read_table(spark, name, fmt)

@@ -1,0 +1,58 @@
+"""Full refreshes: schema replace, versions, and a write that dies half way."""
+
+from __future__ import annotations
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from playerlake.sources.tables import current_folder, read_table, write_table
+
+
+def _frame(spark, values, column="x"):
+    return spark.createDataFrame([(v,) for v in values], f"{column} long")
+
+
+def _failing(spark):
+    return spark.range(4).select(F.when(F.col("id") == 3, F.raise_error(F.lit("killed")).cast("long")).otherwise(F.col("id")).alias("x"))
+
+
+@pytest.fixture(params=["path", "catalog"])
+def target(request, spark, scratch):
+    if request.param == "path":
+        return {"name": f"{scratch}/table"}
+    return {"name": f"t_{uuid.uuid4().hex}", "root": scratch}
+
+
+def test_refresh_replaces_rows_and_schema(spark, target):
+    assert sorted(r.x for r in write_table(_frame(spark, [1, 2]), **target).collect()) == [1, 2]
+    assert [r.x for r in write_table(_frame(spark, [3]), **target).collect()] == [3]
+    assert [r.y for r in write_table(_frame(spark, [4], "y"), **target).collect()] == [4]
+    assert read_table(spark, target["name"]).columns == ["y"]
+
+
+def test_a_write_that_dies_leaves_the_old_table(spark, target):
+    write_table(_frame(spark, [1, 2]), **target)
+    with pytest.raises(Exception, match="killed"):
+        write_table(_failing(spark), **target)
+    assert sorted(r.x for r in read_table(spark, target["name"]).collect()) == [1, 2]
+
+
+def test_readers_of_the_version_before_are_not_cut_off(spark, scratch):
+    name = f"{scratch}/table"
+    before = write_table(_frame(spark, [1]), name)
+    write_table(_frame(spark, [2]), name)
+    assert [r.x for r in before.collect()] == [1]
+    assert "/versions/" in current_folder(spark, name) and [r.x for r in read_table(spark, name).collect()] == [2]
+
+
+def test_an_empty_refresh_keeps_its_schema(spark, target):
+    assert write_table(_frame(spark, []), **target).columns == ["x"]
+    assert read_table(spark, target["name"]).count() == 0
+
+
+def test_other_formats(spark, scratch):
+    name = f"{scratch}/orc-table"
+    write_table(_frame(spark, [5]), name, "orc")
+    assert [r.x for r in read_table(spark, name, "orc").collect()] == [5]
