@@ -6,7 +6,8 @@
   identifiers are case-insensitive as the source notebooks assume;
 * *skew* settings (also applied by ``configure``) let AQE split a partition that
   holds a hot key, even under a parent aggregate; they act only on measured skew;
-* *scale* settings only change the physical plan: AQE re-plans every stage from
+* *scale* settings apply only where the cluster set none; they change the physical
+  plan alone: AQE re-plans every stage from
   real shuffle statistics, coalesces small partitions and turns a sort-merge
   join into a broadcast join only when the measured build side is under
   ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
@@ -15,6 +16,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,8 +42,8 @@ SKEW_CONF = {
 
 SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Broadcast only what AQE has measured to be small; the static estimate of a
-    # filtered or aggregated side is not trusted.
+    # Two size checks, no hints: a side whose files (the static estimate) are under
+    # 10 MB, or that AQE has measured under 32 MB at run time.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
@@ -66,18 +68,21 @@ def build_session(
 
     ``shuffle_partitions`` is the *initial* partition count; AQE coalesces it
     down at run time, so on a cluster it should be sized for the largest shuffle
-    (roughly shuffle bytes / 128 MB), not for the smallest.
+    (roughly shuffle bytes / 128 MB), not for the smallest. Scale
+    settings that ``spark-submit`` or the cluster has set are left alone.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
-        builder = builder.master(master)
-    conf = {**SEMANTIC_CONF, **SKEW_CONF, **SCALE_CONF, **PLANNING_CONF, "spark.ui.enabled": "false"}
+        builder = builder.master(master).config("spark.ui.enabled", "false")
+    given = {**PLANNING_CONF, **(extra or {})}  # a static setting: only a builder can give it
     if shuffle_partitions is not None:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for key, value in conf.items():
+        given["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in given.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    for key, value in SCALE_CONF.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     configure(spark)
     return spark
 
@@ -94,8 +99,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and points at storage every
-    executor can reach; we only read it. When it is unset (a unit test on a
-    laptop) a private folder is created and registered, so later calls agree.
+    executor can reach; we only read it. When it is unset in local mode (a unit
+    test on a laptop) a private folder is created and registered, so later calls
+    agree. Elsewhere a machine-local folder would lose data: that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -103,6 +109,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="playerlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -2,7 +2,8 @@
 
 A Structured Streaming file source with a declared schema, run with
 ``Trigger.AvailableNow``: each call picks up every file not yet recorded in the
-checkpoint, in bounded micro-batches, commits and stops. Re-running with the
+checkpoint, in micro-batches of at most ``max_files_per_trigger`` files, commits
+and stops. Re-running with the
 same checkpoint adds nothing; a new file adds only its own rows. The file sink
 (or a catalog table) is exactly-once through the same checkpoint, so a job
 killed half way resumes where it stopped.
@@ -13,6 +14,7 @@ so the next layer never reads a half-written bronze table.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,13 +24,19 @@ from pyspark.sql.types import StructType
 from playerlake.sources.schemas import SOURCES
 
 
+#: Files of one micro-batch: one commit and one unit of retry.
+MAX_FILES_PER_TRIGGER = 1000
+
+# Progress reports are collected while the query runs, so that a run of any
+# length is counted in full; Spark keeps at least this many between two looks.
+KEPT_REPORTS_CONF = "spark.sql.streaming.numRecentProgressUpdates"
+KEPT_REPORTS = 1000
+LOOK_SECONDS = 2.0
+
+
 @dataclass(frozen=True)
 class IngestResult:
-    """What one run appended: rows and non-empty micro-batches.
-
-    Taken from the query's recent progress reports, i.e. the last
-    ``spark.sql.streaming.numRecentProgressUpdates`` batches (100 by default).
-    """
+    """What one run appended: rows and non-empty micro-batches."""
 
     target: str
     batches: int
@@ -37,7 +45,7 @@ class IngestResult:
 
 def read_stream(spark: SparkSession, fmt: str, source_dir: str, schema: StructType,
                 options: dict[str, str] | None = None,
-                max_files_per_trigger: int | None = None,
+                max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
                 archive_dir: str | None = None) -> DataFrame:
     """Streaming scan of a landing folder with a fixed schema (never inferred).
 
@@ -48,8 +56,7 @@ def read_stream(spark: SparkSession, fmt: str, source_dir: str, schema: StructTy
     reader = spark.readStream.format(fmt).schema(schema)
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.load(source_dir)
@@ -57,7 +64,7 @@ def read_stream(spark: SparkSession, fmt: str, source_dir: str, schema: StructTy
 
 def ingest(spark: SparkSession, fmt: str, source_dir: str, schema: StructType, target: str,
            checkpoint: str, options: dict[str, str] | None = None,
-           sink_format: str = "parquet", max_files_per_trigger: int | None = None,
+           sink_format: str = "parquet", max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
            timeout_seconds: float | None = None, archive_dir: str | None = None) -> IngestResult:
     """Append all new files of ``source_dir`` to ``target`` and wait for it.
 
@@ -70,21 +77,32 @@ def ingest(spark: SparkSession, fmt: str, source_dir: str, schema: StructType, t
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
+    if int(spark.conf.get(KEPT_REPORTS_CONF, "100")) < KEPT_REPORTS:
+        spark.conf.set(KEPT_REPORTS_CONF, str(KEPT_REPORTS))
     query: StreamingQuery
     if "/" in target:
         query = writer.start(target)
     else:
         query = writer.toTable(target)
-    finished = query.awaitTermination(timeout_seconds) if timeout_seconds else query.awaitTermination()
-    if finished is False:
-        query.stop()
-        raise TimeoutError(f"ingest into {target} did not finish in {timeout_seconds}s")
-    failure = query.exception()  # awaitTermination raises on failure; double check
-    if failure is not None:
-        raise RuntimeError(f"ingest into {target} failed: {failure}")
-    loaded = [p for p in query.recentProgress if int(p.get("numInputRows", 0)) > 0]
-    rows = sum(int(p["numInputRows"]) for p in loaded)
-    return IngestResult(target=target, batches=len({p["batchId"] for p in loaded}), rows=rows)
+    rows = _rows_by_batch(query, target, timeout_seconds)
+    return IngestResult(target=target, batches=len(rows), rows=sum(rows.values()))
+
+
+def _rows_by_batch(query: StreamingQuery, target: str, timeout_seconds: float | None) -> dict[int, int]:
+    """Wait for the query; input rows of each of its non-empty batches."""
+    end = time.monotonic() + timeout_seconds if timeout_seconds else None
+    seen: dict[int, int] = {}
+    finished = False
+    while not finished:
+        finished = query.awaitTermination(LOOK_SECONDS)  # raises if the query failed
+        for report in query.recentProgress:
+            seen[int(report["batchId"])] = max(int(report["numInputRows"]), seen.get(int(report["batchId"]), 0))
+        if not finished and end and time.monotonic() > end:
+            query.stop()
+            raise TimeoutError(f"ingest into {target} did not finish in {timeout_seconds}s")
+    if seen and max(seen) - min(seen) + 1 != len(seen):
+        raise RuntimeError(f"ingest into {target} is done, but reports of some batches were lost; raise {KEPT_REPORTS_CONF}")
+    return {batch: n for batch, n in seen.items() if n}
 
 
 def ingest_source(spark: SparkSession, source: str, source_dir: str, target: str,

@@ -72,3 +72,14 @@ def test_archive_keeps_the_landing_folder_small(spark, scratch):
     archived = glob.glob(local_path(archive) + "/**/*.csv", recursive=True)
     left = glob.glob(local_path(landing) + "/*.csv")
     assert len(archived) >= 2 and len(archived) + len(left) == 3
+
+
+def test_the_report_counts_every_batch(spark, scratch):
+    from playerlake.streaming.ingest import KEPT_REPORTS_CONF
+
+    landing, target, ckpt = f"{scratch}/raw_c", f"{scratch}/bronze_c", f"{scratch}/_ckpt_c"
+    for k in range(6):
+        land_raw(_players(spark, [k]).coalesce(1), "player_profiles", landing)
+    spark.conf.set(KEPT_REPORTS_CONF, "3")
+    result = ingest_source(spark, "player_profiles", landing, target, ckpt, max_files_per_trigger=1)
+    assert (result.rows, result.batches) == (6, 6)
