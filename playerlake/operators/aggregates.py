@@ -2,15 +2,10 @@
 
 ``count(DISTINCT c)`` next to other aggregates is planned as an ``Expand`` (one
 copy of every input row per distinct column, plus one for the rest) followed by
-a two-level aggregate. On session-grain data that multiplies the shuffle. Two
-cases need none of it:
-
-* the column is a *key* that is already unique in the input (SessionID after
-  the silver dedup and a many-to-one join): ``count`` is exact and combines
-  map-side into one row per group and task;
-* the column has a *small domain* (dates of one player, platform codes): a
-  ``collect_set`` per group is bounded by the domain, not by the row count, and
-  merges map-side, so the shuffle again carries one row per group and task.
+a two-level aggregate. On session-grain data that multiplies the shuffle. A
+column that is already a unique *key* of the input (SessionID after the silver
+dedup and a many-to-one join) needs none of it: ``count`` is exact and combines
+map-side into one row per group and task.
 """
 
 from __future__ import annotations
@@ -19,15 +14,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def count_unique_key(c: str, unique: bool = True) -> Column:
-    """Distinct count of a column that is a unique key of the input.
-
-    With ``unique=False`` this falls back to ``count_distinct`` for inputs where
-    the key may repeat.
-    """
+def count_unique_key(c: str, unique: bool = False) -> Column:
+    """Distinct count of a column; ``unique`` says that it is a unique key of the input."""
     return F.count(c) if unique else F.count_distinct(c)
-
-
-def count_distinct_small(c: str) -> Column:
-    """Exact distinct count for a column whose per-group domain is small."""
-    return F.size(F.collect_set(c)).cast("bigint")

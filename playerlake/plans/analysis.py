@@ -15,7 +15,7 @@ division error. Results are sorted only where the question asks for an order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playerlake.functions.codes import ACTION_COUNT_COLUMNS
@@ -61,15 +61,24 @@ def new_players(summary: DataFrame) -> DataFrame:
     )
 
 
-def players_by_country(players: DataFrame) -> DataFrame:
-    """Players per country and their share of all players (scalar subquery divisor)."""
-    total = players.agg(F.count_distinct("PlayerID")).scalar()
-    return (
-        players.groupBy("Country")
-        .agg(_distinct_players("Players"))
-        .withColumn("PercPlayers", safe_ratio("Players", total))
-        .orderBy(F.desc("Players"))
-    )
+def _with_share(groups: DataFrame, share: str, total, unique_ids: bool):
+    """``groups`` with each one's Players over all: the sum over the groups if a player is in one only."""
+    if unique_ids:
+        everyone = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return groups.withColumn(share, safe_ratio("Players", F.sum("Players").over(everyone)))
+    return groups.withColumn(share, safe_ratio("Players", total().scalar()))
+
+
+def players_by_country(players: DataFrame, unique_ids: bool = False) -> DataFrame:
+    """Players per country and their share of all players.
+
+    With ``unique_ids`` (a player has one row) the total is the sum over the
+    countries, one pass; otherwise a scalar subquery counts it.
+    """
+    count = F.count("PlayerID") if unique_ids else F.count_distinct("PlayerID")
+    groups = players.groupBy("Country").agg(count.alias("Players"))
+    shares = _with_share(groups, "PercPlayers", lambda: players.agg(F.count_distinct("PlayerID")), unique_ids)
+    return shares.orderBy(F.desc("Players"))
 
 
 def _hours_by(summary: DataFrame, key: str) -> DataFrame:
@@ -113,28 +122,31 @@ def players_by_age_gender(info: DataFrame) -> DataFrame:
 # 2. Retention -----------------------------------------------------------------
 
 
-def retention(summary: DataFrame) -> DataFrame:
-    """Established players split by IsActive, with each side's share (2 dp)."""
+def retention(summary: DataFrame, unique_ids: bool = False) -> DataFrame:
+    """Established players split by IsActive, with each side's share (2 dp).
+
+    With ``unique_ids`` (a player has one row) the total is the sum of the sides,
+    one pass; otherwise a scalar subquery counts it.
+    """
     established = _established(summary)
-    total = established.agg(F.count_distinct("PlayerID")).scalar()
-    return (
-        established.groupBy("IsActive")
-        .agg(_distinct_players("Players"))
-        .select("Players", F.round(safe_ratio("Players", total), 2).alias("Percentage"), "IsActive")
-    )
+    count = F.count("PlayerID") if unique_ids else F.count_distinct("PlayerID")
+    groups = established.groupBy("IsActive").agg(count.alias("Players"))
+    shares = _with_share(groups, "share", lambda: established.agg(F.count_distinct("PlayerID")), unique_ids)
+    return shares.select("Players", F.round("share", 2).alias("Percentage"), "IsActive")
 
 
-def feature_mix(summary: DataFrame) -> DataFrame:
-    """Average platform diversity and the action mix of active established players."""
+def feature_mix(summary: DataFrame, unique_rows: bool = False) -> DataFrame:
+    """Average platform diversity and the action mix of active established players.
+
+    Equal rows count once; ``unique_rows`` says that there are none, so only the
+    columns that the answer needs are read.
+    """
     counts = list(ACTION_COUNT_COLUMNS.values())
     sums = [f"sum_{c}" for c in counts]
-    totals = (
-        _active_established(summary)
-        .distinct()
-        .agg(
-            F.avg("PlatformDiversity").alias("AvgPlatformDiversity"),
-            *[F.sum(c).alias(s) for c, s in zip(counts, sums)],
-        )
+    chosen = _active_established(summary)
+    totals = (chosen if unique_rows else chosen.distinct()).agg(
+        F.avg("PlatformDiversity").alias("AvgPlatformDiversity"),
+        *[F.sum(c).alias(s) for c, s in zip(counts, sums)],
     )
     total_actions = sum((F.col(s) for s in sums[1:]), F.col(sums[0]))
     with_total = totals.withColumn("TotalActions", total_actions)
@@ -176,7 +188,7 @@ def revenue_by_item(purchases: DataFrame) -> DataFrame:
     )
 
 
-def transactions_by_payment(purchases: DataFrame, unique_ids: bool = True) -> DataFrame:
+def transactions_by_payment(purchases: DataFrame, unique_ids: bool = False) -> DataFrame:
     """Transactions per payment method (TransactionID is unique in the gold table)."""
     return (
         purchases.groupBy("PaymentMethod")

@@ -17,12 +17,10 @@ Plan notes (what keeps these cheap at scale):
   pairs gives exactly the rows of join-then-group-by (PlayerID, Country).
 * SessionID and TransactionID are unique keys of the denormalised tables (the
   silver dedup keeps one row per id, and the join to players is many-to-one),
-  so their "distinct" counts are plain counts, combined map-side. Pass
-  ``unique_ids=False`` for inputs where they may repeat.
-* Distinct session days and platforms of one player come from small domains
-  (the calendar, the platform codes): they are counted from a per-player set
-  instead of the ``Expand``-based distinct rewrite, which would shuffle several
-  copies of every session row.
+  and a player has one row of attributes. ``unique_ids=True`` says that an input
+  is such a table, as ``medallion.run`` does: distinct counts become plain
+  counts, and the statistics are built from hash aggregates in stages. The
+  default makes no assumption and counts distinct ids.
 
 ``as_of`` pins "today" for AccountAgeDays and IsActive; it defaults to
 ``current_date()`` like a live job, tests pass a fixed date.
@@ -35,9 +33,9 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playerlake.functions.codes import ACTION_COUNT_COLUMNS
+from playerlake.functions.codes import ACTION_COUNT_COLUMNS, PLATFORMS, UNKNOWN
 from playerlake.functions.parse import as_date_col, safe_ratio
-from playerlake.operators.aggregates import count_distinct_small, count_unique_key
+from playerlake.operators.aggregates import count_unique_key
 from playerlake.operators.argmax import priority_argmax
 
 ACTIVE_WITHIN_DAYS = 15
@@ -64,7 +62,7 @@ def players_purchases(purchases: DataFrame, players: DataFrame) -> DataFrame:
     )
 
 
-def daily_session_metrics(info: DataFrame, unique_ids: bool = True) -> DataFrame:
+def daily_session_metrics(info: DataFrame, unique_ids: bool = False) -> DataFrame:
     """Per (SessionDate, Country): players, sessions, minutes and age statistics.
 
     Age statistics are session-weighted (over session rows, not players).
@@ -72,25 +70,59 @@ def daily_session_metrics(info: DataFrame, unique_ids: bool = True) -> DataFrame
     null-country group; it is computed from the key, which spares the
     distinct-aggregate rewrite one more copy of the input.
     """
-    return (
-        info.groupBy("SessionDate", "Country")
-        .agg(
+    if unique_ids:
+        metrics = _daily_in_stages(info)
+    else:
+        metrics = info.groupBy("SessionDate", "Country").agg(
             F.count_distinct("PlayerID").alias("UniquePlayers"),
-            count_unique_key("SessionID", unique_ids).alias("UniqueSessions"),
+            F.count_distinct("SessionID").alias("UniqueSessions"),
             F.sum("SessionTimeLength").alias("TotalDailySessionLength"),
             F.avg("Age").alias("AvgPlayerAge"),
             F.median("Age").alias("MedianPlayerAge"),
             F.mode("Age", deterministic=True).alias("ModePlayerAge"),
             F.stddev("Age").alias("StandardDeviationPlayerAge"),
         )
-        .withColumn(
-            "UniqueCountries",
-            F.when(F.col("Country").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint"),
-        )
+    return metrics.withColumn(
+        "UniqueCountries",
+        F.when(F.col("Country").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint"),
+    )
+
+
+def _daily_in_stages(info: DataFrame) -> DataFrame:
+    """Day and country from day, country and age from day, country and player.
+
+    Plain hash aggregates with one number a column. The median and the mode see
+    one weighted row for each age; mean and deviation come from exact integer
+    moments.
+    """
+    by_player = info.groupBy("SessionDate", "Country", "PlayerID", "Age").agg(
+        F.count("SessionID").alias("sessions"), F.count(F.lit(1)).alias("rows"), F.sum("SessionTimeLength").alias("minutes")
+    )
+    by_age = by_player.groupBy("SessionDate", "Country", "Age").agg(
+        F.count("PlayerID").alias("players"), F.sum("sessions").alias("sessions"), F.sum("rows").alias("rows"), F.sum("minutes").alias("minutes")
+    )
+    age, known = F.col("Age").cast("bigint"), F.col("Age").isNotNull()
+    weight = F.when(known, F.col("rows"))
+    n, total = F.sum(weight), F.sum(age * F.col("rows"))
+    square = F.sum((age * age * F.col("rows")).cast("decimal(38,0)"))
+    staged = by_age.groupBy("SessionDate", "Country").agg(
+        F.sum("players").alias("UniquePlayers"),
+        F.sum("sessions").alias("UniqueSessions"),
+        F.sum("minutes").alias("TotalDailySessionLength"),
+        n.alias("n"), total.alias("total"), square.alias("square"),
+        F.percentile("Age", 0.5, F.coalesce(weight, F.lit(0))).alias("MedianPlayerAge"),
+        F.max_by("Age", F.when(known, F.struct(F.col("rows"), -F.col("Age")))).alias("ModePlayerAge"),
+    )
+    spread = F.col("square") * F.col("n").cast("decimal(20,0)") - F.col("total").cast("decimal(19,0)") * F.col("total").cast("decimal(19,0)")
+    deviation = F.when(F.col("n") > 1, F.sqrt(spread.cast("double") / F.col("n").cast("double") / (F.col("n") - 1).cast("double")))
+    return staged.select(
+        "SessionDate", "Country", "UniquePlayers", "UniqueSessions", "TotalDailySessionLength",
+        F.try_divide(F.col("total").cast("double"), F.col("n").cast("double")).alias("AvgPlayerAge"),
+        "MedianPlayerAge", "ModePlayerAge", deviation.alias("StandardDeviationPlayerAge"),
     )
 
 
-def daily_purchase_metrics(purchases: DataFrame, unique_ids: bool = True) -> DataFrame:
+def daily_purchase_metrics(purchases: DataFrame, unique_ids: bool = False) -> DataFrame:
     """Per (SessionDate, Country) of payment: transactions and revenue."""
     return purchases.groupBy("SessionDate", "Country").agg(
         count_unique_key("TransactionID", unique_ids).alias("UniqueTransactions"),
@@ -104,9 +136,14 @@ def daily_metrics(session_metrics: DataFrame, purchase_metrics: DataFrame) -> Da
     return session_metrics.join(purchase_metrics, on=["SessionDate", "Country"], how="inner")
 
 
-def actions_exploded(game_logs: DataFrame, players: DataFrame) -> DataFrame:
+def _player_countries(players: DataFrame, unique_ids: bool) -> DataFrame:
+    pairs = players.select("PlayerID", "Country")
+    return pairs if unique_ids else pairs.distinct()
+
+
+def actions_exploded(game_logs: DataFrame, players: DataFrame, unique_ids: bool = False) -> DataFrame:
     """One row per (session, action) of a known player: PlayerID, Country, Action."""
-    pairs = players.select("PlayerID", "Country").distinct()
+    pairs = _player_countries(players, unique_ids)
     return game_logs.join(pairs, on="PlayerID", how="inner").select(
         "PlayerID", "Country", F.explode("Actions").alias("Action")
     )
@@ -119,7 +156,7 @@ def _action_counts() -> list[Column]:
     ]
 
 
-def actions_summary(game_logs: DataFrame, players: DataFrame) -> DataFrame:
+def actions_summary(game_logs: DataFrame, players: DataFrame, unique_ids: bool = False) -> DataFrame:
     """Per (PlayerID, Country): count of each action and the favourite action.
 
     Players whose sessions carry no action at all are absent; players with only
@@ -130,7 +167,7 @@ def actions_summary(game_logs: DataFrame, players: DataFrame) -> DataFrame:
         .groupBy("PlayerID")
         .agg(*_action_counts())
     )
-    pairs = players.select("PlayerID", "Country").distinct()
+    pairs = _player_countries(players, unique_ids)
     counts = list(ACTION_COUNT_COLUMNS.values())
     return (
         per_player.join(pairs, on="PlayerID", how="inner")
@@ -139,28 +176,71 @@ def actions_summary(game_logs: DataFrame, players: DataFrame) -> DataFrame:
     )
 
 
-def player_activity(info: DataFrame, as_of: AsOf = None, unique_ids: bool = True) -> DataFrame:
+def player_activity(info: DataFrame, as_of: AsOf = None, unique_ids: bool = False) -> DataFrame:
     """Per (PlayerID, Country): session counts, play time, recency and platforms."""
+    if unique_ids:
+        return _activity_in_stages(info, as_date_col(as_of))
     today = as_date_col(as_of)
     last_login = F.max("LoginTime")
-    sessions = count_unique_key("SessionID", unique_ids)
+    sessions = F.count_distinct("SessionID")
     return info.groupBy("PlayerID", "Country").agg(
         sessions.alias("TotalSessions"),
         F.avg("SessionTimeLength").alias("AvgSessionLengthMinutes"),
         F.sum("SessionTimeLength").alias("TotalPlayTimeMinutes"),
         last_login.alias("LastLoginDate"),
-        safe_ratio(sessions, count_distinct_small("SessionDate")).alias("AvgSessionsPerDay"),
+        safe_ratio(sessions, F.count_distinct("SessionDate")).alias("AvgSessionsPerDay"),
         F.date_diff(today, F.min("AccountCreationDate")).alias("AccountAgeDays"),
         F.mode("Platform", deterministic=True).alias("PrimaryPlatform"),
-        count_distinct_small("Platform").alias("PlatformDiversity"),
-        F.coalesce(F.date_diff(today, last_login) <= ACTIVE_WITHIN_DAYS, F.lit(False)).alias(
-            "IsActive"
-        ),
+        F.count_distinct("Platform").alias("PlatformDiversity"),
+        _recent(today, last_login).alias("IsActive"),
+    )
+
+
+def _recent(today: Column, last_login: Column) -> Column:
+    return F.coalesce(F.date_diff(today, last_login) <= ACTIVE_WITHIN_DAYS, F.lit(False))
+
+
+def _activity_in_stages(info: DataFrame, today: Column) -> DataFrame:
+    """Player days first, then players: hash aggregates of plain numbers only.
+
+    The silver layer decodes platforms to the labels of one code table, so each
+    label is counted in a column of its own; mode and diversity compare columns.
+    """
+    labels = sorted({*PLATFORMS.values(), UNKNOWN})
+    by_day = info.groupBy("PlayerID", "Country", "SessionDate").agg(
+        F.count("SessionID").alias("sessions"),
+        F.count("SessionTimeLength").alias("timed"),
+        F.sum("SessionTimeLength").alias("minutes"),
+        F.max("LoginTime").alias("login"),
+        F.min("AccountCreationDate").alias("created"),
+        *[F.count_if(F.col("Platform") == label).alias(f"on{k}") for k, label in enumerate(labels)],
+    )
+    on = [F.col(f"on{k}") for k in range(len(labels))]
+    players = by_day.groupBy("PlayerID", "Country").agg(
+        F.sum("sessions").alias("TotalSessions"),
+        F.count("SessionDate").alias("days"),
+        F.sum("timed").alias("timed"),
+        F.sum("minutes").alias("TotalPlayTimeMinutes"),
+        F.max("login").alias("LastLoginDate"),
+        F.min("created").alias("created"),
+        *[F.sum(c).alias(f"on{k}") for k, c in enumerate(on)],
+    )
+    most = F.greatest(*on)
+    primary = F.when(most > 0, F.coalesce(*[F.when(c == most, label) for c, label in zip(on, labels)]))
+    return players.select(
+        "PlayerID", "Country", "TotalSessions",
+        safe_ratio("TotalPlayTimeMinutes", "timed").alias("AvgSessionLengthMinutes"),
+        "TotalPlayTimeMinutes", "LastLoginDate",
+        safe_ratio("TotalSessions", "days").alias("AvgSessionsPerDay"),
+        F.date_diff(today, F.col("created")).alias("AccountAgeDays"),
+        primary.alias("PrimaryPlatform"),
+        sum((F.when(c > 0, 1).otherwise(0) for c in on), F.lit(0)).cast("bigint").alias("PlatformDiversity"),
+        _recent(today, F.col("LastLoginDate")).alias("IsActive"),
     )
 
 
 def player_engagement(
-    info: DataFrame, action_summary: DataFrame, as_of: AsOf = None, unique_ids: bool = True
+    info: DataFrame, action_summary: DataFrame, as_of: AsOf = None, unique_ids: bool = False
 ) -> DataFrame:
     """Activity aggregates joined with the action summary on (PlayerID, Country)."""
     return player_activity(info, as_of, unique_ids).join(
@@ -168,7 +248,7 @@ def player_engagement(
     )
 
 
-def player_spend(purchases: DataFrame, unique_ids: bool = True) -> DataFrame:
+def player_spend(purchases: DataFrame, unique_ids: bool = False) -> DataFrame:
     """Per (PlayerID, Country): spend, purchase count and first/last payment."""
     return purchases.groupBy("PlayerID", "Country").agg(
         F.sum("ItemPrice").alias("TotalSpent"),
@@ -187,17 +267,20 @@ def player_summary(engagement: DataFrame, spend: DataFrame) -> DataFrame:
 def build_gold(silver: dict[str, DataFrame], as_of: AsOf = None) -> dict[str, DataFrame]:
     """All gold frames from the three silver frames (lazily; nothing runs here).
 
-    ``silver`` keys: ``game_logs``, ``players``, ``purchases``.
+    ``silver`` keys: ``game_logs``, ``players``, ``purchases``, as the silver layer
+    makes them (ids are unique).
     """
     logs, players, purchases = silver["game_logs"], silver["players"], silver["purchases"]
     info = players_info(logs, players)
     paid = players_purchases(purchases, players)
-    summary = actions_summary(logs, players)
-    engagement = player_engagement(info, summary, as_of)
-    spend = player_spend(paid)
+    summary = actions_summary(logs, players, unique_ids=True)
+    engagement = player_engagement(info, summary, as_of, unique_ids=True)
+    spend = player_spend(paid, unique_ids=True)
     return {
         "gold_players_info": info,
         "gold_players_purchases": paid,
-        "gold_daily_metrics": daily_metrics(daily_session_metrics(info), daily_purchase_metrics(paid)),
+        "gold_daily_metrics": daily_metrics(
+            daily_session_metrics(info, unique_ids=True), daily_purchase_metrics(paid, unique_ids=True)
+        ),
         "gold_player_summary": player_summary(engagement, spend),
     }

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from playerlake.plans import analysis, gold, silver
 from playerlake.session import configure
 from playerlake.sources.tables import DEFAULT_FORMAT, read_table, write_table
-from playerlake.streaming.ingest import IngestResult, ingest_source
+from playerlake.streaming.ingest import MAX_FILES_PER_TRIGGER, IngestResult, ingest_source
 
 BRONZE_TABLES = {
     "game_logs": "bronze_game_logs",
@@ -30,7 +30,7 @@ class MedallionRun:
     ingested: dict[str, IngestResult] = field(default_factory=dict)
 
 
-def _table_ref(warehouse: str | None, name: str, database: str | None = None) -> str:
+def table_ref(warehouse: str | None, name: str, database: str | None = None) -> str:
     """A path under ``warehouse`` or, without one, a (qualified) catalog table name."""
     if warehouse:
         return f"{warehouse.rstrip('/')}/{name}"
@@ -46,6 +46,7 @@ def run(
     fmt: str = DEFAULT_FORMAT,
     database: str | None = None,
     archive_root: str | None = None,
+    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
 ) -> MedallionRun:
     """Ingest new raw files and rebuild silver and gold.
 
@@ -55,12 +56,14 @@ def run(
     folders under ``warehouse`` or, without one, catalog tables (in
     ``database`` when given). With ``archive_root`` every ingested raw file is
     moved there after its batch commits, so the landing folders stay small.
+    ``fmt`` is the format of every layer; a micro-batch reads at most
+    ``max_files_per_trigger`` files.
     """
     configure(spark)
     out = MedallionRun()
 
     def ref(name: str) -> str:
-        return _table_ref(warehouse, name, database)
+        return table_ref(warehouse, name, database)
 
     for source, table in BRONZE_TABLES.items():
         target = ref(table)
@@ -68,8 +71,9 @@ def run(
             spark, source, f"{raw_root.rstrip('/')}/{source}", target,
             f"{checkpoint_root.rstrip('/')}/{source}",
             archive_dir=f"{archive_root.rstrip('/')}/{source}" if archive_root else None,
+            sink_format=fmt, max_files_per_trigger=max_files_per_trigger,
         )
-        out.tables[table] = read_table(spark, target)
+        out.tables[table] = read_table(spark, target, fmt)
 
     cleaners = {
         "silver_game_logs": (silver.clean_game_logs, "bronze_game_logs"),
@@ -92,11 +96,13 @@ def run(
     out.tables["gold_players_info"] = info
     out.tables["gold_players_purchases"] = paid
 
-    daily = gold.daily_metrics(gold.daily_session_metrics(info), gold.daily_purchase_metrics(paid))
+    daily = gold.daily_metrics(
+        gold.daily_session_metrics(info, unique_ids=True), gold.daily_purchase_metrics(paid, unique_ids=True))
     out.tables["gold_daily_metrics"] = write_table(daily, ref("gold_daily_metrics"), fmt)
 
-    engagement = gold.player_engagement(info, gold.actions_summary(logs, players), as_of)
-    summary = gold.player_summary(engagement, gold.player_spend(paid))
+    actions = gold.actions_summary(logs, players, unique_ids=True)
+    engagement = gold.player_engagement(info, actions, as_of, unique_ids=True)
+    summary = gold.player_summary(engagement, gold.player_spend(paid, unique_ids=True))
     out.tables["gold_player_summary"] = write_table(
         summary, ref("gold_player_summary"), fmt
     )
@@ -115,28 +121,30 @@ def register_views(tables: dict[str, DataFrame]) -> list[str]:
     return sorted(tables)
 
 
-def answers(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every analysis question over a set of silver/gold tables (lazy frames)."""
-    players = tables["silver_players"]
-    info = tables["gold_players_info"]
-    paid = tables["gold_players_purchases"]
-    daily = tables["gold_daily_metrics"]
-    summary = tables["gold_player_summary"]
-    return {
-        "q_total_players": analysis.total_players(players),
-        "q_active_players": analysis.active_players(summary),
-        "q_new_players": analysis.new_players(summary),
-        "q_players_by_country": analysis.players_by_country(players),
-        "q_hours_by_action": analysis.hours_by_action(summary),
-        "q_hours_by_platform": analysis.hours_by_platform(summary),
-        "q_sessions_by_weekday": analysis.sessions_by_weekday(info),
-        "q_players_by_age_gender": analysis.players_by_age_gender(info),
-        "q_retention": analysis.retention(summary),
-        "q_feature_mix": analysis.feature_mix(summary),
-        "q_revenue_by_month": analysis.revenue_by_month(paid),
-        "q_engagement_spend": analysis.engagement_spend(summary),
-        "q_revenue_by_item": analysis.revenue_by_item(paid),
-        "q_transactions_by_payment": analysis.transactions_by_payment(paid),
-        "q_daily_totals": analysis.daily_totals(daily),
-        "engagement_spend_correlation": analysis.engagement_spend_correlation(summary),
+def answers(tables: dict[str, DataFrame], only: str | None = None) -> dict[str, DataFrame]:
+    """Every analysis question over a set of silver/gold tables (lazy frames), or only one.
+
+    The tables are those of ``run``: ids are unique in them, which the plans use.
+    """
+    players, info, paid = "silver_players", "gold_players_info", "gold_players_purchases"
+    daily, summary = "gold_daily_metrics", "gold_player_summary"
+    questions = {
+        "q_total_players": (analysis.total_players, players, {}),
+        "q_active_players": (analysis.active_players, summary, {}),
+        "q_new_players": (analysis.new_players, summary, {}),
+        "q_players_by_country": (analysis.players_by_country, players, {"unique_ids": True}),
+        "q_hours_by_action": (analysis.hours_by_action, summary, {}),
+        "q_hours_by_platform": (analysis.hours_by_platform, summary, {}),
+        "q_sessions_by_weekday": (analysis.sessions_by_weekday, info, {}),
+        "q_players_by_age_gender": (analysis.players_by_age_gender, info, {}),
+        "q_retention": (analysis.retention, summary, {"unique_ids": True}),
+        "q_feature_mix": (analysis.feature_mix, summary, {"unique_rows": True}),
+        "q_revenue_by_month": (analysis.revenue_by_month, paid, {}),
+        "q_engagement_spend": (analysis.engagement_spend, summary, {}),
+        "q_revenue_by_item": (analysis.revenue_by_item, paid, {}),
+        "q_transactions_by_payment": (analysis.transactions_by_payment, paid, {"unique_ids": True}),
+        "q_daily_totals": (analysis.daily_totals, daily, {}),
+        "engagement_spend_correlation": (analysis.engagement_spend_correlation, summary, {}),
     }
+    chosen = questions if only is None else {only: questions[only]}
+    return {name: question(tables[table], **flags) for name, (question, table, flags) in chosen.items()}

@@ -6,19 +6,24 @@ top lazily, so Catalyst sees (and prunes, pushes down and re-plans) the whole
 chain from the parquet scans to the answer. The ``bronze_*`` entries run the
 real streaming ingest: the adapter rows are landed as raw JSON/CSV files in a
 fresh folder under the shared checkpoint root and streamed into a bronze table.
+The ``table_*`` entries write a layer as a catalog table and read it back. Both
+kinds write while the query is built. The ``q_*_sql`` entries run the questions as
+SQL text over registered views.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playerlake.plans import analysis, gold, silver
+from playerlake.plans import gold, medallion, silver
+from playerlake.plans.questions_sql import QUESTIONS
 from playerlake.session import configure, scratch_dir
 from playerlake.sources import adapter
-from playerlake.sources.tables import read_table
+from playerlake.sources.tables import file_stamp, read_table, remove_folder, write_table
 from playerlake.streaming.ingest import ingest_source, land_raw
 
 # The fixtures' "today": account ages and activity are measured from it.
@@ -35,6 +40,7 @@ def _bronze(source: str, table: str) -> Query:
         land_raw(adapter.bronze_frames(spark, sf_dir)[source], source, landing)
         target = f"{root}/{table}"
         ingest_source(spark, source, landing, target, f"{root}/_checkpoints/{source}")
+        remove_folder(spark, f"{root}/raw")
         return read_table(spark, target)
 
     build.__name__ = table
@@ -73,48 +79,97 @@ class Layers:
     def paid(self) -> DataFrame:
         return gold.players_purchases(self.purchases, self.players)
 
+    @cached_property
+    def daily_sessions(self) -> DataFrame:
+        return gold.daily_session_metrics(self.info, unique_ids=True)
+
+    @cached_property
+    def daily_purchases(self) -> DataFrame:
+        return gold.daily_purchase_metrics(self.paid, unique_ids=True)
+
     @cached_property
     def daily(self) -> DataFrame:
-        return gold.daily_metrics(
-            gold.daily_session_metrics(self.info), gold.daily_purchase_metrics(self.paid)
-        )
+        return gold.daily_metrics(self.daily_sessions, self.daily_purchases)
 
     @cached_property
     def actions_summary(self) -> DataFrame:
-        return gold.actions_summary(self.game_logs, self.players)
+        return gold.actions_summary(self.game_logs, self.players, unique_ids=True)
 
     @cached_property
     def engagement(self) -> DataFrame:
-        return gold.player_engagement(self.info, self.actions_summary, AS_OF)
+        return gold.player_engagement(self.info, self.actions_summary, AS_OF, unique_ids=True)
 
     @cached_property
     def spend(self) -> DataFrame:
-        return gold.player_spend(self.paid)
+        return gold.player_spend(self.paid, unique_ids=True)
 
     @cached_property
     def summary(self) -> DataFrame:
         return gold.player_summary(self.engagement, self.spend)
 
 
-# Layer plans per (session, data set). Only lazy plans are kept, never data:
-# every query still executes from the parquet scans; what is saved is the
-# driver-side planning of the shared layers (like temporary views in a session).
-_LAYERS: dict[tuple[int, str], Layers] = {}
+    def tables(self) -> dict[str, DataFrame]:
+        """The layers under their table names, as ``medallion`` takes them."""
+        return {
+            "silver_game_logs": self.game_logs,
+            "silver_players": self.players,
+            "silver_purchases": self.purchases,
+            "gold_players_info": self.info,
+            "gold_players_purchases": self.paid,
+            "gold_daily_metrics": self.daily,
+            "gold_player_summary": self.summary,
+        }
+
+
+# Layer plans per session and state of the data set's files. Only lazy plans are
+# kept, never data: every query still executes from the parquet scans; what is
+# saved is the driver-side planning of the shared layers (like temporary views in
+# a session). Files that are added or rewritten give a new key.
+_LAYERS: dict[int, tuple[tuple, Layers]] = {}
 
 
 def layers_for(spark: SparkSession, sf_dir: str) -> Layers:
-    key = (id(spark), sf_dir)
-    found = _LAYERS.get(key)
-    if found is None or found.spark is not spark:
-        found = _LAYERS[key] = Layers(spark, sf_dir)
+    key = (sf_dir, *[file_stamp(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in adapter.DRIVER_TABLES])
+    known, found = _LAYERS.get(id(spark), (None, None))
+    if known != key or found.spark is not spark:
+        found = Layers(spark, sf_dir)
+        _LAYERS[id(spark)] = (key, found)
     configure(spark)
     return found
 
 
+def forget_layers() -> None:
+    """Plan anew at the next query."""
+    _LAYERS.clear()
+
+
 def _on(build: Callable[[Layers], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(layers_for(spark, sf_dir))
 
 
+ANSWERS = ["engagement_spend_correlation", *QUESTIONS]
+
+
+def _answer(name: str) -> Query:
+    return _on(lambda L: medallion.answers(L.tables(), only=name)[name])
+
+
+def _sql(name: str) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        medallion.register_views(layers_for(spark, sf_dir).tables())
+        return spark.sql(QUESTIONS[name])
+
+    return build
+
+
+def _table(name: str) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_dir(spark, f"table_{name}")
+        return write_table(layers_for(spark, sf_dir).tables()[name], f"{name}_{uuid.uuid4().hex}", root=root)
+
+    return build
+
+
 QUERIES: dict[str, Query] = {
     # bronze: streaming ingest of landed raw files
     "bronze_game_logs": _bronze("game_logs", "bronze_game_logs"),
@@ -127,29 +182,17 @@ QUERIES: dict[str, Query] = {
     # gold and its intermediate steps
     "gold_players_info": _on(lambda L: L.info),
     "gold_players_purchases": _on(lambda L: L.paid),
-    "daily_session_metrics": _on(lambda L: gold.daily_session_metrics(L.info)),
-    "daily_purchase_metrics": _on(lambda L: gold.daily_purchase_metrics(L.paid)),
+    "daily_session_metrics": _on(lambda L: L.daily_sessions),
+    "daily_purchase_metrics": _on(lambda L: L.daily_purchases),
     "gold_daily_metrics": _on(lambda L: L.daily),
-    "actions_exploded": _on(lambda L: gold.actions_exploded(L.game_logs, L.players)),
+    "actions_exploded": _on(lambda L: gold.actions_exploded(L.game_logs, L.players, unique_ids=True)),
     "actions_summary": _on(lambda L: L.actions_summary),
     "player_engagement": _on(lambda L: L.engagement),
     "player_spend": _on(lambda L: L.spend),
     "gold_player_summary": _on(lambda L: L.summary),
     # analysis
-    "q_total_players": _on(lambda L: analysis.total_players(L.players)),
-    "q_active_players": _on(lambda L: analysis.active_players(L.summary)),
-    "q_new_players": _on(lambda L: analysis.new_players(L.summary)),
-    "q_players_by_country": _on(lambda L: analysis.players_by_country(L.players)),
-    "q_hours_by_action": _on(lambda L: analysis.hours_by_action(L.summary)),
-    "q_hours_by_platform": _on(lambda L: analysis.hours_by_platform(L.summary)),
-    "q_sessions_by_weekday": _on(lambda L: analysis.sessions_by_weekday(L.info)),
-    "q_players_by_age_gender": _on(lambda L: analysis.players_by_age_gender(L.info)),
-    "q_retention": _on(lambda L: analysis.retention(L.summary)),
-    "q_feature_mix": _on(lambda L: analysis.feature_mix(L.summary)),
-    "q_revenue_by_month": _on(lambda L: analysis.revenue_by_month(L.paid)),
-    "q_engagement_spend": _on(lambda L: analysis.engagement_spend(L.summary)),
-    "q_revenue_by_item": _on(lambda L: analysis.revenue_by_item(L.paid)),
-    "q_transactions_by_payment": _on(lambda L: analysis.transactions_by_payment(L.paid)),
-    "q_daily_totals": _on(lambda L: analysis.daily_totals(L.daily)),
-    "engagement_spend_correlation": _on(lambda L: analysis.engagement_spend_correlation(L.summary)),
+    **{name: _answer(name) for name in ANSWERS},
+    **{f"{name}_sql": _sql(name) for name in QUESTIONS},
+    # a full refresh of a catalog table, read back
+    **{f"table_{name}": _table(name) for name in ("silver_game_logs", "gold_player_summary")},
 }
