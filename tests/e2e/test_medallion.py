@@ -7,6 +7,7 @@ import pytest
 from __spark_entry__ import comparable
 from playerlake.plans import medallion
 from playerlake.plans.queries import AS_OF, QUERIES
+from playerlake.plans.questions_sql import QUESTIONS
 from playerlake.sources import adapter
 from playerlake.streaming.ingest import land_raw
 from tests.conftest import SF_SMALL
@@ -44,62 +45,60 @@ def test_answers_equal_in_memory_path(spark, run):
         assert _rows(df) == _rows(QUERIES[name](spark, SF_SMALL)), name
 
 
-# The questions as an analyst would write them in SQL against the layer tables,
-# using what SQL users rely on: CTEs, scalar subqueries in expressions and
-# lateral column aliases. Run through spark.sql on the registered views.
-COUNTS = ["PvP_Battle_Count", "Dungeon_Raid_Count", "Crafting_Count", "Exploration_Count",
-          "Trading_Count", "Gathering_Count", "Questing_Story_Progression_Count",
-          "Social_Interaction_Count"]
-
-ANALYST_SQL = {
-    "q_players_by_country": """
-        WITH everyone AS (SELECT count(DISTINCT PlayerID) AS n FROM silver_players)
-        SELECT Country,
-               count(DISTINCT PlayerID) AS Players,
-               count(DISTINCT PlayerID) / (SELECT n FROM everyone) AS PercPlayers
-        FROM silver_players
-        GROUP BY Country""",
-    "q_retention": """
-        WITH established AS (SELECT PlayerID, IsActive FROM gold_player_summary WHERE AccountAgeDays > 15)
-        SELECT count(DISTINCT PlayerID) AS Players,
-               round(count(DISTINCT PlayerID) / (SELECT count(DISTINCT PlayerID) FROM established), 2)
-                 AS Percentage,
-               IsActive
-        FROM established
-        GROUP BY IsActive""",
-    "q_sessions_by_weekday": """
-        SELECT weekday(SessionDate) AS SessionWeekDay,
-               count(1) AS sessions,
-               round(sum(SessionTimeLength) / 60) AS TotalSessionTimeInHours
-        FROM gold_players_info
-        GROUP BY 1""",
-    "q_feature_mix": (
-        "WITH chosen AS (SELECT DISTINCT * FROM gold_player_summary "
-        "WHERE IsActive AND AccountAgeDays > 15), "
-        "totals AS (SELECT avg(PlatformDiversity) AS AvgPlatformDiversity, "
-        + ", ".join(f"sum({c}) AS sum_{c}" for c in COUNTS)
-        + " FROM chosen) SELECT *, "
-        + " + ".join(f"sum_{c}" for c in COUNTS) + " AS TotalActions, "
-        + ", ".join(f"sum_{c} / TotalActions AS perc_{c}" for c in COUNTS)
-        + " FROM totals"
-    ),
-    "q_revenue_by_month": """
-        SELECT sum(ItemPrice) AS Revenue,
-               date_format(date_trunc('month', PaymentTimestamp), 'yyyy-MM-01') AS Month
-        FROM gold_players_purchases
-        GROUP BY 2""",
-}
-
-
-def test_analyst_sql_runs_on_registered_views(spark, run):
+def test_sql_questions_run_on_registered_views(spark, run):
     _, result = run
     names = medallion.register_views(result.tables)
     assert "gold_player_summary" in names
     answers = medallion.answers(result.tables)
-    for name, sql in ANALYST_SQL.items():
+    assert len(QUESTIONS) == 15
+    for name, sql in QUESTIONS.items():
         assert _rows(spark.sql(sql)) == _rows(answers[name]), name
 
 
+# The order each question asks for, columns with -1 descending.
+ORDERS = {
+    "q_players_by_country": [("Players", -1)], "q_hours_by_action": [("HoursPlayed", -1)],
+    "q_hours_by_platform": [("HoursPlayed", -1)], "q_sessions_by_weekday": [("SessionWeekDay", 1)],
+    "q_players_by_age_gender": [("AgeBin", 1), ("Gender", 1)], "q_revenue_by_month": [("Month", 1)],
+    "q_revenue_by_item": [("TotalRevenue", -1)], "q_daily_totals": [("SessionDate", 1)],
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERS))
+def test_answers_come_in_the_order_asked_for(spark, run, name):
+    _, result = run
+    medallion.register_views(result.tables)
+    for rows in (medallion.answers(result.tables)[name].collect(), spark.sql(QUESTIONS[name]).collect()):
+        keys = [tuple(r[c] for c, _ in ORDERS[name]) for r in rows]
+        assert len(keys) > 1
+        for before, after in zip(keys, keys[1:]):
+            for x, y, (_, sign) in zip(before, after, ORDERS[name]):
+                if x != y:
+                    assert (x < y) == (sign > 0)
+                    break
+
+
+def test_purchases_fall_into_several_months(spark, run):
+    _, result = run
+    assert medallion.answers(result.tables)["q_revenue_by_month"].count() == 4
+
+
+def test_all_layers_take_the_format_and_the_batch_bound(spark):
+    from playerlake.session import local_path, scratch_dir
+    import glob
+
+    root = scratch_dir(spark, "e2e-orc")
+    for source, df in adapter.bronze_frames(spark, SF_SMALL).items():
+        land_raw(df.repartition(6), source, f"{root}/raw/{source}")
+    result = medallion.run(spark, f"{root}/raw", f"{root}/_checkpoints", f"{root}/lake", as_of=AS_OF, fmt="orc", max_files_per_trigger=2)
+    assert {t: r.batches for t, r in result.ingested.items()} == {t: 3 for t in medallion.BRONZE_TABLES.values()}
+    assert result.ingested["bronze_purchases"].rows == 6000
+    for name in result.tables:
+        files = glob.glob(f"{local_path(root)}/lake/{name}/**/part-*", recursive=True)
+        assert files and all(f.endswith(".orc") for f in files), name
+    assert _rows(result.tables["gold_player_summary"]) == _rows(QUERIES["gold_player_summary"](spark, SF_SMALL))
+
+
 def test_catalog_tables(spark):
     """The same run into catalog tables (streaming toTable, saveAsTable)."""
     import uuid
@@ -120,14 +119,22 @@ def test_catalog_tables(spark):
 
 
 def test_command_line_job(spark, run, capsys):
-    from playerlake.__main__ import main
+    from playerlake.__main__ import INITIAL_PARTITIONS_CONF, main
+    from playerlake.sources.tables import read_table
 
     root, _ = run
-    assert main(["--raw-root", f"{root}/raw", "--warehouse", f"{root}/cli-lake", "--as-of", "2024-02-14"]) == 0
+    spark.conf.set(INITIAL_PARTITIONS_CONF, "4")
+    try:
+        assert main(["--raw-root", f"{root}/raw", "--warehouse", f"{root}/cli-lake", "--as-of", "2024-02-14", "--answers"]) == 0
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS_CONF)
     out = capsys.readouterr().out
     assert "bronze_game_logs: 1000 new rows" in out
-    summary = spark.read.parquet(f"{root}/cli-lake/gold_player_summary")
+    summary = read_table(spark, f"{root}/cli-lake/gold_player_summary")
     assert _rows(summary) == _rows(QUERIES["gold_player_summary"](spark, SF_SMALL))
+    # every answer is written in full
+    for name in medallion.answers(run[1].tables):
+        assert _rows(read_table(spark, f"{root}/cli-lake/answer_{name}")) == _rows(QUERIES[name](spark, SF_SMALL))
 
 
 # Runs last: it overwrites the tables the module fixture points at.

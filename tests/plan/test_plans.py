@@ -27,11 +27,74 @@ def test_no_python_udf_no_cartesian(spark, name):
 def test_no_expand_in_session_aggregates(layers):
     from playerlake.plans import gold
 
-    for df in (gold.daily_session_metrics(layers.info), gold.player_activity(layers.info),
-               gold.daily_purchase_metrics(layers.paid), gold.player_spend(layers.paid)):
+    for df in (gold.daily_session_metrics(layers.info, unique_ids=True), gold.player_activity(layers.info, unique_ids=True),
+               gold.daily_purchase_metrics(layers.paid, unique_ids=True), gold.player_spend(layers.paid, unique_ids=True)):
         assert "Expand" not in _plan(df)
 
 
+def test_session_statistics_are_hash_aggregates(layers):
+    """No list, map or string buffer is carried per player; median and mode see one row for each age."""
+    from playerlake.plans import gold
+
+    def above_the_session_table(df):
+        plan = _plan(df)
+        return plan[: plan.index("Join")]
+
+    daily = above_the_session_table(gold.daily_session_metrics(layers.info, unique_ids=True))
+    by_player = [line for line in daily.splitlines() if "PlayerID" in line and "Aggregate" in line]
+    assert by_player and all("HashAggregate" in line and "Object" not in line and "percentile" not in line and "max_by" not in line for line in by_player)
+    activity = above_the_session_table(gold.player_activity(layers.info, unique_ids=True))
+    assert "ObjectHashAggregate" not in activity and "SortAggregate" not in activity and "collect_set" not in activity
+
+
+def test_unique_ids_change_the_plan_and_not_the_answer(layers):
+    from playerlake.plans import analysis, gold
+
+    def close(a, b):
+        rows = [sorted((tuple(r.asDict().values()) for r in df.select(sorted(df.columns)).collect()), key=repr) for df in (a, b)]
+        assert len(rows[0]) == len(rows[1]) > 0
+        for x, y in zip(*rows):
+            assert all(p == pytest.approx(q, rel=1e-9) if isinstance(p, float) else p == q for p, q in zip(x, y)), (x, y)
+
+    for build, table in ((gold.daily_session_metrics, layers.info), (gold.daily_purchase_metrics, layers.paid), (gold.player_spend, layers.paid),
+                         (lambda t, unique_ids: gold.player_activity(t, "2024-02-14", unique_ids), layers.info),
+                         (analysis.players_by_country, layers.players), (analysis.retention, layers.summary),
+                         (analysis.transactions_by_payment, layers.paid)):
+        close(build(table, unique_ids=True), build(table, unique_ids=False))
+    close(analysis.feature_mix(layers.summary, unique_rows=True), analysis.feature_mix(layers.summary))
+
+
+def test_statistics_of_null_and_single_ages(spark):
+    from playerlake.plans import gold
+
+    rows = [("2024-01-01", "US", f"P{k}", f"S{k}", 1.0, age) for k, age in enumerate([None, None])]
+    rows += [("2024-01-02", "US", "P9", "S9", 2.0, 30), ("2024-01-03", None, "P1", "Sa", None, 20), ("2024-01-03", None, "P2", "Sb", 1.0, 40)]
+    info = spark.createDataFrame(rows, "SessionDate string, Country string, PlayerID string, SessionID string, SessionTimeLength double, Age int")
+    got = [sorted((tuple(r) for r in gold.daily_session_metrics(info, unique_ids=u).collect()), key=repr) for u in (True, False)]
+    assert got[0] == got[1]
+
+
+def test_shares_scan_once_and_the_mix_reads_its_columns(spark, scratch, layers):
+    from playerlake.plans import analysis
+    from playerlake.sources.tables import write_table
+
+    table = write_table(layers.summary, f"{scratch}/gold_player_summary_shares")
+    for df in (analysis.retention(table, unique_ids=True), analysis.players_by_country(table, unique_ids=True)):
+        assert _plan(df).count("FileScan") == 1
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = analysis.feature_mix(table, unique_rows=True)._jdf.queryExecution().explainString(mode)
+    schema = [line for line in text.splitlines() if line.startswith("ReadSchema")][0]
+    assert len(schema.split("struct<", 1)[1].split(",")) == 11
+    assert "distinct" not in text.lower()
+
+
+def test_actions_join_players_without_a_distinct(layers):
+    from playerlake.plans import gold
+
+    both = [_plan(gold.actions_exploded(layers.game_logs, layers.players, unique_ids=u)) for u in (True, False)]
+    assert both[0].count("Aggregate") < both[1].count("Aggregate")
+
+
 def test_dedup_is_combined_map_side(layers):
     plan = _plan(layers.purchases)
     # partial and final aggregate around one exchange; no window over whole groups

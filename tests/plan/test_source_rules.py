@@ -11,6 +11,8 @@ FORBIDDEN = {
     r"\.collect\(": "no driver-side collect in the library",
     r"\.toPandas\(": "no driver-side pandas conversion",
     r"\.take\(|\.head\(|\.first\(": "no row pulls to the driver",
+    r"\.show\(": "results are written, not printed in part",
+    r"\.rdd\b": "no RDDs, not even to look at a plan",
     r"localCheckpoint": "never localCheckpoint",
     r"\bF\.udf\b|@udf|pandas_udf|\.rdd\.map": "no Python UDFs / RDD maps in the hot path",
     r"crossJoin|how=\"cross\"": "no cross joins",
