@@ -31,6 +31,7 @@ from playerlake.functions.parse import (
 )
 from playerlake.operators.dedup import keep_first
 
+# Raw field -> column of the silver table.
 GAME_LOG_NAMES = {
     "_player_id": "PlayerID",
     "_session_id": "SessionID",
