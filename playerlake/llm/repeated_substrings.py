@@ -3,18 +3,19 @@
 A byte is removed if a ``LENGTH``-byte string that covers it also starts anywhere
 else. The suffixes of the corpus fall into buckets by the minimizer of their first
 ``LENGTH`` bytes: equal strings have equal minimizers, and neighbouring suffixes
-share theirs, so a run of suffixes moves as one record. Only records of a
-minimizer that occurs twice carry bytes. A task takes one bucket after the other
-and resolves its ties by a difference cover (``cover_sort``) in blocks of bounded
-size. Equal records collapse first.
+share theirs, so a run of suffixes is one record. Only minimizers that occur twice
+go on. Equal records collapse by a hash of their bytes: all their suffixes are
+repeated, and one of them stands for all in its bucket. These representatives
+carry bytes. A task takes one bucket after the other and resolves its ties by a
+difference cover (``cover_sort``) in blocks of bounded size.
 
-Equal texts are one text: copies are counted map-side, and a text that has copies
-is removed whole. A minimizer with over ``BUCKET`` records would make a bucket too
-large for a task; its suffixes are instead counted by a 128-bit hash of their
-``LENGTH`` bytes, which combines map-side.
+A bucket with over ``BUCKET`` different records is too large for a task. Its
+records are split again by a longer minimizer, and what is still too large is
+counted by a 128-bit hash of each suffix's ``LENGTH`` bytes, map-side first.
 
-Texts are identified by two 64-bit hashes; minimizers by one, which only has to
-bring equal strings together.
+Equal texts are one text: copies are counted map-side, and a text that has copies
+is removed whole. Texts are identified by two 64-bit hashes, records by their
+minimizer's and their own.
 
 Defined results: null text is empty; texts under ``LENGTH`` bytes keep all;
 repeated rows are copies of each other; without rows the result is empty; other
@@ -35,7 +36,7 @@ from playerlake.llm.cover_sort import LENGTH, repeated
 from playerlake.llm.storage import saved
 
 GRAM = 64
-WINDOW = LENGTH - GRAM + 1  # grams inside a suffix's first bytes
+LONG_GRAM = 256
 BUCKET = 4096
 SLICE = 1 << 20
 BLOCK = 1 << 20
@@ -62,15 +63,19 @@ def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def suffix_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(row, start in the row, number of suffixes, minimizer hash) of runs with one minimizer."""
+def suffix_runs(data: np.ndarray, offsets: np.ndarray, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """(row, start in the row, number of suffixes, minimizer, record) of runs with one minimizer.
+
+    The last two are hashes: of the minimizer's ``gram`` bytes and of all the
+    run's suffixes' first bytes.
+    """
     if len(data) < LENGTH:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     sums = HASHER.prefix(data)
-    at = np.arange(len(data) - GRAM + 1)
-    grams = HASHER.ranges(sums, at, at + GRAM)
+    at = np.arange(len(data) - gram + 1)
+    grams = HASHER.ranges(sums, at, at + gram)
     # equal grams in a window: the leftmost
-    least = _window_minima((grams & ~_PLACE) | at.astype(np.uint64), WINDOW)
+    least = _window_minima((grams & ~_PLACE) | at.astype(np.uint64), LENGTH - gram + 1)
     chosen = (least & _PLACE).astype(np.int64)
     room = np.maximum(np.diff(offsets) - LENGTH + 1, 0)
     starts = ragged(offsets[:-1], room)
@@ -79,7 +84,9 @@ def suffix_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]
     minimizer = chosen[starts]
     first = np.flatnonzero(np.r_[True, (minimizer[1:] != minimizer[:-1]) | (starts[1:] != starts[:-1] + 1)])
     row = np.searchsorted(offsets, starts[first], side="right") - 1
-    return row, starts[first] - offsets[row], np.diff(np.r_[first, len(starts)]), grams[minimizer[first]]
+    n = np.diff(np.r_[first, len(starts)])
+    record = HASHER.ranges(sums, starts[first], starts[first] + n + LENGTH - 1)
+    return row, starts[first] - offsets[row], n, grams[minimizer[first]], record
 
 
 def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
@@ -89,16 +96,38 @@ def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
         step = 8 << 20
         for low in range(0, max(1, len(part) - LENGTH + 1), step) if b == a + 1 else (0,):
             piece = part[low : low + step + LENGTH - 1] if b == a + 1 else part
-            row, start, n, gram = suffix_runs(piece, np.array([0, len(piece)]) if b == a + 1 else edges)
-            yield row + a, start + low, n, gram
+            row, start, *rest = suffix_runs(piece, np.array([0, len(piece)]) if b == a + 1 else edges)
+            yield row + a, start + low, *rest
+
+
+SPANS = "k1 long, k2 long, low long, high long"
+RUNS = "gram long, record long, k1 long, k2 long, start long, n long"
+
+
+def _run_batch(gram, record, k1, k2, start, n) -> pa.RecordBatch:
+    columns = (gram.view(np.int64), record.view(np.int64), k1, k2, start, n)
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["gram", "record", "k1", "k2", "start", "n"])
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_buffer(batch.column("text"))
         k1, k2 = batch.column("k1").to_numpy(), batch.column("k2").to_numpy()
-        for row, start, n, gram in _pieces(data, offsets):
-            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(k1[row]), pa.array(k2[row]), pa.array(start), pa.array(n)], names=["gram", "k1", "k2", "start", "n"])
+        for row, start, n, gram, record in _pieces(data, offsets):
+            yield _run_batch(gram, record, k1[row], k2[row], start, n)
+
+
+def _split_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The listed runs, split by the longer minimizer."""
+    for batch in batches:
+        for k1, k2, text, runs in zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "text", "runs")]):
+            bodies = [text[r["start"] : r["start"] + r["n"] + LENGTH - 1] for r in runs]
+            data = np.frombuffer(b"".join(bodies), np.uint8)
+            offsets = np.concatenate([[0], np.cumsum([len(b) for b in bodies])])
+            begin = np.array([r["start"] for r in runs])
+            for a, b in row_slices(offsets, SLICE):
+                row, start, n, gram, record = suffix_runs(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], LONG_GRAM)
+                yield _run_batch(gram, record, np.full(len(n), k1), np.full(len(n), k2), start + begin[row + a], n)
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,9 +137,9 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 0
         for k1, k2, text, runs in zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "text", "runs")]):
             for run in runs:
-                start, n = run["start"], run["n"]
-                body = text[start : start + n + LENGTH - 1]
-                for to, x in zip(out, (run["gram"], k1, k2, start, n, body)):
+                start = run["start"]
+                body = text[start : start + run["n"] + LENGTH - 1]
+                for to, x in zip(out, (run["gram"], k1, k2, start, run["whole"], body)):
                     to.append(x)
                 size += len(body)
             if size >= 4 << 20:
@@ -121,71 +150,49 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _record_batch(out: list[list]) -> pa.RecordBatch:
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types)], names=["gram", "k1", "k2", "start", "n", "body"])
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types)], names=["gram", "k1", "k2", "start", "whole", "body"])
 
 
 def _span_batch(spans: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*spans) if spans else ([],) * 4)], names=["k1", "k2", "low", "high"])
 
 
-class _Block:
-    """Whole buckets: distinct records and the occurrences of each."""
-
-    def __init__(self) -> None:
-        self.records: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
-        self.size = 0
-
-    def add(self, gram: int, body: bytes, occurrence: tuple[int, int, int]) -> None:
-        found = self.records.get((gram, body))
-        if found is None:
-            self.records[gram, body] = [occurrence]
-            self.size += len(body)
-        else:
-            found.append(occurrence)
-
-    def spans(self) -> list[tuple[int, int, int, int]]:
-        out = []
-        variants: dict[int, int] = {}
-        for gram, _ in self.records:
-            variants[gram] = variants.get(gram, 0) + 1
-        compared = []
-        for (gram, body), occurrences in self.records.items():
-            if len(occurrences) > 1:
-                out += [(k1, k2, start, start + len(body)) for k1, k2, start in occurrences]
-            if variants[gram] > 1:
-                compared.append((gram, body, occurrences))
-        if compared:
-            text = np.frombuffer(b"".join(body for _, body, _ in compared), np.uint8)
-            lengths = np.array([len(body) for _, body, _ in compared])
-            begin = np.cumsum(lengths) - lengths
-            n = lengths - LENGTH + 1
-            starts = ragged(begin, n)
-            number = {gram: k for k, gram in enumerate(dict.fromkeys(gram for gram, _, _ in compared))}
-            bucket = np.repeat([number[gram] for gram, _, _ in compared], n)
-            hit = repeated(text, starts, bucket)
-            edges = np.cumsum(n) - n
-            for k in np.unique(np.repeat(np.arange(len(n)), n)[hit]):
-                occurrences = compared[k][2]
-                if len(occurrences) == 1:
-                    flags = np.diff(np.r_[0, hit[edges[k] : edges[k] + n[k]], 0].astype(np.int8))
-                    (k1, k2, start), = occurrences
-                    out += [(k1, k2, start + int(a), start + int(b) - 1 + LENGTH) for a, b in zip(np.flatnonzero(flags == 1), np.flatnonzero(flags == -1))]
-        return out
+def _block_spans(block: list[tuple]) -> list[tuple[int, int, int, int]]:
+    """Repeated strings of whole buckets of (gram, body, k1, k2, start, whole).
+
+    A record that is whole is known to be repeated and only compared with.
+    """
+    if not block:
+        return []
+    text = np.frombuffer(b"".join(record[1] for record in block), np.uint8)
+    lengths = np.array([len(record[1]) for record in block])
+    n = lengths - LENGTH + 1
+    starts = ragged(np.cumsum(lengths) - lengths, n)
+    number = {gram: k for k, gram in enumerate(dict.fromkeys(record[0] for record in block))}
+    hit = repeated(text, starts, np.repeat([number[record[0]] for record in block], n))
+    edges = np.cumsum(n) - n
+    out = []
+    for k in np.unique(np.repeat(np.arange(len(n)), n)[hit]):
+        _, _, k1, k2, start, whole = block[k]
+        if not whole:
+            flags = np.diff(np.r_[0, hit[edges[k] : edges[k] + n[k]], 0].astype(np.int8))
+            out += [(k1, k2, start + int(a), start + int(b) - 1 + LENGTH) for a, b in zip(np.flatnonzero(flags == 1), np.flatnonzero(flags == -1))]
+    return out
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of repeated strings; rows come sorted by gram, so buckets are consecutive."""
-    block, last = _Block(), None
+    block: list[tuple] = []
+    size = 0
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("gram", "body", "k1", "k2", "start")]
-        for gram, body, k1, k2, start in zip(*columns):
-            if gram != last and block.size >= BLOCK:
-                yield _span_batch(block.spans())
-                block = _Block()
-            last = gram
-            block.add(gram, body, (k1, k2, start))
-    yield _span_batch(block.spans())
+        for record in zip(*[batch.column(c).to_pylist() for c in ("gram", "body", "k1", "k2", "start", "whole")]):
+            if size >= BLOCK and record[0] != block[-1][0]:
+                yield _span_batch(_block_spans(block))
+                block, size = [], 0
+            block.append(record)
+            size += len(record[1])
+    yield _span_batch(_block_spans(block))
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,6 +232,23 @@ def text_keys(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
 
 
+def _shared(runs: DataFrame) -> DataFrame:
+    """The runs (saved) whose minimizer occurs elsewhere too: whole, first, variants added.
+
+    whole: an equal record is elsewhere. first: the one of its equals that stands
+    for them. variants: different records of the minimizer. Each small side is
+    saved before its join, so that AQE may split a frequent minimizer's rows.
+    """
+    place = F.xxhash64("k1", "k2", "start")
+    grams = runs.groupBy("gram").agg(F.min(place).alias("one"), F.max(place).alias("other")).where("one <> other").select("gram")
+    shared = saved(runs.join(saved(grams, "grams"), "gram"), "shared-runs", compression="zstd")
+    records = saved(shared.groupBy("gram", "record").agg(F.min(place).alias("one"), F.max(place).alias("other")), "records")
+    variants = saved(records.groupBy("gram").agg(F.count("*").alias("variants")), "variants")
+    marked = shared.join(records, ["gram", "record"]).join(variants, "gram")
+    marked = marked.select("gram", "k1", "k2", "start", "n", (F.col("one") != F.col("other")).alias("whole"), (place == F.col("one")).alias("first"), "variants")
+    return saved(marked, "marked-runs", compression="zstd")
+
+
 def repeated_spans(docs: DataFrame, *, text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
     """(k1, k2, removed, n_removed, kept) of each distinct text with something to remove.
 
@@ -234,26 +258,31 @@ def repeated_spans(docs: DataFrame, *, text_col: str = "text", bucket: int = BUC
     bound_batches(docs.sparkSession)
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     texts = docs.select(*text_keys(text), text.cast("binary").alias("text")).where(F.length("text") >= LENGTH)
-
-    runs = saved(texts.mapInArrow(_runs, "gram long, k1 long, k2 long, start long, n long"), "suffix-runs", compression="zstd")
-    place = F.xxhash64("k1", "k2", "start")
-    grams = runs.groupBy("gram").agg(F.count("*").alias("records"), F.min(place).alias("one"), F.max(place).alias("other"))
-    grams = grams.where("one <> other").select("gram", (F.col("records") > bucket).alias("large"))
-    shared = runs.join(grams, "gram").select("k1", "k2", "large", F.struct("start", "n", "gram").alias("run"))
-
-    # one row for each distinct text: copies meet map-side, and the exchange serves every use below
+    # one row for each distinct text: copies meet map-side
     distinct = texts.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
 
-    def with_runs(large: bool) -> DataFrame:
-        lists = shared.where(F.col("large") == large).groupBy("k1", "k2").agg(F.collect_set("run").alias("runs"))
+    def with_runs(runs: DataFrame) -> DataFrame:
+        lists = runs.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n", "gram", "whole")).alias("runs"))
         return distinct.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "runs")
 
-    records = with_runs(False).mapInArrow(_records, "gram long, k1 long, k2 long, start long, n long, body binary")
-    spans = records.repartition("gram").sortWithinPartitions("gram").mapInArrow(_buckets, "k1 long, k2 long, low long, high long")
-    hashes = with_runs(True).mapInArrow(_hashes, "h1 long, h2 long, k1 long, k2 long, start long")
-    again = hashes.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    large_spans = hashes.join(again, ["h1", "h2"]).select("k1", "k2", F.col("start").alias("low"), (F.col("start") + LENGTH).alias("high"))
-    found = spans.unionByName(large_spans).groupBy("k1", "k2").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    def whole_spans(marked: DataFrame) -> DataFrame:
+        return marked.where("whole").select("k1", "k2", F.col("start").alias("low"), (F.col("start") + F.col("n") + LENGTH - 1).alias("high"))
+
+    def bucket_spans(marked: DataFrame) -> DataFrame:
+        compared = marked.where(f"first and variants between 2 and {bucket}")
+        records = with_runs(compared).mapInArrow(_records, "gram long, k1 long, k2 long, start long, whole boolean, body binary")
+        return records.repartition("gram").sortWithinPartitions("gram").mapInArrow(_buckets, SPANS)
+
+    marked = _shared(saved(texts.mapInArrow(_runs, RUNS), "suffix-runs", compression="zstd"))
+    spans = whole_spans(marked).unionByName(bucket_spans(marked))
+    large = marked.where(f"first and variants > {bucket}")
+    if not large.isEmpty():
+        marked = _shared(saved(with_runs(large).mapInArrow(_split_runs, RUNS), "split-runs", compression="zstd"))
+        hashes = with_runs(marked.where(f"first and variants > {bucket}")).mapInArrow(_hashes, "h1 long, h2 long, k1 long, k2 long, start long")
+        again = hashes.groupBy("h1", "h2").agg(F.count("*").alias("times")).where("times > 1").drop("times")
+        counted = hashes.join(again, ["h1", "h2"]).select("k1", "k2", F.col("start").alias("low"), (F.col("start") + LENGTH).alias("high"))
+        spans = spans.unionByName(whole_spans(marked)).unionByName(bucket_spans(marked)).unionByName(counted)
+    found = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     cut = distinct.join(found, ["k1", "k2"], "left").where("copies > 1 or spans is not null")
     return cut.mapInArrow(_cut, "k1 long, k2 long, removed array<long>, n_removed long, kept binary")
 
