@@ -8,6 +8,9 @@ the operators' docstrings define; extra columns pass through.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,40 +26,58 @@ from playerlake.session import configure
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _stage(build: Stage) -> Stage:
+    """Settings applied, and extra columns under names that no operator uses meanwhile."""
+
+    @functools.wraps(build)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        configure(spark)
+        aside = {c: f"__extra_column_{k}" for k, c in enumerate(docs.columns) if c not in DOCUMENT}
+        out = build(spark, docs.withColumnsRenamed(aside), sf_dir)
+        return out.withColumnsRenamed({name: c for c, name in aside.items() if name in out.columns})
+
+    return run
+
+
 def _as_documents(found: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of ``docs``, with n_chars of the text as it is now."""
     now = {"n_chars": F.length("text").cast("long")} if "n_chars" in docs.columns else {}
     return found.withColumns(now).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    configure(spark)
     judged = apply_rules(docs)
     return judged.where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group."""
-    configure(spark)
     return one_per_group(docs)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of benchmark windows."""
-    configure(spark)
     return _as_documents(remove_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), docs)
 
 
+@_stage
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind."""
-    configure(spark)
     return _as_documents(redact(docs), docs)
 
 
+@_stage
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids and piece offsets of every document, and whether they decode to its text."""
-    configure(spark)
     coded = encode(docs, public_tokenizers.path(PIECE_MODEL), decoded=True)
     shown = F.coalesce(F.replace("text", F.lit("▁"), F.lit(" ")), F.lit(""))  # the visible space decodes to a space
     whole = (F.col("decoded") == shown).alias("round_trip")
