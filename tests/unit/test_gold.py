@@ -164,8 +164,21 @@ def test_as_of_accepts_string_date_column_and_default(spark, small):
     expected = ages(AS_OF)
     assert ages("2025-03-31") == expected
     assert ages(F.lit(AS_OF)) == expected
-    today = dt.date.today()
-    assert ages(None)["P1"] == (today - dt.date(2025, 1, 1)).days
+    # the live "today" is the session's current date (UTC); it may turn over in between
+    days = [spark.sql("SELECT current_date() AS d").first().d]
+    live = ages(None)["P1"]
+    days.append(spark.sql("SELECT current_date() AS d").first().d)
+    assert live in {(day - dt.date(2025, 1, 1)).days for day in days}
+
+
+@pytest.mark.parametrize("unique_ids", [True, False])
+def test_live_activity_follows_the_current_date(spark, unique_ids):
+    logins = {"recent": "current_timestamp() - interval 3 days", "old": "current_timestamp() - interval 20 days"}
+    rows = " UNION ALL ".join(
+        f"SELECT '{player}' AS PlayerID, 'US' AS Country, '{player}' AS SessionID, {login} AS LoginTime, 1.0D AS SessionTimeLength, "
+        f"date'2024-01-01' AS AccountCreationDate, 'Mobile' AS Platform, to_date({login}) AS SessionDate" for player, login in logins.items())
+    found = gold.player_activity(spark.sql(rows), unique_ids=unique_ids).collect()
+    assert {r.PlayerID: r.IsActive for r in found} == {"recent": True, "old": False}
 
 
 def test_exact_distinct_path_equals_key_counts_on_deduplicated_input(spark, small):
