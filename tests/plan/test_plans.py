@@ -156,10 +156,11 @@ def test_hot_player_is_split_in_the_session_join(spark):
         assert len(rows) == 30000
         assert "SortMergeJoin(skew=true)" in _plan(info).split("Initial Plan")[0]
         # the same join under a per-player aggregate: split as well (forced skew join)
-        activity = gold.player_activity(info, "2025-01-10")
-        hot = [r.TotalSessions for r in activity.collect() if r.PlayerID == "P0"]
-        assert hot == [10000 + 20]  # id % 3 == 0, plus multiples of 1000 not divisible by 3
-        assert "SortMergeJoin(skew=true)" in _plan(activity).split("Initial Plan")[0]
+        for unique_ids in (False, True):
+            activity = gold.player_activity(info, "2025-01-10", unique_ids)
+            hot = [r.TotalSessions for r in activity.collect() if r.PlayerID == "P0"]
+            assert hot == [10000 + 20]  # id % 3 == 0, plus multiples of 1000 not divisible by 3
+            assert "SortMergeJoin(skew=true)" in _plan(activity).split("Initial Plan")[0]
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)

@@ -60,7 +60,7 @@ def main(argv: list[str]) -> None:
         F.concat(F.lit("P"), ids.cast("string")).alias("plid"), F.lit("US").alias("country"),
         F.lit("30").alias("age"), F.lit("2024-01-01").alias("acc_creat_date"), F.lit("1").alias("gender"))
     info = gold.players_info(silver.clean_game_logs(logs), silver.clean_players(players))
-    save("hot_player_activity", gold.player_activity(info, "2025-01-10"),
+    save("hot_player_activity", gold.player_activity(info, "2025-01-10", unique_ids=True),
          "# player_activity over sessions x players with broadcast disabled and one player owning a third of\n"
          "# all sessions (tiny skew thresholds so the case shows at test size): SortMergeJoin(skew=true).")
     spark.stop()
