@@ -126,10 +126,14 @@ def fences(sketches: DataFrame) -> DataFrame:
 
 
 def judge(measured: DataFrame, limits: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``measured`` with ``kept``: joined to the fences of its language and source."""
+    """``measured`` with ``kept``: joined to the fences of its language and source.
+
+    The fences are saved first: their size is then known when the join is planned,
+    and few groups are broadcast instead of moving the texts.
+    """
     row = limits.groupBy(F.col("lang").alias("_lang"), F.col("source").alias("_source")).agg(
         *[F.max(F.when(F.col("measure") == name, F.col(side))).alias(f"_{name}_{side}") for name, _, _ in MEASURES for side in ("low", "high")])
-    joined = measured.join(row, F.col(f"`{lang_col}`").eqNullSafe(F.col("_lang")) & F.col(f"`{source_col}`").eqNullSafe(F.col("_source")), "left")
+    joined = measured.join(saved(row, "fences"), F.col(f"`{lang_col}`").eqNullSafe(F.col("_lang")) & F.col(f"`{source_col}`").eqNullSafe(F.col("_source")), "left")
     inside = F.lit(True)
     for name, value in _measures().items():
         inside = inside & (value >= F.coalesce(f"_{name}_low", value)) & (value <= F.coalesce(f"_{name}_high", value))
