@@ -76,33 +76,37 @@ def units_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _sums_by(index: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
+    """Add the columns of ``values`` (WIDTH, words) to the columns of ``out`` that index names."""
     if len(index):
         order = np.argsort(index.astype(np.int16), kind="stable")
         ordered = index[order]
         first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        out[ordered[first]] += np.add.reduceat(values[order], first, axis=0)
+        out[:, ordered[first]] += np.add.reduceat(values[:, order], first, axis=1, dtype=np.int32)
 
 
 def _accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Context sums of all units that a task saw."""
-    index = index_vectors()
-    sums, seen = np.zeros((2 * UNITS, WIDTH), np.int64), np.zeros(2 * UNITS, np.int64)
+    """Context sums of all units that a task saw. One row a dimension: sums run along memory."""
+    index = np.ascontiguousarray(index_vectors().T)
+    sums, seen = np.zeros((WIDTH, 2 * UNITS), np.int64), np.zeros(2 * UNITS, np.int64)
     for batch in batches:
         data, offsets = text_buffer(batch.column("text"))
         for a, b in row_slices(offsets):
             word, frame, row = units_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            own = index[word].astype(np.int32) + index[frame]
-            near = np.zeros_like(own)
+            own = np.take(index, word, axis=1) + np.take(index, frame, axis=1)
+            near = np.zeros_like(own)  # entries of at most 2 * 2 * REACH: a byte holds them
             for step in range(1, REACH + 1):
-                together = (row[step:] == row[:-step])[:, None]
-                near[step:] += own[:-step] * together
-                near[:-step] += own[step:] * together
+                near[:, step:] += own[:, :-step]
+                near[:, :-step] += own[:, step:]
+                # words of two texts are no neighbours
+                apart = np.flatnonzero(row[step:] != row[:-step])
+                near[:, apart + step] -= own[:, apart]
+                near[:, apart] -= own[:, apart + step]
             _sums_by(word, near, sums)
             _sums_by(frame, near, sums)
             seen += np.bincount(word, minlength=2 * UNITS) + np.bincount(frame, minlength=2 * UNITS)
     have = np.flatnonzero(seen)
     names = ["unit", "seen", *[f"v{k}" for k in range(WIDTH)]]
-    yield pa.RecordBatch.from_arrays([pa.array(have), pa.array(seen[have]), *[pa.array(sums[have, k]) for k in range(WIDTH)]], names=names)
+    yield pa.RecordBatch.from_arrays([pa.array(have), pa.array(seen[have]), *[pa.array(sums[k, have]) for k in range(WIDTH)]], names=names)
 
 
 def unit_vectors(texts: DataFrame) -> np.ndarray:
@@ -118,7 +122,7 @@ def unit_vectors(texts: DataFrame) -> np.ndarray:
     out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
     if weight.sum():
         out[unit] -= (out * weight[:, None]).sum(axis=0) / weight.sum()
-    return out.astype(np.float32)
+    return np.asfortranarray(out.astype(np.float32))  # a dimension's values lie together
 
 
 def pool(data: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -129,13 +133,13 @@ def pool(data: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.ndarr
     have = np.flatnonzero(n)
     if len(have):
         first = (np.cumsum(n) - n)[have]
-        count = n[have, None].astype(np.float32)
+        count = n[have].astype(np.float32)
         for k, unit in enumerate((word, frame)):
-            v = vectors[unit]
-            mean = np.add.reduceat(v, first, axis=0) / count
-            square = np.add.reduceat(v * v, first, axis=0) / count
-            out[have, 2 * k * WIDTH : (2 * k + 1) * WIDTH] = mean
-            out[have, (2 * k + 1) * WIDTH : (2 * k + 2) * WIDTH] = np.sqrt(np.maximum(square - mean * mean, 0))
+            v = np.take(vectors.T, unit, axis=1)
+            mean = np.add.reduceat(v, first, axis=1) / count
+            square = np.add.reduceat(v * v, first, axis=1) / count
+            out[have, 2 * k * WIDTH : (2 * k + 1) * WIDTH] = mean.T
+            out[have, (2 * k + 1) * WIDTH : (2 * k + 2) * WIDTH] = np.sqrt(np.maximum(square - mean * mean, 0)).T
     out[:, -2] = np.log1p(n)
     out[:, -1] = np.log1p(np.diff(offsets)) - np.log1p(n)
     return out
