@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playerlake.llm.columns import bound_batches, ragged, row_slices, text_buffer
+from playerlake.llm.columns import bound_batches, ragged, row_slices
 from playerlake.llm.piece_model import PieceModel, piece_model, read_model
 from playerlake.llm.rank_merge import distinct_tokens, merge, pre_tokens
 from playerlake.llm.token_counts import valid_text

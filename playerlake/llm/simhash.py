@@ -4,9 +4,9 @@ A fingerprint bit is set where over half of the shingle hashes (XXH64, seed 42)
 have it. Equal fingerprints collapse first, so exact copies and empty texts cost
 one row. Two fingerprints that differ in at most ``radius`` bits agree on the bits
 of some choice of blocks (``block_choices``). Rows that share these bits form a
-bucket, in which they are compared bit-sliced. A
-bucket emits a spanning forest of its links, never all pairs. Buckets over
-``TILE`` rows are cut into tiles, and every pair of tiles meets in some task.
+bucket, in which they are compared bit-sliced. A bucket emits a spanning forest of
+its links, never all pairs. Buckets over ``TILE`` rows are cut into tiles, and every
+pair of tiles meets in some task.
 
 Words: A-Z lower-cased, separated by space, tab to carriage return.
 
@@ -211,8 +211,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The row with the smallest id of each group, null ids last; of equal ids and texts one row."""
+    """The row with the smallest id of each group, null ids last.
+
+    Of rows equal in id and text one stays, the same on every run: the first by a
+    hash of the columns that can be hashed.
+    """
     rows = _grouped(docs, id_col, text_col, shingle, radius)
     best = rows.groupBy("group").agg(F.min(F.struct(F.col("id").isNull(), "id", "r1", "r2")).alias("best")).select("best.r1", "best.r2")
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *row_keys(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")))
-    return keyed.join(best, ["r1", "r2"], "left_semi").groupBy("r1", "r2").agg(F.min("row").alias("row")).select("row.*")
+    order = F.xxhash64(*[F.col("row").getField(c) for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"])
+    return keyed.join(best, ["r1", "r2"], "left_semi").groupBy("r1", "r2").agg(F.min_by("row", order).alias("row")).select("row.*")

@@ -190,8 +190,8 @@ def test_simhash_groups_equal_brute_force(spark, rng, monkeypatch, tile):
     want = Counter((i, p, names[g]) for (i, *_), p, g in zip(rows, prints, group))
     got = Counter((r.id, r.fp % (1 << 64), r.component) for r in simhash.near_duplicates(spark.createDataFrame(rows, DOCS)).collect())
     assert got == want and len(set(group)) < len(rows) - 30
-    kept = simhash.one_per_group(spark.createDataFrame([(*r, 1) for r in rows], DOCS + ", group int"))
-    assert kept.columns == ["doc_id", "text", "lang", "source", "group"]
+    kept = simhash.one_per_group(spark.createDataFrame([(*r, 1, {"a": 1}) for r in rows], DOCS + ", group int, tags map<string,int>"))
+    assert kept.columns == ["doc_id", "text", "lang", "source", "group", "tags"]
     assert Counter(r.doc_id for r in kept.collect()) == Counter(names[g] for g in set(group))
 
 

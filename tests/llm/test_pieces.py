@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import random
 
-import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
