@@ -200,14 +200,15 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius:
     prints = saved(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle), "fingerprints")
     nodes = saved(prints.select(F.col("fp").alias("node"), "fp").distinct(), "nodes")
     groups = components(near_links(nodes, radius)).select(F.col("node").alias("fp"), F.col("component").alias("group"))
-    return prints.join(groups, "fp", "left").select("id", "r1", "r2", "fp", F.coalesce("group", "fp").alias("group"))
+    # saved before the join: a frequent fingerprint's rows may then be split
+    return prints.join(saved(groups, "groups"), "fp", "left").select("id", "r1", "r2", "fp", F.coalesce("group", "fp").alias("group"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(id, fp, component) of every row; component is the smallest id of its group."""
     rows = _grouped(docs, id_col, text_col, shingle, radius)
     names = rows.groupBy("group").agg(F.min("id").alias("component"))
-    return rows.join(names, "group").select("id", "fp", "component")
+    return rows.join(saved(names, "group-names"), "group").select("id", "fp", "component")
 
 
 def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
