@@ -33,7 +33,8 @@ def components(edges: DataFrame) -> DataFrame:
         else:
             further = labels.select(F.col("node").alias("to"), F.col("component").alias("end"))
             stepped = pointers.join(further, "to", "left").select("node", F.coalesce("end", "to").alias("component"))
-            labels = saved(stepped.unionByName(labels), "labels")
+            # a pointer's target may point again in a later round: such a node keeps one row
+            labels = saved(stepped.unionByName(labels.join(pointers, "node", "left_anti")), "labels")
     if labels is None:
         labels = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = labels.select(F.col("component").alias("node"), "component").distinct()

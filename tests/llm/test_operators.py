@@ -211,6 +211,20 @@ def test_components_of_a_long_chain(spark):
     assert got == {x: min(part) for part in (left, right) for x in part}
 
 
+def test_components_name_each_node_once(spark, rng):
+    from playerlake.llm.components import components
+
+    paths = [(1, 2), (2, 3)], [(k, k + 1) for k in range(1, 5)], [(k, rng.randrange(max(0, k - 3), k)) for k in range(1, 150) if k % 40]
+    for edges in paths:
+        nodes = {x for e in edges for x in e}
+        name = {x: x for x in nodes}
+        for _ in nodes:
+            for a, b in edges:
+                name[a] = name[b] = min(name[a], name[b])
+        got = Counter((r.node, r.component) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())
+        assert got == Counter(name.items())
+
+
 # -- personal data -----------------------------------------------------------------
 
 
