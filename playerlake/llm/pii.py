@@ -7,7 +7,9 @@ give the positions, in code points with exclusive ends. Patterns are anchored at
 the start of a run, so no pattern rescans a long run.
 
 Kinds: email, ip, card and phone are the base ones, kept by their validators
-alone. iban must pass mod 97. token (a long run of letters and digits) and
+alone. iban must pass mod 97 at its country's length; its pattern finds only the
+head, so words or another IBAN after it don't hide the end. A country code without
+a fixed length may end after any group. token (a long run of letters and digits) and
 account (a bare number) have no checksum and are kept only where context words
 raise their score to ``THRESHOLD``.
 
@@ -31,7 +33,7 @@ KINDS = [
     ("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", 1.0),
     ("card", r"[0-9](?:[\x20-]?[0-9]){11,}+", 1.0),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 1.0),
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", 1.0),
+    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})", 1.0),
     ("token", r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]{0,40}[0-9])[A-Za-z0-9_-]{20,}+", 0.3),
     ("account", r"(?<![A-Za-z0-9.+-])[0-9]{6,11}+(?![A-Za-z0-9@-]|\.[0-9])", 0.3),
 ]
@@ -41,6 +43,15 @@ CONTEXT = {
     "token": r"(?i)\b(?:token|secret|password|passwd|api[_ -]?key|key|bearer)\b",
     "account": r"(?i)\b(?:account|acct|konto|compte|cuenta|iban|ssn|passport|ausweis)\b",
 }
+#: The length of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: Characters of the longest IBAN with a space before each character after its head.
+IBAN_CHARS = 64
 #: A cheap test that a text can hold the kind at all.
 NEEDS = {"email": "@", "phone": "+"}
 
@@ -69,6 +80,20 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _iban_length(near: Column) -> Column:
+    """Characters, spaces included, of the IBAN that ``near`` starts with; null for none."""
+    known = F.create_map(*[F.lit(x) for n, codes in IBAN_LENGTHS.items() for code in codes.split() for x in (code, n)])
+    wanted = F.try_element_at(known, F.substring(near, 1, 2))
+
+    def admissible(n: Column) -> Column:
+        part = F.substring(near, 1, n)
+        size = F.length(F.replace(part, F.lit(" ")))
+        whole = (F.length(part) == n) & part.rlike(r"^[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}$") & ~F.substring(near, n + 1, 1).rlike("[A-Za-z0-9]")
+        return whole & (size == F.coalesce(wanted, size)) & _valid("iban", part)
+
+    return F.array_max(F.filter(F.sequence(F.lit(15), F.lit(IBAN_CHARS)), admissible))
+
+
 def _spans(text: Column, number: int, kind: str, pattern: str, score: float) -> Column:
     """Array of (start, kind, end, name, score) of the confirmed matches of one kind."""
     struct = "array<struct<start:int,kind:int,end:int,name:string,score:double>>"
@@ -78,17 +103,21 @@ def _spans(text: Column, number: int, kind: str, pattern: str, score: float) ->
 
     def walk(acc: Column, step: Column) -> Column:
         start = acc["at"] + F.length(step["gap"])
-        end = start + F.length(step["match"])
+        at = end = start + F.length(step["match"])
+        if kind == "iban":  # a group inside an IBAN can look like a head
+            end = F.when(start >= acc["until"], start + _iban_length(F.substring(text, start + 1, IBAN_CHARS + 1)))
+            good = end.isNotNull()
+        else:
+            good = _valid(kind, step["match"])
         total = F.lit(score)
         if kind in CONTEXT:
             near = F.substring(step["gap"], -CONTEXT_CHARS, CONTEXT_CHARS).rlike(CONTEXT[kind])
             total = total + F.when(near, CONTEXT_BONUS).otherwise(0.0)
         span = F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"), F.lit(kind).alias("name"), total.alias("score"))
-        good = _valid(kind, step["match"]) & (total >= THRESHOLD)
-        found = F.when(good, F.concat(acc["found"], F.array(span).cast(struct))).otherwise(acc["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
+        found = F.when(good & (total >= THRESHOLD), F.concat(acc["found"], F.array(span).cast(struct))).otherwise(acc["found"])
+        return F.struct(at.alias("at"), F.coalesce(end, acc["until"]).alias("until"), found.alias("found"))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(struct).alias("found"))
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("until"), F.array().cast(struct).alias("found"))
     test = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else text.rlike(pattern)
     if kind in CONTEXT:
         test = text.rlike(CONTEXT[kind]) & test

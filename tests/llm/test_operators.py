@@ -268,6 +268,23 @@ def test_checksums_and_context_decide_the_other_kinds(spark):
     assert got == {1: {"iban"}, 2: set(), 3: {"token"}, 4: set(), 5: {"account"}, 6: set()}
 
 
+def iban(country: str, body: str) -> str:
+    return country + f"{98 - int(''.join(str(int(c, 36)) for c in body + country + '00')) % 97:02d}" + body
+
+
+def test_ibans_end_at_their_own_length(spark, rng):
+    plain = ["DE89370400440532013000", "GB82WEST12345698765432", "NO9386011117947", iban("MT", "MALT01100" + "0012345MTLCAST001S"), iban("BE", "539007547034"), iban("ZZ", "AB12CD34EF56")]
+    grouped = [" ".join(x[k : k + 4] for k in range(0, len(x), 4)) for x in plain]
+    follow = ["", ".", " BIC COBADEFFXXX", " Please pay", " 2024 due", " today", " I", " 7", " A1 B2 C3 D4 E5 F6 G7 H8 J9", "\n"]
+    rows = [(f"IBAN {x}{after}", [x]) for x in plain[:5] + grouped[:5] for after in follow]
+    rows += [(f"{x} {y}", [x, y]) for x in plain[:5] + grouped[:5] for y in plain[:5] + grouped[:5]]
+    rows += [(f"é😀 {plain[5]}, {grouped[5]}. ", [plain[5], grouped[5]]), ("DE89370400440532013000X", []), ("xDE89370400440532013000", []), ("DE88370400440532013000 BIC", [])]
+    found = pii.find_pii(spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id long, text string")).collect()
+    for r in found:
+        text, want = rows[r.doc_id]
+        assert [text[s["start"] : s["end"]] for s in r.pii if s["name"] == "iban"] == want, text
+
+
 def test_redaction_cuts_every_span(spark, rng):
     texts = pii_texts(rng)
     cut = pii.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
