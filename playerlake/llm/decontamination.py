@@ -233,7 +233,8 @@ def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, window:
 
     Items are cut into overlapping pieces of at most ``block_bytes`` / 16 bytes on
     the executors, so even one huge item spreads over blocks; the number of
-    blocks comes from the measured total.
+    blocks comes from the measured total of texts and ids. Pieces are dealt by id
+    and text, so many ids that share a text spread over blocks too.
     """
     piece = max(1024, block_bytes // 16)
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(text_col).cast("string").alias("text"))
@@ -251,7 +252,7 @@ def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, window:
                     b = max(int(np.searchsorted(ends, starts[a] + piece, side="right")), a + window)
                     b = min(b, len(starts))
                     body = text[starts[a] : ends[b - 1]].tobytes()
-                    rows.append((item, body, len(body), len(rows)))
+                    rows.append((item, body, len(body) + len(item.encode()), len(rows)))
                     if b == len(starts):
                         break
                     a = b - window + 1
@@ -260,7 +261,7 @@ def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, window:
     pieces = items.mapInArrow(cut, schema)
     total = pieces.agg(F.sum("size")).collect()[0][0] or 0
     count = max(1, math.ceil(total / block_bytes))
-    block = F.pmod(F.xxhash64("text"), F.lit(count))
+    block = F.pmod(F.xxhash64("item", "text"), F.lit(count))
     return [[(r.item, bytes(r.text)) for r in pieces.where(block == k).select("item", "text").distinct().collect()] for k in range(count)]
 
 

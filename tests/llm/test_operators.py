@@ -102,6 +102,14 @@ def test_contamination_of_empty_tables(spark):
     assert decontamination.find_contamination(docs.limit(0), items).count() == 0
 
 
+def test_items_that_share_a_text_spread_over_blocks(spark, rng):
+    text = prose(rng, 15)
+    items = spark.createDataFrame([(k, text) for k in range(600)] + [(1000 + k, prose(rng, 15)) for k in range(100)], "item_id long, text string")
+    blocks = decontamination.benchmark_blocks(items, "item_id", "text", 10, block_bytes=8192)
+    assert sorted(int(item) for block in blocks for item, _ in block) == [*range(600), *range(1000, 1100)]
+    assert max(sum(len(t) + len(i) for i, t in block) for block in blocks) < 2 * 8192
+
+
 # -- quality rules -----------------------------------------------------------------
 
 
