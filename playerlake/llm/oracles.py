@@ -113,4 +113,87 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged LEFT JOIN inside USING (doc_id)
 """
 
-SQL = {"op2_quality_rules": OP2, "op8_warc": OP8, "op1_decontamination": OP1}
+OP12 = r"""
+WITH good_ids AS (
+    SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id
+), texts AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), judged AS (
+    SELECT doc_id, part, [len(words) < 200,
+                          100 * len(list_distinct(words)) < 50 * len(words),
+                          100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 2 * length(text),
+                          regexp_matches(text, '[#$%&*|]'),
+                          coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), FALSE)] AS fails
+    FROM texts
+), counted AS (
+    SELECT part, fails, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, count(*) AS n
+    FROM judged LEFT JOIN good_ids USING (doc_id) GROUP BY ALL
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter
+), orders AS (
+    SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.letter, b.letter, c.letter, d.letter, e.letter])) = 5
+), steps AS (
+    SELECT filter_order, step, [instr('ABCDE', x) FOR x IN string_split(filter_order, '')] AS places
+    FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), outcomes AS (
+    SELECT *, fails[places[step]] AS here, list_bool_or([fails[x] FOR x IN places[1 : step - 1]]) AS earlier,
+           len(list_filter(fails, lambda x: x)) AS failed
+    FROM counted, steps
+), summed AS (
+    SELECT part, filter_order, step,
+           coalesce(sum(n) FILTER (NOT coalesce(earlier, FALSE) AND NOT here), 0) AS kept,
+           coalesce(sum(n) FILTER (NOT coalesce(earlier, FALSE) AND here), 0) AS removed,
+           coalesce(sum(n) FILTER (earlier AND here), 0) AS redundant,
+           coalesce(sum(n) FILTER (here AND failed = 1), 0) AS unique_fails,
+           coalesce(sum(n) FILTER (NOT coalesce(earlier, FALSE) AND here AND good = 1), 0) AS good_lost,
+           coalesce(sum(n) FILTER (NOT coalesce(earlier, FALSE) AND here AND toxic = 1), 0) AS toxic_lost
+    FROM outcomes GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, substr(filter_order, step, 1)) AS BIGINT) AS shapley
+FROM summed
+"""
+
+OP13 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), words AS (
+    SELECT doc, lang, source, unnest(terms) AS term FROM docs
+), vocabulary AS (
+    SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 10
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM words JOIN vocabulary USING (lang, term) GROUP BY ALL
+), langs AS (
+    SELECT lang, count(*) AS v, sum(n) AS total FROM vocabulary GROUP BY lang
+), groups AS (
+    SELECT g.lang, g.source, coalesce(l.v, 0) AS v, coalesce(c.total, 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN langs l USING (lang)
+    LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source) c USING (lang, source)
+), shares AS (
+    SELECT g.lang, g.source, w.term, coalesce(c.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * g.v) AS p,
+           1 + (1000000000::HUGEINT * (w.n + 2)) // (l.total + 2 * l.v) AS q
+    FROM groups g JOIN vocabulary w USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL
+), found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+SQL = {"op2_quality_rules": OP2, "op8_warc": OP8, "op1_decontamination": OP1, "op12_filter_audit": OP12, "op13_source_divergence": OP13}

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from playerlake.llm import oracles, pii
 from playerlake.llm.decontamination import find_contamination
+from playerlake.llm.divergence_audit import divergence_audit
+from playerlake.llm.filter_audit import audit_filters
 from playerlake.llm.lm_scoring import score_documents
 from playerlake.llm.pii import find_pii, span_list
 from playerlake.llm.piece_codec import encode
 from playerlake.llm.quality_classifier import score_quality
 from playerlake.llm.quality_rules import BASE, apply_rules
 from playerlake.llm.repeated_substrings import repeated_spans, text_keys
+from playerlake.llm.sequence_packing import pack_documents
 from playerlake.llm.simhash import near_duplicates
 from playerlake.llm.token_counts import count_tokens
 from playerlake.llm.warc import read_archives, write_archives
@@ -23,6 +26,7 @@ from playerlake.session import configure, scratch_dir
 
 
 PIECE_MODEL = "piece_bpe_32k.model"
+WORD_MODEL = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,6 +124,23 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences of at most 2048 ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = pack_documents(docs, public_tokenizers.path(WORD_MODEL), keep_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from each source in every order."""
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language differ, and the terms that set each apart."""
+    return divergence_audit(table(spark, sf_dir, "documents"))
+
+
 def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(configure(spark), sf_dir)
@@ -128,5 +149,5 @@ def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
     return run
 
 
-QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op2_quality_rules, op3_lm_scoring, op4_quality_classifier, op5_simhash_neardup, op6_token_counts, op7_sentencepiece, op8_warc, op9_pii, op10_repeated_substrings)}
+QUERIES = {q.__name__: _configured(q) for q in (op1_decontamination, op2_quality_rules, op3_lm_scoring, op4_quality_classifier, op5_simhash_neardup, op6_token_counts, op7_sentencepiece, op8_warc, op9_pii, op10_repeated_substrings, op11_sequence_packing, op12_filter_audit, op13_source_divergence)}
 ORACLES = oracles.SQL
