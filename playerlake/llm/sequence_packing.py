@@ -7,10 +7,11 @@ decreasing. A lower bound from dual feasible functions certifies its number of
 sequences. What a group uses beyond its bound is its gap: it gives the pieces of its
 emptiest sequences away, as many sequences as hold the gap's room and one sequence's
 more. All given pieces are dealt into fewer, mixed groups and packed again; the new
-packing stands if it has fewer sequences. The rounds end when a single group has
-packed all that was given, when a round gains nothing, or when the number of
-sequences is the lower bound of the whole corpus, which comes from a histogram of
-lengths. Groups are bounded and each round gives a small part of the one before.
+packing stands if it has fewer sequences. Where a round gains little, the next one
+takes sequences with four times the room, up to ``WIDEST``. The rounds end there, or
+when the number of sequences is the lower bound of the whole corpus, which comes from
+a histogram of lengths. Each round takes from bounded groups and leaves the rest as
+it was written.
 
 Defined results: null or empty text is the end id alone; very long texts are cut into
 as many pieces as they need; repeated rows are documents of their own, with equal
@@ -21,6 +22,7 @@ result is replaced by it; malformed UTF-8 counts as replacement characters.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 from fractions import Fraction
@@ -44,6 +46,9 @@ END_ID = 0
 
 #: Pieces of a group: what one task holds and packs at a time.
 GROUP = 8192
+
+#: The last exchange takes sequences with 4 to this power times the room of the first.
+WIDEST = 3
 SLICE = 4 << 20
 
 PIECE = [("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids_crc32", T.LongType())]
@@ -87,7 +92,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, *, text_col: str = "text
 
 
 def _pack_group(capacity: int):
-    """A group's pieces with sequence, offset and whether its sequence is given away."""
+    """A group's pieces with sequence, offset and the width of exchange from which its sequence is given (-1: none)."""
 
     def pack(table: pa.Table) -> pa.Table:
         table = table.sort_by(_ROW)
@@ -98,11 +103,13 @@ def _pack_group(capacity: int):
         names[bins[offsets == 0]] = row[offsets == 0]  # a sequence is named by its first piece
         room = capacity - np.bincount(bins, length, n_bins).astype(np.int64)
         emptiest = np.argsort(-room, kind="stable")
-        given = np.zeros(n_bins, bool)
+        width = np.full(n_bins, -1, np.int32)
         if (gap := n_bins - bound) > 0:
-            given[emptiest[: np.searchsorted(np.cumsum(room[emptiest]), int(gap * capacity) + capacity) + 1]] = True
-        new = [names[bins], offsets, np.full(len(row), n_bins == ceil(bound)), given[bins]]
-        for name, column in zip([*[name for name, _ in PLACE], "given"], new):
+            before = np.cumsum(room[emptiest]) - room[emptiest]
+            first = int(gap * capacity) + capacity
+            width[emptiest] = np.searchsorted(first * 4 ** np.arange(WIDEST + 1), before, side="right")
+        new = [names[bins], offsets, np.full(len(row), n_bins == ceil(bound)), width[bins]]
+        for name, column in zip([*[name for name, _ in PLACE], "width"], new):
             table = table.append_column(name, pa.array(column))
         return table.drop_columns("part")
 
@@ -113,7 +120,7 @@ def _packed(pieces: DataFrame, n: int, capacity: int, group: int, turn: int) ->
     """``pieces`` dealt into groups and packed, saved."""
     groups = max(1, -(-n // group))
     dealt = pieces.withColumn("part", F.pmod(F.xxhash64(_ROW, F.lit(turn)), F.lit(groups)))
-    schema = T.StructType([*pieces.schema.fields, *[T.StructField(name, kind) for name, kind in PLACE], T.StructField("given", T.BooleanType())])
+    schema = T.StructType([*pieces.schema.fields, *[T.StructField(name, kind) for name, kind in PLACE], T.StructField("width", T.IntegerType())])
     return saved(dealt.groupBy("part").applyInArrow(_pack_group(capacity), schema), "packed-pieces")
 
 
@@ -123,6 +130,10 @@ def _sequences(placed: DataFrame) -> tuple[int, int]:
     return found.n, found.bins
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def pack_pieces(pieces: DataFrame, *, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """``pieces`` (with length) and sequence_id, offset, certified.
 
@@ -138,25 +149,20 @@ def pack_pieces(pieces: DataFrame, *, capacity: int = CAPACITY, group: int = GRO
     lengths = rest.groupBy("length").count().collect()
     least = ceil(lower_bound(np.array([r["length"] for r in lengths]), np.array([r["count"] for r in lengths]), capacity))
     n = sum(r["count"] for r in lengths)
-    placed, turn, total = _packed(rest, n, capacity, group, 0), 0, None
-    while n > group:
-        total = _sequences(placed)[1] if total is None else total
-        given = placed.where("given")
+    placed, turn, width = [_packed(rest, n, capacity, group, 0)], 0, 0
+    total = _sequences(placed[0])[1] if n > group else least
+    while total > least and width <= WIDEST:
+        given = _union([part.where(F.col("width").between(0, width)) for part in placed])
         n, before = _sequences(given)
-        if total == least or n == 0:
-            break
         turn += 1
-        again = _packed(given.drop(*[name for name, _ in PLACE], "given"), n, capacity, group, turn)
-        after = _sequences(again)[1]
-        if after >= before:
-            break
-        done.append(placed.where("not given").drop("given"))
-        placed, total = again, total - before + after
-    done.append(placed.drop("given"))
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out.drop(_ROW)
+        again = _packed(given.drop(*[name for name, _ in PLACE], "width"), n, capacity, group, turn)
+        gain = before - _sequences(again)[1]
+        if gain > 0:
+            placed = [part.where(~F.col("width").between(0, width)) for part in placed] + [again]
+        if 10 * gain < total - least:
+            width += 1
+        total -= max(gain, 0)
+    return _union([*done, *[part.drop("width") for part in placed]]).drop(_ROW)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, *, text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, group: int = GROUP, keep_ids: bool = True) -> DataFrame:
