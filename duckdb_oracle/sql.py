@@ -17,6 +17,8 @@ below 2^53); a wider scale loses that for large sums. Timestamps are plain ``TIM
 
 from __future__ import annotations
 
+from playerlake.clock import run_date
+
 # --- Fixed values (must equal the pipeline's code tables) ---------------------
 AS_OF = "DATE '2024-02-14'"
 
@@ -100,6 +102,41 @@ def _mode_smallest(source: str, keys: list[str], value: str, alias: str) -> str:
     )
 
 
+def _daily_sessions(info: str, mode: str) -> str:
+    return f"""
+SELECT g.SessionDate, g.Country,
+       COUNT(DISTINCT g.PlayerID) AS UniquePlayers,
+       COUNT(DISTINCT g.SessionID) AS UniqueSessions,
+       SUM(g.SessionTimeLength) AS TotalDailySessionLength,
+       AVG(g.Age) AS AvgPlayerAge,
+       quantile_cont(g.Age, 0.5) AS MedianPlayerAge,
+       any_value(m.ModePlayerAge) AS ModePlayerAge,
+       stddev_samp(g.Age) AS StandardDeviationPlayerAge,
+       CAST(COUNT(DISTINCT g.Country) AS BIGINT) AS UniqueCountries
+FROM {info} g
+LEFT JOIN {mode} m ON g.SessionDate IS NOT DISTINCT FROM m.SessionDate
+                    AND g.Country IS NOT DISTINCT FROM m.Country
+GROUP BY g.SessionDate, g.Country"""
+
+
+def _activity(info: str, mode: str, today: str) -> str:
+    return f"""
+SELECT g.PlayerID, g.Country,
+       COUNT(DISTINCT g.SessionID) AS TotalSessions,
+       AVG(g.SessionTimeLength) AS AvgSessionLengthMinutes,
+       SUM(g.SessionTimeLength) AS TotalPlayTimeMinutes,
+       MAX(g.LoginTime) AS LastLoginDate,
+       COUNT(DISTINCT g.SessionID) / NULLIF(COUNT(DISTINCT g.SessionDate), 0) AS AvgSessionsPerDay,
+       CAST(date_diff('day', MIN(g.AccountCreationDate), {today}) AS INTEGER) AS AccountAgeDays,
+       any_value(m.PrimaryPlatform) AS PrimaryPlatform,
+       COUNT(DISTINCT g.Platform) AS PlatformDiversity,
+       COALESCE(date_diff('day', CAST(MAX(g.LoginTime) AS DATE), {today}) <= 15, FALSE) AS IsActive
+FROM {info} g
+LEFT JOIN {mode} m ON g.PlayerID IS NOT DISTINCT FROM m.PlayerID
+                         AND g.Country IS NOT DISTINCT FROM m.Country
+GROUP BY g.PlayerID, g.Country"""
+
+
 # Layer CTEs, each as (name, sql). Later ones refer to earlier ones by name.
 _CTES: list[tuple[str, str]] = [
     ("bronze_players", """
@@ -155,27 +192,24 @@ FROM silver_game_logs l JOIN silver_players p ON l.PlayerID = p.PlayerID"""),
 SELECT t.PlayerID, t.TransactionID, t.Item, t.ItemPrice, t.PaymentMethod, t."Timestamp" AS PaymentTimestamp,
        p.Country, p.Age, p.AccountCreationDate, p.Gender, p.AgeBin, CAST(t."Timestamp" AS DATE) AS SessionDate
 FROM silver_purchases t JOIN silver_players p ON t.PlayerID = p.PlayerID"""),
+    ("info_by_action", "SELECT *, unnest(Actions) AS Action FROM gold_players_info"),
+    ("paid_twice", "SELECT * FROM gold_players_purchases UNION ALL SELECT * FROM gold_players_purchases WHERE PaymentMethod = 'Credit Card'"),
     ("mode_age", _mode_smallest("gold_players_info", ["SessionDate", "Country"], "Age", "ModePlayerAge")),
-    ("daily_session_metrics", """
-SELECT g.SessionDate, g.Country,
-       COUNT(DISTINCT g.PlayerID) AS UniquePlayers,
-       COUNT(DISTINCT g.SessionID) AS UniqueSessions,
-       SUM(g.SessionTimeLength) AS TotalDailySessionLength,
-       AVG(g.Age) AS AvgPlayerAge,
-       quantile_cont(g.Age, 0.5) AS MedianPlayerAge,
-       any_value(m.ModePlayerAge) AS ModePlayerAge,
-       stddev_samp(g.Age) AS StandardDeviationPlayerAge,
-       CAST(COUNT(DISTINCT g.Country) AS BIGINT) AS UniqueCountries
-FROM gold_players_info g
-LEFT JOIN mode_age m ON g.SessionDate IS NOT DISTINCT FROM m.SessionDate
-                    AND g.Country IS NOT DISTINCT FROM m.Country
-GROUP BY g.SessionDate, g.Country"""),
+    ("daily_session_metrics", _daily_sessions("gold_players_info", "mode_age")),
+    ("mode_age_general", _mode_smallest("info_by_action", ["SessionDate", "Country"], "Age", "ModePlayerAge")),
+    ("daily_session_metrics_general", _daily_sessions("info_by_action", "mode_age_general")),
     ("daily_purchase_metrics", """
 SELECT SessionDate, Country,
        COUNT(DISTINCT TransactionID) AS UniqueTransactions,
        SUM(ItemPrice) AS TotalDailyRevenue,
        AVG(ItemPrice) AS AverageDailyItemPrice
 FROM gold_players_purchases GROUP BY SessionDate, Country"""),
+    ("daily_purchase_metrics_general", """
+SELECT SessionDate, Country,
+       COUNT(DISTINCT TransactionID) AS UniqueTransactions,
+       SUM(ItemPrice) AS TotalDailyRevenue,
+       AVG(ItemPrice) AS AverageDailyItemPrice
+FROM paid_twice GROUP BY SessionDate, Country"""),
     ("gold_daily_metrics", """
 SELECT s.*, p.UniqueTransactions, p.TotalDailyRevenue, p.AverageDailyItemPrice
 FROM daily_session_metrics s JOIN daily_purchase_metrics p
@@ -190,24 +224,16 @@ FROM silver_game_logs l JOIN (SELECT DISTINCT PlayerID, Country FROM silver_play
      + " FROM actions_exploded GROUP BY PlayerID, Country"),
     ("actions_summary", f"SELECT *, {_favorite()} AS FavoriteAction FROM action_counts"),
     ("mode_platform", _mode_smallest("gold_players_info", ["PlayerID", "Country"], "Platform", "PrimaryPlatform")),
-    ("player_activity", f"""
-SELECT g.PlayerID, g.Country,
-       COUNT(DISTINCT g.SessionID) AS TotalSessions,
-       AVG(g.SessionTimeLength) AS AvgSessionLengthMinutes,
-       SUM(g.SessionTimeLength) AS TotalPlayTimeMinutes,
-       MAX(g.LoginTime) AS LastLoginDate,
-       COUNT(DISTINCT g.SessionID) / NULLIF(COUNT(DISTINCT g.SessionDate), 0) AS AvgSessionsPerDay,
-       CAST(date_diff('day', MIN(g.AccountCreationDate), {AS_OF}) AS INTEGER) AS AccountAgeDays,
-       any_value(m.PrimaryPlatform) AS PrimaryPlatform,
-       COUNT(DISTINCT g.Platform) AS PlatformDiversity,
-       COALESCE(date_diff('day', CAST(MAX(g.LoginTime) AS DATE), {AS_OF}) <= 15, FALSE) AS IsActive
-FROM gold_players_info g
-LEFT JOIN mode_platform m ON g.PlayerID IS NOT DISTINCT FROM m.PlayerID
-                         AND g.Country IS NOT DISTINCT FROM m.Country
-GROUP BY g.PlayerID, g.Country"""),
+    ("player_activity", _activity("gold_players_info", "mode_platform", AS_OF)),
+    ("mode_platform_general", _mode_smallest("info_by_action", ["PlayerID", "Country"], "Platform", "PrimaryPlatform")),
+    ("player_activity_general", _activity("info_by_action", "mode_platform_general", AS_OF)),
+    ("player_activity_today", _activity("gold_players_info", "mode_platform", f"DATE '{run_date()}'")),
     ("player_engagement", """
 SELECT a.*, s.* EXCLUDE (PlayerID, Country)
 FROM player_activity a JOIN actions_summary s ON a.PlayerID = s.PlayerID AND a.Country = s.Country"""),
+    ("player_engagement_today", """
+SELECT a.*, s.* EXCLUDE (PlayerID, Country)
+FROM player_activity_today a JOIN actions_summary s ON a.PlayerID = s.PlayerID AND a.Country = s.Country"""),
     ("player_spend", """
 SELECT PlayerID, Country,
        SUM(ItemPrice) AS TotalSpent,
@@ -216,9 +242,18 @@ SELECT PlayerID, Country,
        MIN(PaymentTimestamp) AS FirstPurchaseDate,
        MAX(PaymentTimestamp) AS LastPurchaseDate
 FROM gold_players_purchases GROUP BY PlayerID, Country"""),
+    ("player_spend_general", """
+SELECT PlayerID, Country,
+       SUM(ItemPrice) AS TotalSpent,
+       COUNT(DISTINCT TransactionID) AS NumPurchases,
+       AVG(ItemPrice) AS AvgPurchaseValue,
+       MIN(PaymentTimestamp) AS FirstPurchaseDate,
+       MAX(PaymentTimestamp) AS LastPurchaseDate
+FROM paid_twice GROUP BY PlayerID, Country"""),
     ("gold_player_summary", """
 SELECT e.*, s.* EXCLUDE (PlayerID, Country)
 FROM player_engagement e JOIN player_spend s ON e.PlayerID = s.PlayerID AND e.Country = s.Country"""),
+    ("summary_twice", "SELECT * FROM gold_player_summary UNION ALL SELECT * FROM gold_player_summary WHERE PrimaryPlatform = 'Mobile'"),
 ]
 
 _CTE_NAMES = [name for name, _ in _CTES]
@@ -279,6 +314,30 @@ FROM gold_daily_metrics GROUP BY 1""",
     ),
 }
 
+# The same questions over tables with repeated ids or rows.
+_GENERAL = {
+    "q_feature_mix_general": ("q_feature_mix", "gold_player_summary", "summary_twice"),
+    "q_retention_general": ("q_retention", "gold_player_summary", "summary_twice"),
+    "q_players_by_country_general": ("q_players_by_country", "silver_players", "info_by_action"),
+}
+_ANALYSIS |= {name: _ANALYSIS[of].replace(table, other) for name, (of, table, other) in _GENERAL.items()}
+
+# Sorted questions: the order asked for, then what decides ties (nulls as Spark sorts them).
+_POSITIONS = {
+    "q_players_by_country": "Players DESC NULLS LAST, Country ASC NULLS FIRST",
+    "q_hours_by_action": "HoursPlayed DESC NULLS LAST, FavoriteAction ASC NULLS FIRST",
+    "q_hours_by_platform": "HoursPlayed DESC NULLS LAST, PrimaryPlatform ASC NULLS FIRST",
+    "q_sessions_by_weekday": "SessionWeekDay ASC NULLS FIRST",
+    "q_players_by_age_gender": "AgeBin ASC NULLS FIRST, Gender ASC NULLS FIRST",
+    "q_revenue_by_month": '"Month" ASC NULLS FIRST',
+    "q_revenue_by_item": "TotalRevenue DESC NULLS LAST, Item ASC NULLS FIRST",
+    "q_daily_totals": "SessionDate ASC NULLS FIRST",
+}
+_ANALYSIS |= {
+    f"{name}_ordered": f"SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS position FROM ({_ANALYSIS[name].strip()})"
+    for name, order in _POSITIONS.items()
+}
+
 # Double output columns per query (rounded before comparison).
 _DOUBLES = {
     "silver_game_logs": ["SessionTimeLength"],
@@ -306,6 +365,12 @@ _DOUBLES["player_engagement"] = _ACTIVITY_DOUBLES
 _DOUBLES["gold_player_summary"] = _ACTIVITY_DOUBLES + _DOUBLES["player_spend"]
 _DOUBLES["q_engagement_spend"] = ["AvgSessionLengthMinutes", "TotalPlayTimeMinutes", "TotalSpent",
                                   "AvgPurchaseValue"]
+_DOUBLES["daily_session_metrics_general"] = _DOUBLES["daily_session_metrics"]
+_DOUBLES["daily_purchase_metrics_general"] = _DOUBLES["daily_purchase_metrics"]
+_DOUBLES["player_spend_general"] = _DOUBLES["player_spend"]
+_DOUBLES["player_activity_general"] = _DOUBLES["player_engagement_today"] = _ACTIVITY_DOUBLES
+_DOUBLES |= {name: _DOUBLES.get(of, []) for name, (of, _, _) in _GENERAL.items()}
+_DOUBLES |= {f"{name}_ordered": _DOUBLES.get(name, []) for name in _POSITIONS}
 
 
 def digits(column: str) -> int:
@@ -349,12 +414,13 @@ def oracle_queries() -> dict[str, str]:
     """Query name -> DuckDB SQL over the driver tables."""
     out: dict[str, str] = {}
     for i, (name, _) in enumerate(_CTES):
-        if name in {"mode_age", "mode_platform", "action_counts", "player_activity"}:
+        if name in {"mode_age", "mode_platform", "action_counts", "player_activity", "player_activity_today", "info_by_action", "paid_twice", "summary_twice", "mode_age_general", "mode_platform_general"}:
             continue
         out[name] = _rounded(name, _with(f"SELECT * FROM {name}", i + 1))
     for name, body in _ANALYSIS.items():
         out[name] = _rounded(name, _with(body, len(_CTES)))
     # the same questions asked in SQL, and tables written and read back
-    out |= {f"{name}_sql": out[name] for name in _ANALYSIS}
+    asked = [name for name in _ANALYSIS if not name.endswith(("_general", "_ordered"))]
+    out |= {f"{name}_sql": out[name] for name in asked}
     out |= {f"table_{name}": out[name] for name in ("silver_game_logs", "gold_player_summary")}
     return out

@@ -17,10 +17,10 @@ Plan notes (what keeps these cheap at scale):
   pairs gives exactly the rows of join-then-group-by (PlayerID, Country).
 * SessionID and TransactionID are unique keys of the denormalised tables (the
   silver dedup keeps one row per id, and the join to players is many-to-one),
-  and a player has one row of attributes. ``unique_ids=True`` says that an input
-  is such a table, as ``medallion.run`` does: distinct counts become plain
-  counts, and the statistics are built from hash aggregates in stages. The
-  default makes no assumption and counts distinct ids.
+  and a player has one row of attributes. These facts go with the frames
+  (``playerlake.facts``): where an input has them, distinct counts become plain
+  counts, and the statistics are built from hash aggregates in stages. Other
+  inputs have their ids counted distinct. ``unique_ids`` overrides what is known.
 
 ``as_of`` pins "today" for AccountAgeDays and IsActive; it defaults to
 ``current_date()`` like a live job, tests pass a fixed date.
@@ -33,21 +33,31 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playerlake.facts import determines, facts_of, has_key, with_facts
 from playerlake.functions.codes import ACTION_COUNT_COLUMNS, PLATFORMS, UNKNOWN
 from playerlake.functions.parse import as_date_col, safe_ratio
 from playerlake.operators.aggregates import count_unique_key
 from playerlake.operators.argmax import priority_argmax
+from playerlake.operators.distinct import distinct_counts, join_groups
 
 ACTIVE_WITHIN_DAYS = 15
 
 AsOf = str | _dt.date | Column | None
 
 
+def _with_attributes(facts: DataFrame, players: DataFrame, joined: DataFrame) -> DataFrame:
+    """What a join to players proves: one row a player keeps the other side's key and settles the attributes."""
+    if not has_key(players, "PlayerID"):
+        return joined
+    return with_facts(joined, facts_of(facts).key, {"PlayerID": [c for c in players.columns if c != "PlayerID"]})
+
+
 def players_info(game_logs: DataFrame, players: DataFrame) -> DataFrame:
     """``gold_players_info``: one row per session with the player's attributes."""
-    return game_logs.join(players, on="PlayerID", how="inner").withColumn(
+    joined = game_logs.join(players, on="PlayerID", how="inner").withColumn(
         "SessionDate", F.to_date("LoginTime")
     )
+    return _with_attributes(game_logs, players, joined)
 
 
 def players_purchases(purchases: DataFrame, players: DataFrame) -> DataFrame:
@@ -55,14 +65,19 @@ def players_purchases(purchases: DataFrame, players: DataFrame) -> DataFrame:
 
     ``SessionDate`` here is the payment date.
     """
-    return (
+    joined = (
         purchases.join(players, on="PlayerID", how="inner")
         .withColumnRenamed("Timestamp", "PaymentTimestamp")
         .withColumn("SessionDate", F.to_date("PaymentTimestamp"))
     )
+    return _with_attributes(purchases, players, joined)
+
 
+def _known(unique_ids: bool | None, known: bool) -> bool:
+    return known if unique_ids is None else unique_ids
 
-def daily_session_metrics(info: DataFrame, unique_ids: bool = False) -> DataFrame:
+
+def daily_session_metrics(info: DataFrame, unique_ids: bool | None = None) -> DataFrame:
     """Per (SessionDate, Country): players, sessions, minutes and age statistics.
 
     Age statistics are session-weighted (over session rows, not players).
@@ -70,22 +85,24 @@ def daily_session_metrics(info: DataFrame, unique_ids: bool = False) -> DataFram
     null-country group; it is computed from the key, which spares the
     distinct-aggregate rewrite one more copy of the input.
     """
-    if unique_ids:
+    if _known(unique_ids, has_key(info, "SessionID") and determines(info, "PlayerID", "Country", "Age")):
         metrics = _daily_in_stages(info)
     else:
-        metrics = info.groupBy("SessionDate", "Country").agg(
-            F.count_distinct("PlayerID").alias("UniquePlayers"),
-            F.count_distinct("SessionID").alias("UniqueSessions"),
+        day = ["SessionDate", "Country"]
+        ids = distinct_counts(info, day, {"UniquePlayers": "PlayerID", "UniqueSessions": "SessionID"})
+        statistics = info.groupBy(*day).agg(
             F.sum("SessionTimeLength").alias("TotalDailySessionLength"),
             F.avg("Age").alias("AvgPlayerAge"),
             F.median("Age").alias("MedianPlayerAge"),
             F.mode("Age", deterministic=True).alias("ModePlayerAge"),
             F.stddev("Age").alias("StandardDeviationPlayerAge"),
         )
-    return metrics.withColumn(
+        metrics = join_groups(ids, statistics, day)
+    metrics = metrics.withColumn(
         "UniqueCountries",
         F.when(F.col("Country").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint"),
     )
+    return with_facts(metrics, ["SessionDate", "Country"])
 
 
 def _daily_in_stages(info: DataFrame) -> DataFrame:
@@ -122,26 +139,28 @@ def _daily_in_stages(info: DataFrame) -> DataFrame:
     )
 
 
-def daily_purchase_metrics(purchases: DataFrame, unique_ids: bool = False) -> DataFrame:
+def daily_purchase_metrics(purchases: DataFrame, unique_ids: bool | None = None) -> DataFrame:
     """Per (SessionDate, Country) of payment: transactions and revenue."""
-    return purchases.groupBy("SessionDate", "Country").agg(
-        count_unique_key("TransactionID", unique_ids).alias("UniqueTransactions"),
+    metrics = purchases.groupBy("SessionDate", "Country").agg(
+        count_unique_key("TransactionID", _known(unique_ids, has_key(purchases, "TransactionID"))).alias("UniqueTransactions"),
         F.sum("ItemPrice").alias("TotalDailyRevenue"),
         F.avg("ItemPrice").alias("AverageDailyItemPrice"),
     )
+    return with_facts(metrics, ["SessionDate", "Country"])
 
 
 def daily_metrics(session_metrics: DataFrame, purchase_metrics: DataFrame) -> DataFrame:
     """``gold_daily_metrics``: days and countries that have both sessions and purchases."""
-    return session_metrics.join(purchase_metrics, on=["SessionDate", "Country"], how="inner")
+    both = session_metrics.join(purchase_metrics, on=["SessionDate", "Country"], how="inner")
+    return with_facts(both, ["SessionDate", "Country"])
 
 
-def _player_countries(players: DataFrame, unique_ids: bool) -> DataFrame:
+def _player_countries(players: DataFrame, unique_ids: bool | None) -> DataFrame:
     pairs = players.select("PlayerID", "Country")
-    return pairs if unique_ids else pairs.distinct()
+    return pairs if _known(unique_ids, has_key(players, "PlayerID")) else pairs.distinct()
 
 
-def actions_exploded(game_logs: DataFrame, players: DataFrame, unique_ids: bool = False) -> DataFrame:
+def actions_exploded(game_logs: DataFrame, players: DataFrame, unique_ids: bool | None = None) -> DataFrame:
     """One row per (session, action) of a known player: PlayerID, Country, Action."""
     pairs = _player_countries(players, unique_ids)
     return game_logs.join(pairs, on="PlayerID", how="inner").select(
@@ -156,7 +175,7 @@ def _action_counts() -> list[Column]:
     ]
 
 
-def actions_summary(game_logs: DataFrame, players: DataFrame, unique_ids: bool = False) -> DataFrame:
+def actions_summary(game_logs: DataFrame, players: DataFrame, unique_ids: bool | None = None) -> DataFrame:
     """Per (PlayerID, Country): count of each action and the favourite action.
 
     Players whose sessions carry no action at all are absent; players with only
@@ -169,31 +188,36 @@ def actions_summary(game_logs: DataFrame, players: DataFrame, unique_ids: bool =
     )
     pairs = _player_countries(players, unique_ids)
     counts = list(ACTION_COUNT_COLUMNS.values())
-    return (
+    summary = (
         per_player.join(pairs, on="PlayerID", how="inner")
         .select("PlayerID", "Country", *counts)
         .withColumn("FavoriteAction", priority_argmax(ACTION_COUNT_COLUMNS))
     )
+    return with_facts(summary, ["PlayerID"] if has_key(players, "PlayerID") else ["PlayerID", "Country"])
 
 
-def player_activity(info: DataFrame, as_of: AsOf = None, unique_ids: bool = False) -> DataFrame:
+def player_activity(info: DataFrame, as_of: AsOf = None, unique_ids: bool | None = None) -> DataFrame:
     """Per (PlayerID, Country): session counts, play time, recency and platforms."""
-    if unique_ids:
-        return _activity_in_stages(info, as_date_col(as_of))
-    today = as_date_col(as_of)
-    last_login = F.max("LoginTime")
-    sessions = F.count_distinct("SessionID")
-    return info.groupBy("PlayerID", "Country").agg(
-        sessions.alias("TotalSessions"),
-        F.avg("SessionTimeLength").alias("AvgSessionLengthMinutes"),
-        F.sum("SessionTimeLength").alias("TotalPlayTimeMinutes"),
-        last_login.alias("LastLoginDate"),
-        safe_ratio(sessions, F.count_distinct("SessionDate")).alias("AvgSessionsPerDay"),
-        F.date_diff(today, F.min("AccountCreationDate")).alias("AccountAgeDays"),
-        F.mode("Platform", deterministic=True).alias("PrimaryPlatform"),
-        F.count_distinct("Platform").alias("PlatformDiversity"),
-        _recent(today, last_login).alias("IsActive"),
-    )
+    today, player = as_date_col(as_of), ["PlayerID", "Country"]
+    if _known(unique_ids, has_key(info, "SessionID")):
+        activity = _activity_in_stages(info, today)
+    else:
+        ids = distinct_counts(info, player, {"TotalSessions": "SessionID", "days": "SessionDate", "PlatformDiversity": "Platform"})
+        last_login = F.max("LoginTime")
+        rest = info.groupBy(*player).agg(
+            F.avg("SessionTimeLength").alias("AvgSessionLengthMinutes"),
+            F.sum("SessionTimeLength").alias("TotalPlayTimeMinutes"),
+            last_login.alias("LastLoginDate"),
+            F.date_diff(today, F.min("AccountCreationDate")).alias("AccountAgeDays"),
+            F.mode("Platform", deterministic=True).alias("PrimaryPlatform"),
+            _recent(today, last_login).alias("IsActive"),
+        )
+        activity = join_groups(ids, rest, player).select(
+            *player, "TotalSessions", "AvgSessionLengthMinutes", "TotalPlayTimeMinutes", "LastLoginDate",
+            safe_ratio("TotalSessions", "days").alias("AvgSessionsPerDay"),
+            "AccountAgeDays", "PrimaryPlatform", "PlatformDiversity", "IsActive",
+        )
+    return with_facts(activity, ["PlayerID"] if determines(info, "PlayerID", "Country") else player)
 
 
 def _recent(today: Column, last_login: Column) -> Column:
@@ -240,47 +264,51 @@ def _activity_in_stages(info: DataFrame, today: Column) -> DataFrame:
 
 
 def player_engagement(
-    info: DataFrame, action_summary: DataFrame, as_of: AsOf = None, unique_ids: bool = False
+    info: DataFrame, action_summary: DataFrame, as_of: AsOf = None, unique_ids: bool | None = None
 ) -> DataFrame:
     """Activity aggregates joined with the action summary on (PlayerID, Country)."""
-    return player_activity(info, as_of, unique_ids).join(
-        action_summary, on=["PlayerID", "Country"], how="inner"
-    )
+    return _joined_players(player_activity(info, as_of, unique_ids), action_summary)
+
+
+def _joined_players(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row a player on both sides is one row a player."""
+    joined = left.join(right, on=["PlayerID", "Country"], how="inner")
+    one_row = has_key(left, "PlayerID") and has_key(right, "PlayerID", "Country") or has_key(right, "PlayerID") and has_key(left, "PlayerID", "Country")
+    if one_row:
+        return with_facts(joined, ["PlayerID"])
+    return with_facts(joined, ["PlayerID", "Country"] if has_key(left, "PlayerID", "Country") and has_key(right, "PlayerID", "Country") else [])
 
 
-def player_spend(purchases: DataFrame, unique_ids: bool = False) -> DataFrame:
+def player_spend(purchases: DataFrame, unique_ids: bool | None = None) -> DataFrame:
     """Per (PlayerID, Country): spend, purchase count and first/last payment."""
-    return purchases.groupBy("PlayerID", "Country").agg(
+    spend = purchases.groupBy("PlayerID", "Country").agg(
         F.sum("ItemPrice").alias("TotalSpent"),
-        count_unique_key("TransactionID", unique_ids).alias("NumPurchases"),
+        count_unique_key("TransactionID", _known(unique_ids, has_key(purchases, "TransactionID"))).alias("NumPurchases"),
         F.avg("ItemPrice").alias("AvgPurchaseValue"),
         F.min("PaymentTimestamp").alias("FirstPurchaseDate"),
         F.max("PaymentTimestamp").alias("LastPurchaseDate"),
     )
+    return with_facts(spend, ["PlayerID"] if determines(purchases, "PlayerID", "Country") else ["PlayerID", "Country"])
 
 
 def player_summary(engagement: DataFrame, spend: DataFrame) -> DataFrame:
     """``gold_player_summary``: players with sessions, actions *and* purchases."""
-    return engagement.join(spend, on=["PlayerID", "Country"], how="inner")
+    return _joined_players(engagement, spend)
 
 
 def build_gold(silver: dict[str, DataFrame], as_of: AsOf = None) -> dict[str, DataFrame]:
     """All gold frames from the three silver frames (lazily; nothing runs here).
 
-    ``silver`` keys: ``game_logs``, ``players``, ``purchases``, as the silver layer
-    makes them (ids are unique).
+    ``silver`` keys: ``game_logs``, ``players``, ``purchases``. Facts that the silver
+    layer has proven are used.
     """
     logs, players, purchases = silver["game_logs"], silver["players"], silver["purchases"]
     info = players_info(logs, players)
     paid = players_purchases(purchases, players)
-    summary = actions_summary(logs, players, unique_ids=True)
-    engagement = player_engagement(info, summary, as_of, unique_ids=True)
-    spend = player_spend(paid, unique_ids=True)
+    engagement = player_engagement(info, actions_summary(logs, players), as_of)
     return {
         "gold_players_info": info,
         "gold_players_purchases": paid,
-        "gold_daily_metrics": daily_metrics(
-            daily_session_metrics(info, unique_ids=True), daily_purchase_metrics(paid, unique_ids=True)
-        ),
-        "gold_player_summary": player_summary(engagement, spend),
+        "gold_daily_metrics": daily_metrics(daily_session_metrics(info), daily_purchase_metrics(paid)),
+        "gold_player_summary": player_summary(engagement, player_spend(paid)),
     }

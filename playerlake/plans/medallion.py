@@ -8,10 +8,12 @@ stage recomputes from silver files, never from raw text. Gold reports read the
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from playerlake.clock import run_date
 from playerlake.plans import analysis, gold, silver
 from playerlake.session import configure
 from playerlake.sources.tables import DEFAULT_FORMAT, read_table, write_table
@@ -28,6 +30,7 @@ BRONZE_TABLES = {
 class MedallionRun:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     ingested: dict[str, IngestResult] = field(default_factory=dict)
+    as_of: gold.AsOf = None
 
 
 def table_ref(warehouse: str | None, name: str, database: str | None = None) -> str:
@@ -57,10 +60,13 @@ def run(
     ``database`` when given). With ``archive_root`` every ingested raw file is
     moved there after its batch commits, so the landing folders stay small.
     ``fmt`` is the format of every layer; a micro-batch reads at most
-    ``max_files_per_trigger`` files.
+    ``max_files_per_trigger`` files. ``as_of`` is the day that account ages and
+    activity are measured from, by default today: the clock is read once a run, and
+    the day is stored with the player summary.
     """
     configure(spark)
-    out = MedallionRun()
+    as_of = run_date() if as_of is None else as_of
+    out = MedallionRun(as_of=as_of)
 
     def ref(name: str) -> str:
         return table_ref(warehouse, name, database)
@@ -96,15 +102,14 @@ def run(
     out.tables["gold_players_info"] = info
     out.tables["gold_players_purchases"] = paid
 
-    daily = gold.daily_metrics(
-        gold.daily_session_metrics(info, unique_ids=True), gold.daily_purchase_metrics(paid, unique_ids=True))
+    daily = gold.daily_metrics(gold.daily_session_metrics(info), gold.daily_purchase_metrics(paid))
     out.tables["gold_daily_metrics"] = write_table(daily, ref("gold_daily_metrics"), fmt)
 
-    actions = gold.actions_summary(logs, players, unique_ids=True)
-    engagement = gold.player_engagement(info, actions, as_of, unique_ids=True)
-    summary = gold.player_summary(engagement, gold.player_spend(paid, unique_ids=True))
+    engagement = gold.player_engagement(info, gold.actions_summary(logs, players), as_of)
+    summary = gold.player_summary(engagement, gold.player_spend(paid))
+    day = {"as_of": str(as_of)} if isinstance(as_of, (str, _dt.date)) else {}
     out.tables["gold_player_summary"] = write_table(
-        summary, ref("gold_player_summary"), fmt
+        summary, ref("gold_player_summary"), fmt, info=day
     )
     return out
 
@@ -124,27 +129,27 @@ def register_views(tables: dict[str, DataFrame]) -> list[str]:
 def answers(tables: dict[str, DataFrame], only: str | None = None) -> dict[str, DataFrame]:
     """Every analysis question over a set of silver/gold tables (lazy frames), or only one.
 
-    The tables are those of ``run``: ids are unique in them, which the plans use.
+    Keys that the tables are known to have (those of ``run`` are) make the plans cheaper.
     """
     players, info, paid = "silver_players", "gold_players_info", "gold_players_purchases"
     daily, summary = "gold_daily_metrics", "gold_player_summary"
     questions = {
-        "q_total_players": (analysis.total_players, players, {}),
-        "q_active_players": (analysis.active_players, summary, {}),
-        "q_new_players": (analysis.new_players, summary, {}),
-        "q_players_by_country": (analysis.players_by_country, players, {"unique_ids": True}),
-        "q_hours_by_action": (analysis.hours_by_action, summary, {}),
-        "q_hours_by_platform": (analysis.hours_by_platform, summary, {}),
-        "q_sessions_by_weekday": (analysis.sessions_by_weekday, info, {}),
-        "q_players_by_age_gender": (analysis.players_by_age_gender, info, {}),
-        "q_retention": (analysis.retention, summary, {"unique_ids": True}),
-        "q_feature_mix": (analysis.feature_mix, summary, {"unique_rows": True}),
-        "q_revenue_by_month": (analysis.revenue_by_month, paid, {}),
-        "q_engagement_spend": (analysis.engagement_spend, summary, {}),
-        "q_revenue_by_item": (analysis.revenue_by_item, paid, {}),
-        "q_transactions_by_payment": (analysis.transactions_by_payment, paid, {"unique_ids": True}),
-        "q_daily_totals": (analysis.daily_totals, daily, {}),
-        "engagement_spend_correlation": (analysis.engagement_spend_correlation, summary, {}),
+        "q_total_players": (analysis.total_players, players),
+        "q_active_players": (analysis.active_players, summary),
+        "q_new_players": (analysis.new_players, summary),
+        "q_players_by_country": (analysis.players_by_country, players),
+        "q_hours_by_action": (analysis.hours_by_action, summary),
+        "q_hours_by_platform": (analysis.hours_by_platform, summary),
+        "q_sessions_by_weekday": (analysis.sessions_by_weekday, info),
+        "q_players_by_age_gender": (analysis.players_by_age_gender, info),
+        "q_retention": (analysis.retention, summary),
+        "q_feature_mix": (analysis.feature_mix, summary),
+        "q_revenue_by_month": (analysis.revenue_by_month, paid),
+        "q_engagement_spend": (analysis.engagement_spend, summary),
+        "q_revenue_by_item": (analysis.revenue_by_item, paid),
+        "q_transactions_by_payment": (analysis.transactions_by_payment, paid),
+        "q_daily_totals": (analysis.daily_totals, daily),
+        "engagement_spend_correlation": (analysis.engagement_spend_correlation, summary),
     }
     chosen = questions if only is None else {only: questions[only]}
-    return {name: question(tables[table], **flags) for name, (question, table, flags) in chosen.items()}
+    return {name: question(tables[table]) for name, (question, table) in chosen.items()}

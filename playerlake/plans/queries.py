@@ -6,9 +6,14 @@ top lazily, so Catalyst sees (and prunes, pushes down and re-plans) the whole
 chain from the parquet scans to the answer. The ``bronze_*`` entries run the
 real streaming ingest: the adapter rows are landed as raw JSON/CSV files in a
 fresh folder under the shared checkpoint root and streamed into a bronze table.
-The ``table_*`` entries write a layer as a catalog table and read it back. Both
-kinds write while the query is built. The ``q_*_sql`` entries run the questions as
-SQL text over registered views.
+The ``table_*`` entries refresh a catalog table twice, with another schema before, and
+read it back. Both kinds write while the query is built. The ``q_*_sql`` entries run
+the questions as SQL text over registered views, the ``q_*_ordered`` ones state each
+row's place in the order that a question asks for.
+
+The ``*_general`` entries run the same operators over tables in which ids or whole
+rows occur again, so nothing is known of them. ``player_engagement_today`` measures
+from the day that the run read off the clock.
 """
 
 from __future__ import annotations
@@ -18,8 +23,10 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from playerlake.plans import gold, medallion, silver
+from playerlake.clock import run_date
+from playerlake.plans import analysis, gold, medallion, silver
 from playerlake.plans.questions_sql import QUESTIONS
 from playerlake.session import configure, scratch_dir
 from playerlake.sources import adapter
@@ -81,11 +88,11 @@ class Layers:
 
     @cached_property
     def daily_sessions(self) -> DataFrame:
-        return gold.daily_session_metrics(self.info, unique_ids=True)
+        return gold.daily_session_metrics(self.info)
 
     @cached_property
     def daily_purchases(self) -> DataFrame:
-        return gold.daily_purchase_metrics(self.paid, unique_ids=True)
+        return gold.daily_purchase_metrics(self.paid)
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -93,20 +100,34 @@ class Layers:
 
     @cached_property
     def actions_summary(self) -> DataFrame:
-        return gold.actions_summary(self.game_logs, self.players, unique_ids=True)
+        return gold.actions_summary(self.game_logs, self.players)
 
     @cached_property
     def engagement(self) -> DataFrame:
-        return gold.player_engagement(self.info, self.actions_summary, AS_OF, unique_ids=True)
+        return gold.player_engagement(self.info, self.actions_summary, AS_OF)
 
     @cached_property
     def spend(self) -> DataFrame:
-        return gold.player_spend(self.paid, unique_ids=True)
+        return gold.player_spend(self.paid)
 
     @cached_property
     def summary(self) -> DataFrame:
         return gold.player_summary(self.engagement, self.spend)
 
+    @cached_property
+    def info_by_action(self) -> DataFrame:
+        """A row for each session and action: session ids occur again, and players know no key."""
+        return self.info.select("*", F.explode("Actions").alias("Action"))
+
+    @cached_property
+    def paid_twice(self) -> DataFrame:
+        """Every transaction and, once more, those of cards: ids and whole rows occur again."""
+        return self.paid.unionAll(self.paid.where(F.col("PaymentMethod") == "Credit Card"))
+
+    @cached_property
+    def summary_twice(self) -> DataFrame:
+        """The player summary and, once more, its rows of players on mobiles."""
+        return self.summary.unionAll(self.summary.where(F.col("PrimaryPlatform") == "Mobile"))
 
     def tables(self) -> dict[str, DataFrame]:
         """The layers under their table names, as ``medallion`` takes them."""
@@ -164,12 +185,20 @@ def _sql(name: str) -> Query:
 
 def _table(name: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root = scratch_dir(spark, f"table_{name}")
-        return write_table(layers_for(spark, sf_dir).tables()[name], f"{name}_{uuid.uuid4().hex}", root=root)
+        root, table = scratch_dir(spark, f"table_{name}"), f"{name}_{uuid.uuid4().hex}"
+        df = layers_for(spark, sf_dir).tables()[name]
+        write_table(df.select(df.columns[0]).limit(0), table, root=root)
+        found = write_table(df, table, root=root)
+        spark.sql(f"DROP VIEW {table}")  # the name was for this call; the rows are read from their folder
+        return found
 
     return build
 
 
+def _ordered(name: str) -> Query:
+    return _on(lambda L: analysis.with_position(medallion.answers(L.tables(), only=name)[name], name))
+
+
 QUERIES: dict[str, Query] = {
     # bronze: streaming ingest of landed raw files
     "bronze_game_logs": _bronze("game_logs", "bronze_game_logs"),
@@ -185,7 +214,7 @@ QUERIES: dict[str, Query] = {
     "daily_session_metrics": _on(lambda L: L.daily_sessions),
     "daily_purchase_metrics": _on(lambda L: L.daily_purchases),
     "gold_daily_metrics": _on(lambda L: L.daily),
-    "actions_exploded": _on(lambda L: gold.actions_exploded(L.game_logs, L.players, unique_ids=True)),
+    "actions_exploded": _on(lambda L: gold.actions_exploded(L.game_logs, L.players)),
     "actions_summary": _on(lambda L: L.actions_summary),
     "player_engagement": _on(lambda L: L.engagement),
     "player_spend": _on(lambda L: L.spend),
@@ -193,6 +222,17 @@ QUERIES: dict[str, Query] = {
     # analysis
     **{name: _answer(name) for name in ANSWERS},
     **{f"{name}_sql": _sql(name) for name in QUESTIONS},
+    **{f"{name}_ordered": _ordered(name) for name in analysis.ORDERS},
+    # tables without known keys
+    "daily_session_metrics_general": _on(lambda L: gold.daily_session_metrics(L.info_by_action)),
+    "daily_purchase_metrics_general": _on(lambda L: gold.daily_purchase_metrics(L.paid_twice)),
+    "player_activity_general": _on(lambda L: gold.player_activity(L.info_by_action, AS_OF)),
+    "player_spend_general": _on(lambda L: gold.player_spend(L.paid_twice)),
+    "q_feature_mix_general": _on(lambda L: analysis.feature_mix(L.summary_twice)),
+    "q_players_by_country_general": _on(lambda L: analysis.players_by_country(L.info_by_action)),
+    "q_retention_general": _on(lambda L: analysis.retention(L.summary_twice)),
+    # today, by the run's clock
+    "player_engagement_today": _on(lambda L: gold.player_engagement(L.info, L.actions_summary, run_date())),
     # a full refresh of a catalog table, read back
     **{f"table_{name}": _table(name) for name in ("silver_game_logs", "gold_player_summary")},
 }

@@ -21,23 +21,22 @@ QUESTIONS = {
         FROM gold_player_summary
         WHERE AccountAgeDays <= 15""",
     "q_players_by_country": """
-        WITH everyone AS (SELECT count(DISTINCT PlayerID) AS n FROM silver_players)
-        SELECT Country,
-               count(DISTINCT PlayerID) AS Players,
-               try_divide(count(DISTINCT PlayerID), (SELECT n FROM everyone)) AS PercPlayers
-        FROM silver_players
-        GROUP BY Country
-        ORDER BY Players DESC""",
+        WITH by_country AS (
+            SELECT Country, count(DISTINCT PlayerID) AS Players FROM silver_players GROUP BY Country)
+        SELECT Country, Players,
+               try_divide(Players, (SELECT count(DISTINCT PlayerID) FROM silver_players)) AS PercPlayers
+        FROM by_country
+        ORDER BY Players DESC, Country""",
     "q_hours_by_action": """
         SELECT FavoriteAction, round(sum(TotalPlayTimeMinutes) / 60) AS HoursPlayed
         FROM gold_player_summary
         GROUP BY FavoriteAction
-        ORDER BY HoursPlayed DESC""",
+        ORDER BY HoursPlayed DESC, FavoriteAction""",
     "q_hours_by_platform": """
         SELECT PrimaryPlatform, round(sum(TotalPlayTimeMinutes) / 60) AS HoursPlayed
         FROM gold_player_summary
         GROUP BY PrimaryPlatform
-        ORDER BY HoursPlayed DESC""",
+        ORDER BY HoursPlayed DESC, PrimaryPlatform""",
     "q_sessions_by_weekday": """
         SELECT weekday(SessionDate) AS SessionWeekDay,
                count(*) AS sessions,
@@ -76,7 +75,7 @@ QUESTIONS = {
         SELECT sum(ItemPrice) AS TotalRevenue, Item
         FROM gold_players_purchases
         GROUP BY Item
-        ORDER BY TotalRevenue DESC""",
+        ORDER BY TotalRevenue DESC, Item""",
     "q_transactions_by_payment": """
         SELECT count(DISTINCT TransactionID) AS Transactions, PaymentMethod
         FROM gold_players_purchases

@@ -4,7 +4,8 @@ Each function is ``bronze DataFrame -> silver DataFrame`` with one shuffle (the
 dedup); everything else is a narrow projection fused into the same codegen
 stage. Dedup runs on the raw text *before* typing and decoding: the same rows
 survive (the tie-break order is over the raw columns), and the parse/decode work
-is done once per surviving row instead of once per duplicate.
+is done once per surviving row instead of once per duplicate. The dedup proves the table's
+unique key, which goes with the frame (``facts``).
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from playerlake.functions.codes import (
     decode,
     decode_array,
 )
+from playerlake.facts import with_facts
 from playerlake.functions.parse import (
     minutes_between,
     parse_date,
@@ -68,7 +70,7 @@ def clean_game_logs(bronze: DataFrame) -> DataFrame:
     raw = keep_first(_renamed(bronze, GAME_LOG_NAMES), "SessionID")
     login = parse_timestamp("LoginTime")
     logout = parse_timestamp("LogoutTime")
-    return raw.select(
+    typed = raw.select(
         "PlayerID",
         "SessionID",
         login.alias("LoginTime"),
@@ -77,6 +79,7 @@ def clean_game_logs(bronze: DataFrame) -> DataFrame:
         decode("Platform", PLATFORMS).alias("Platform"),
         minutes_between(login, logout).alias("SessionTimeLength"),
     )
+    return with_facts(typed, ["SessionID"])
 
 
 def clean_players(bronze: DataFrame) -> DataFrame:
@@ -89,13 +92,13 @@ def clean_players(bronze: DataFrame) -> DataFrame:
         parse_date("AccountCreationDate").alias("AccountCreationDate"),
         decode("Gender", GENDERS).alias("Gender"),
     )
-    return typed.withColumn("AgeBin", bin_by("Age"))
+    return with_facts(typed.withColumn("AgeBin", bin_by("Age")), ["PlayerID"])
 
 
 def clean_purchases(bronze: DataFrame) -> DataFrame:
     """One row per TransactionID; ItemPrice double, Timestamp timestamp."""
     raw = keep_first(_renamed(bronze, PURCHASE_NAMES), "TransactionID")
-    return raw.select(
+    typed = raw.select(
         "TransactionID",
         "PlayerID",
         decode("Item", ITEMS).alias("Item"),
@@ -103,3 +106,4 @@ def clean_purchases(bronze: DataFrame) -> DataFrame:
         decode("PaymentMethod", PAYMENT_METHODS).alias("PaymentMethod"),
         parse_timestamp("Timestamp").alias("Timestamp"),
     )
+    return with_facts(typed, ["TransactionID"])

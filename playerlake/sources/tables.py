@@ -4,112 +4,168 @@ Layer hand-offs go through written tables. That cuts the lineage between
 layers (an executor lost in the gold stage recomputes from silver files, not
 from raw text), and it is how the layers are shared with BI readers.
 
-A full refresh never touches the version that readers see: the rows go to a new
-version folder first, and one small step then makes it current. A job killed
-before that step leaves the old table as it was.
-
-* A catalog table is an external table; its location is switched.
-* A path table is a folder with ``versions/`` and ``_commits/``: the commit with
-  the highest number names the current version.
+A full refresh never touches the rows that readers see: they go to a new data folder
+first, and one commit (``commits``) then makes it the table, whatever its schema. A
+job killed before the commit leaves the old table as it was.
+
+* A path table is a folder with ``versions/`` and ``_commits/``.
+* A catalog table is a view over the data folders of such a folder, which lies below
+  the database's location. ``CREATE OR REPLACE VIEW`` changes rows and schema in one
+  step of the catalog, and nothing is ever dropped. A job killed between commit and
+  view leaves the view on the version before, which is kept.
 * Delta tables have atomic overwrites of their own.
 
-The version before the current one stays for readers that still scan it.
+Two writers may refresh one table: both commits stand, one after the other, and
+``expect`` makes the later one fail instead. A refresh removes the versions before the
+last one (``keep``, ``retain_seconds``), so years of refreshes keep two copies.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from playerlake.facts import Facts, facts_of, with_facts
+from playerlake.sources import commits
+from playerlake.sources.commits import State
 
 DEFAULT_FORMAT = "parquet"
 
+#: Versions that a refresh leaves: the current one and the one that running readers may scan.
+KEEP_VERSIONS = 2
+
+
+class RefreshConflict(RuntimeError):
+    """Another writer has changed the table since the expected commit."""
+
 
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table (``{sf_dir}/{name}.parquet``); columns are pruned lazily."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _fs(spark: SparkSession, path: str):
-    """Hadoop's (file system, path), for any store that Spark reads."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
-
 def file_stamp(spark: SparkSession, path: str) -> tuple:
     """Names, sizes and times of the files at a path: equal stamps, equal files."""
-    fs, at = _fs(spark, path)
+    fs, at = commits.file_system(spark, path)
     return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(at)))
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
-    fs, at = _fs(spark, path)
-    fs.delete(at, True)
+    commits.remove(spark, path)
 
 
-def _commits(spark: SparkSession, name: str) -> list[str]:
-    """Commit file names of a path table, oldest first: ``<number>-<version>``."""
-    fs, at = _fs(spark, f"{name.rstrip('/')}/_commits")
-    if not fs.exists(at):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(at)]
-    return sorted(n for n in names if n[:1].isdigit())
+def table_folder(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """The folder of a table: the path itself, or a folder below the database's location (or ``root``)."""
+    if "/" in name:
+        return name.rstrip("/")
+    database, _, table = name.rpartition(".")
+    root = root or spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{root.rstrip('/')}/_versions/{table}"
 
 
-def current_folder(spark: SparkSession, name: str) -> str:
-    """The folder that holds the rows of a path table now."""
-    commits = _commits(spark, name)
-    return f"{name.rstrip('/')}/versions/{commits[-1].split('-', 1)[1]}" if commits else name
+def _scan(spark: SparkSession, folder: str, state: State, parts: tuple[str, ...], schema: StructType) -> DataFrame:
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return spark.read.format(state.fmt).schema(schema).load([f"{folder}/versions/{p}" for p in parts])
 
 
-def read_table(spark: SparkSession, name: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    """A catalog table by name, or the current version of a table folder."""
-    if "/" in name:
-        return spark.read.format(fmt).load(current_folder(spark, name))
-    return spark.read.table(name)
+def _schema(state: State) -> StructType:
+    return StructType.fromJson(json.loads(state.schema))
+
+
+def current_state(spark: SparkSession, name: str, root: str | None = None) -> State | None:
+    """What the last commit says of a table: number, ledger of streams, facts and notes."""
+    return commits.latest(spark, table_folder(spark, name, root))
+
+
+def read_table(spark: SparkSession, name: str, fmt: str = DEFAULT_FORMAT, root: str | None = None) -> DataFrame:
+    """A table as its last commit states it, with its facts; else a catalog table or folder of any kind."""
+    folder = table_folder(spark, name, root)
+    state = commits.latest(spark, folder) if fmt != "delta" else None
+    if state is None:
+        return spark.read.format(fmt).load(name) if "/" in name else spark.read.table(name)
+    known = Facts.from_json(state.facts)
+    return with_facts(_scan(spark, folder, state, state.folders, _schema(state)), known.key, known.determines)
 
 
-def _commit_path(spark: SparkSession, name: str, version: str) -> None:
-    commits = _commits(spark, name)
-    number = int(commits[-1].split("-", 1)[0]) + 1 if commits else 0
-    fs, at = _fs(spark, f"{name}/_commits/{number:012d}-{version}")
-    fs.create(at, False).close()
-    for old in commits[:-1]:  # the last one before this is still being read
-        remove_folder(spark, f"{name}/versions/{old.split('-', 1)[1]}")
-        fs.delete(_fs(spark, f"{name}/_commits/{old}")[1], False)
+def _point_view(spark: SparkSession, name: str, folder: str, state: State) -> None:
+    """The catalog's name over the state's data folders, in one step."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        raise ValueError(f"{name} is a table that this library did not write; rename it first")
+    parts = state.folders
+    at = f"{folder}/versions/" + (parts[0] if len(parts) == 1 else "{" + ",".join(parts) + "}")
+    columns = ", ".join(f"`{c}`" for c in _schema(state).names)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {state.fmt}.`{at}`")
 
 
-def _commit_catalog(spark: SparkSession, name: str, folder: str, fmt: str) -> None:
-    place = f"USING {fmt} LOCATION '{folder}'"
-    if not spark.catalog.tableExists(name):
-        spark.sql(f"CREATE TABLE {name} {place}")
-    elif spark.read.table(name).schema == spark.read.format(fmt).load(folder).schema and spark.catalog.getTable(name).tableType == "EXTERNAL":
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
-    else:  # another schema: metadata is replaced, the files of the old version stay
-        spark.sql(f"DROP TABLE {name}")
-        spark.sql(f"CREATE TABLE {name} {place}")
-    spark.catalog.refreshTable(name)
+def point_catalog(spark: SparkSession, name: str, root: str | None = None) -> None:
+    """Bring a catalog table's view to the last commit (nothing to do for a path)."""
+    folder = table_folder(spark, name, root)
+    if "/" not in name and (state := commits.latest(spark, folder)) and state.folders:
+        _point_view(spark, name, folder, state)
 
 
-def write_table(df: DataFrame, name: str, fmt: str = DEFAULT_FORMAT, root: str | None = None) -> DataFrame:
+def write_table(df: DataFrame, name: str, fmt: str = DEFAULT_FORMAT, root: str | None = None, *, info: dict | None = None,
+                expect: int | None = None, keep: int = KEEP_VERSIONS, retain_seconds: float = 0) -> DataFrame:
     """Full refresh with schema replace, then return a scan of what was written.
 
     ``name`` is a catalog table name or a path. A catalog table's versions lie
-    below ``root``, by default the folder of its database.
+    below ``root``, by default the folder of its database. ``info`` is stored with
+    the commit. With ``expect``, the number of the commit that the rows were made
+    from, a table that has changed since raises ``RefreshConflict``.
     """
     spark = df.sparkSession
-    version = uuid.uuid4().hex
     if fmt == "delta":
         writer = df.write.mode("overwrite").format(fmt).option("overwriteSchema", "true")
         writer.save(name) if "/" in name else writer.saveAsTable(name)
-    elif "/" in name:
-        name = name.rstrip("/")
-        df.write.format(fmt).save(f"{name}/versions/{version}")
-        _commit_path(spark, name, version)
-    else:
-        database, _, table = name.rpartition(".")
-        root = root or spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
-        folder = f"{root.rstrip('/')}/_versions/{table}-{version}"
-        df.write.format(fmt).save(folder)
-        _commit_catalog(spark, name, folder, fmt)
-    return read_table(spark, name, fmt)
+        return read_table(spark, name, fmt)
+    folder, version = table_folder(spark, name, root), uuid.uuid4().hex
+    df.write.format(fmt).save(f"{folder}/versions/{version}")
+
+    def change(before: State | None) -> State:
+        if expect is not None and expect != (before.number if before else -1):
+            raise RefreshConflict(f"{name} is at commit {before.number if before else None}, not {expect}")
+        return State(fmt, df.schema.json(), (version,), streams=before.streams if before else {}, facts=facts_of(df).as_json(),
+                     info={"time": time.time(), **(info or {})})
+
+    state = commits.commit(spark, folder, change)
+    if "/" not in name:
+        _point_view(spark, name, folder, state)
+    commits.collect_old(spark, folder, keep, retain_seconds)
+    return read_table(spark, name, fmt, root)
+
+
+def compact_table(spark: SparkSession, name: str, root: str | None = None, keep: int = KEEP_VERSIONS) -> None:
+    """Rewrite the data folders that streams have appended as one; what is appended meanwhile stays.
+
+    The ledger of the streams and the quarantine are left as they are.
+    """
+    folder = table_folder(spark, name, root)
+    found = commits.latest(spark, folder)
+    if found is None or len(found.folders) < 2:
+        return
+    version = uuid.uuid4().hex
+    _scan(spark, folder, found, found.folders, _schema(found)).write.format(found.fmt).save(f"{folder}/versions/{version}")
+
+    def change(now: State | None) -> State:
+        if now is None or now.folders[: len(found.folders)] != found.folders:
+            raise RefreshConflict(f"{name} was refreshed while it was compacted")
+        return replace(now, folders=(version, *now.folders[len(found.folders):]))
+
+    commits.commit(spark, folder, change)
+    point_catalog(spark, name, root)
+    commits.collect_old(spark, folder, keep, 0)
+
+
+def read_quarantine(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
+    """The raw records of a table that could not be read: text, file and what was read of them."""
+    folder = table_folder(spark, name, root)
+    state = commits.latest(spark, folder)
+    if state is None or "quarantine" not in state.info:
+        raise ValueError(f"{name} is not a table that a stream feeds")
+    return _scan(spark, folder, state, state.quarantine, StructType.fromJson(state.info["quarantine"]))

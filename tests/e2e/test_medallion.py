@@ -55,12 +55,12 @@ def test_sql_questions_run_on_registered_views(spark, run):
         assert _rows(spark.sql(sql)) == _rows(answers[name]), name
 
 
-# The order each question asks for, columns with -1 descending.
+# The order each question asks for and its tie-breaks, columns with -1 descending.
 ORDERS = {
-    "q_players_by_country": [("Players", -1)], "q_hours_by_action": [("HoursPlayed", -1)],
-    "q_hours_by_platform": [("HoursPlayed", -1)], "q_sessions_by_weekday": [("SessionWeekDay", 1)],
+    "q_players_by_country": [("Players", -1), ("Country", 1)], "q_hours_by_action": [("HoursPlayed", -1), ("FavoriteAction", 1)],
+    "q_hours_by_platform": [("HoursPlayed", -1), ("PrimaryPlatform", 1)], "q_sessions_by_weekday": [("SessionWeekDay", 1)],
     "q_players_by_age_gender": [("AgeBin", 1), ("Gender", 1)], "q_revenue_by_month": [("Month", 1)],
-    "q_revenue_by_item": [("TotalRevenue", -1)], "q_daily_totals": [("SessionDate", 1)],
+    "q_revenue_by_item": [("TotalRevenue", -1), ("Item", 1)], "q_daily_totals": [("SessionDate", 1)],
 }
 
 
@@ -78,6 +78,32 @@ def test_answers_come_in_the_order_asked_for(spark, run, name):
                     break
 
 
+@pytest.mark.parametrize("name", sorted(ORDERS))
+def test_positions_are_the_order_of_the_answer(spark, run, name):
+    from playerlake.plans import analysis
+
+    answer = medallion.answers(run[1].tables)[name]
+    placed = sorted(analysis.with_position(answer, name).collect(), key=lambda r: r.position)
+    assert [r.position for r in placed] == list(range(1, len(placed) + 1))
+    assert [tuple(r)[:-1] for r in placed] == [tuple(r) for r in answer.collect()]
+
+
+def test_a_live_run_reads_the_clock_once(spark, run, monkeypatch):
+    import datetime as dt
+
+    from playerlake import clock
+    from playerlake.sources.tables import current_state
+
+    root, _ = run
+    assert current_state(spark, f"{root}/warehouse/gold_player_summary").info["as_of"] == str(AS_OF)
+    monkeypatch.setattr(medallion, "run_date", lambda: dt.date(2024, 2, 20))
+    live = medallion.run(spark, f"{root}/raw", f"{root}/_live", f"{root}/live")
+    assert live.as_of == dt.date(2024, 2, 20) and current_state(spark, f"{root}/live/gold_player_summary").info["as_of"] == "2024-02-20"
+    ages = {a.PlayerID: a.AccountAgeDays - b.AccountAgeDays for a in live.tables["gold_player_summary"].collect() for b in run[1].tables["gold_player_summary"].collect() if a.PlayerID == b.PlayerID}
+    assert ages and set(ages.values()) == {6}
+    assert clock.run_date() == clock.run_date() and abs((clock.run_date() - dt.datetime.now(dt.timezone.utc).date()).days) <= 1
+
+
 def test_purchases_fall_into_several_months(spark, run):
     _, result = run
     assert medallion.answers(result.tables)["q_revenue_by_month"].count() == 4

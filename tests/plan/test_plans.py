@@ -32,6 +32,54 @@ def test_no_expand_in_session_aggregates(layers):
         assert "Expand" not in _plan(df)
 
 
+def test_no_expand_without_known_keys(layers):
+    """Distinct counts of several columns copy no wide rows, and combine map-side."""
+    from playerlake.facts import facts_of
+    from playerlake.plans import gold
+
+    assert not facts_of(layers.info_by_action).key and not facts_of(layers.paid_twice).key
+    for df in (gold.daily_session_metrics(layers.info_by_action), gold.player_activity(layers.info_by_action, "2024-02-14"),
+               gold.daily_purchase_metrics(layers.paid_twice), gold.player_spend(layers.paid_twice)):
+        assert "Expand" not in _plan(df)
+
+
+def test_counts_over_a_known_key_move_no_players(spark, scratch, layers):
+    from playerlake.plans import medallion
+    from playerlake.sources.tables import write_table
+
+    tables = {name: write_table(layers.tables()[name], f"{scratch}/{name}") for name in ("silver_players", "gold_player_summary")}
+    tables |= {name: df for name, df in layers.tables().items() if name not in tables}
+    for name in ("q_total_players", "q_active_players", "q_new_players"):
+        exchanges = [line for line in _plan(medallion.answers(tables, only=name)[name]).splitlines() if "Exchange" in line]
+        assert len(exchanges) == 1 and "SinglePartition" in exchanges[0], name
+
+
+def test_facts_follow_the_layers(layers):
+    from playerlake.facts import facts_of, has_key
+
+    keys = {name: facts_of(df).key for name, df in layers.tables().items()}
+    assert keys == {
+        "silver_game_logs": ("SessionID",), "silver_players": ("PlayerID",), "silver_purchases": ("TransactionID",),
+        "gold_players_info": ("SessionID",), "gold_players_purchases": ("TransactionID",),
+        "gold_daily_metrics": ("SessionDate", "Country"), "gold_player_summary": ("PlayerID",),
+    }
+    for name, df in layers.tables().items():
+        assert df.groupBy(*keys[name]).count().where("count > 1").count() == 0, name
+    foreign = layers.game_logs.select("*")  # another frame: nothing is known
+    from playerlake.plans import gold
+
+    assert not has_key(gold.players_info(foreign, layers.players), "SessionID")
+    assert not facts_of(gold.players_info(layers.game_logs, layers.players.select("*"))).determines
+
+
+def test_distinct_rows_move_only_rows_that_occur_again(layers):
+    from playerlake.operators.distinct import distinct_rows
+
+    plan = _plan(distinct_rows(layers.info.drop("Actions")))
+    exchanged = [line for line in plan.splitlines() if "Exchange" in line]
+    assert any("__h1" in line for line in exchanged)
+
+
 def test_session_statistics_are_hash_aggregates(layers):
     """No list, map or string buffer is carried per player; median and mode see one row for each age."""
     from playerlake.plans import gold

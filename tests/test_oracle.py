@@ -25,7 +25,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) <= set(entry.oracle_sql()) and set(QUERIES) <= set(entry.queries())
-    assert len(QUERIES) == 49
+    assert len(QUERIES) == 65
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
