@@ -13,8 +13,12 @@ A bucket with over ``BUCKET`` different records is too large for a task. Its
 records are split again by a longer minimizer, and what is still too large is
 counted by a 128-bit hash of each suffix's ``LENGTH`` bytes, map-side first.
 
-Equal texts are one text: copies are counted map-side, and a text that has copies
-is removed whole. Texts are identified by two 64-bit hashes, records by their
+Texts are shuffled once: those with a shared run are saved with the runs whose bytes
+are needed, and records, splits and hashes are made from there. The cut moves only
+these texts again.
+
+Equal texts are one text: copies meet map-side, and a text that has copies is removed
+whole, without its bytes. Texts are identified by two 64-bit hashes, records by their
 minimizer's and their own.
 
 Defined results: null text is empty; texts under ``LENGTH`` bytes keep all;
@@ -206,12 +210,12 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without their merged spans; a text with copies goes whole."""
+    """Texts without their merged spans."""
     for batch in batches:
         out: list[list] = [[], [], [], [], []]
-        for k1, k2, text, copies, spans in zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "text", "copies", "spans")]):
+        for k1, k2, text, spans in zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "text", "spans")]):
             merged: list[list[int]] = []
-            for low, high in [(0, len(text))] if copies > 1 else sorted((s["low"], s["high"]) for s in spans or []):
+            for low, high in sorted((s["low"], s["high"]) for s in spans):
                 if merged and low <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], high)
                 else:
@@ -257,33 +261,45 @@ def repeated_spans(docs: DataFrame, *, text_col: str = "text", bucket: int = BUC
     bound_batches(docs.sparkSession)
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     texts = docs.select(*text_keys(text), text.cast("binary").alias("text")).where(F.length("text") >= LENGTH)
-    # one row for each distinct text: copies meet map-side
-    distinct = texts.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    runs = saved(texts.mapInArrow(_runs, RUNS), "suffix-runs", compression="zstd")
+    # each copy of a text has a run at its start
+    copied = runs.groupBy("k1", "k2").agg(F.count_if(F.col("start") == 0).alias("copies"), (F.max(F.col("start") + F.col("n")) + LENGTH - 1).alias("size")).where("copies > 1")
+    copied = saved(copied, "copied-texts")
+    marked = _shared(runs)
 
-    def with_runs(runs: DataFrame) -> DataFrame:
-        lists = runs.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n", "gram", "whole")).alias("runs"))
-        return distinct.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "runs")
+    def wanted(marked: DataFrame) -> DataFrame:
+        """Of each text with a shared run, the runs whose bytes are needed."""
+        run = F.struct("start", "n", "gram", "whole", (F.col("variants") > bucket).alias("large"))
+        return marked.groupBy("k1", "k2").agg(F.collect_set(F.when(F.expr("first and variants > 1"), run)).alias("runs"))
+
+    def some(found: DataFrame, large: bool) -> DataFrame:
+        chosen = F.filter("runs", lambda run: run["large"] if large else ~run["large"])
+        return found.select("k1", "k2", "text", chosen.alias("runs")).where(F.size("runs") > 0)
 
     def whole_spans(marked: DataFrame) -> DataFrame:
         return marked.where("whole").select("k1", "k2", F.col("start").alias("low"), (F.col("start") + F.col("n") + LENGTH - 1).alias("high"))
 
-    def bucket_spans(marked: DataFrame) -> DataFrame:
-        compared = marked.where(f"first and variants between 2 and {bucket}")
-        records = with_runs(compared).mapInArrow(_records, "gram long, k1 long, k2 long, start long, whole boolean, body binary")
+    def bucket_spans(found: DataFrame) -> DataFrame:
+        records = some(found, large=False).mapInArrow(_records, "gram long, k1 long, k2 long, start long, whole boolean, body binary")
         return records.repartition("gram").sortWithinPartitions("gram").mapInArrow(_buckets, SPANS)
 
-    marked = _shared(saved(texts.mapInArrow(_runs, RUNS), "suffix-runs", compression="zstd"))
-    spans = whole_spans(marked).unionByName(bucket_spans(marked))
-    large = marked.where(f"first and variants > {bucket}")
+    # one row for each distinct text: copies meet map-side
+    distinct = texts.groupBy("k1", "k2").agg(F.first("text").alias("text"))
+    found = saved(distinct.join(wanted(marked), ["k1", "k2"]), "texts-with-runs", compression="zstd")
+    spans = whole_spans(marked).unionByName(bucket_spans(found))
+    large = some(found, large=True)
     if not large.isEmpty():
-        marked = _shared(saved(with_runs(large).mapInArrow(_split_runs, RUNS), "split-runs", compression="zstd"))
-        hashes = with_runs(marked.where(f"first and variants > {bucket}")).mapInArrow(_hashes, "h1 long, h2 long, k1 long, k2 long, start long")
-        again = hashes.groupBy("h1", "h2").agg(F.count("*").alias("times")).where("times > 1").drop("times")
-        counted = hashes.join(again, ["h1", "h2"]).select("k1", "k2", F.col("start").alias("low"), (F.col("start") + LENGTH).alias("high"))
-        spans = spans.unionByName(whole_spans(marked)).unionByName(bucket_spans(marked)).unionByName(counted)
-    found = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    cut = distinct.join(found, ["k1", "k2"], "left").where("copies > 1 or spans is not null")
-    return cut.mapInArrow(_cut, "k1 long, k2 long, removed array<long>, n_removed long, kept binary")
+        marked = _shared(saved(large.mapInArrow(_split_runs, RUNS), "split-runs", compression="zstd"))
+        again = saved(large.drop("runs").join(wanted(marked), ["k1", "k2"]), "split-texts", compression="zstd")
+        hashes = some(again, large=True).mapInArrow(_hashes, "h1 long, h2 long, k1 long, k2 long, start long")
+        repeats = hashes.groupBy("h1", "h2").agg(F.count("*").alias("times")).where("times > 1").drop("times")
+        counted = hashes.join(repeats, ["h1", "h2"]).select("k1", "k2", F.col("start").alias("low"), (F.col("start") + LENGTH).alias("high"))
+        spans = spans.unionByName(whole_spans(marked)).unionByName(bucket_spans(again)).unionByName(counted)
+    by_text = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+    single = by_text.join(copied, ["k1", "k2"], "left_anti")
+    cut = found.select("k1", "k2", "text").join(single, ["k1", "k2"]).mapInArrow(_cut, "k1 long, k2 long, removed array<long>, n_removed long, kept binary")
+    gone = copied.select("k1", "k2", F.array(F.lit(0).cast("long"), "size").alias("removed"), F.col("size").alias("n_removed"), F.lit(b"").alias("kept"))
+    return cut.unionByName(gone)
 
 
 def remove_repeats(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
