@@ -73,40 +73,56 @@ WITH texts AS (
     SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
 ), measures AS (
     SELECT doc_id, lang, source, unnest([
-        {'measure': 'word_length', 'value': 1000000 * word_chars // n_words, 'spread': 250000, 'both': TRUE},
-        {'measure': 'symbols', 'value': 1000000 * n_symbols // word_chars, 'spread': 5000, 'both': FALSE},
-        {'measure': 'capitals', 'value': 1000000 * n_capitals // word_chars, 'spread': 20000, 'both': FALSE},
-        {'measure': 'marks', 'value': 1000000 * n_marks // word_chars, 'spread': 5000, 'both': FALSE},
-        {'measure': 'dup_lines', 'value': 1000000 * n_dup_lines // n_lines, 'spread': 125000, 'both': FALSE},
-        {'measure': 'repeats', 'value': 1000000 * n_repeat_words // n_words, 'spread': 100000, 'both': FALSE}], recursive := true)
+        {'measure': 'word_length', 'value': 1000000 * word_chars // n_words, 'spread': 125000, 'both': TRUE},
+        {'measure': 'symbols', 'value': 1000000 * n_symbols // word_chars, 'spread': 2500, 'both': FALSE},
+        {'measure': 'capitals', 'value': 1000000 * n_capitals // word_chars, 'spread': 10000, 'both': FALSE},
+        {'measure': 'marks', 'value': 1000000 * n_marks // word_chars, 'spread': 2500, 'both': FALSE},
+        {'measure': 'dup_lines', 'value': 1000000 * n_dup_lines // n_lines, 'spread': 62500, 'both': FALSE},
+        {'measure': 'repeats', 'value': 1000000 * n_repeat_words // n_words, 'spread': 50000, 'both': FALSE}], recursive := true)
     FROM judged WHERE NOT base_failed
 ), buckets AS (
     SELECT *, 32 * greatest(length(bin(value)) - 6, 0) + (value >> greatest(length(bin(value)) - 6, 0)) AS bucket FROM measures
-), merged AS (
-    SELECT level, CASE WHEN level < 2 THEN lang END AS of_lang, CASE WHEN level < 1 THEN source END AS of_source,
-           measure, bucket, count(*) AS n, any_value(spread) AS spread, any_value("both") AS "both"
-    FROM buckets, (SELECT unnest([0, 1, 2]) AS level) GROUP BY ALL
+), of_source AS (
+    SELECT lang, source, measure, bucket, count(*) AS n, any_value(spread) AS spread, any_value("both") AS "both",
+           sum(count(*)) OVER (PARTITION BY lang, source, measure) AS total FROM buckets GROUP BY lang, source, measure, bucket
+), of_lang AS (
+    SELECT lang, measure, bucket, count(*) AS n, sum(count(*)) OVER (PARTITION BY lang, measure) AS total FROM buckets GROUP BY lang, measure, bucket
+), of_all AS (
+    SELECT measure, bucket, count(*) AS n, sum(count(*)) OVER (PARTITION BY measure) AS total FROM buckets GROUP BY measure, bucket
+), full_lang AS (
+    SELECT lang, measure, bucket, n FROM of_lang WHERE total >= 200
+    UNION ALL
+    SELECT l.lang, l.measure, l.bucket, l.n * (SELECT max(total) FROM of_all a WHERE a.measure = l.measure) FROM of_lang l WHERE total < 200
+    UNION ALL
+    SELECT l.lang, l.measure, a.bucket, (200 - l.total) * a.n
+    FROM (SELECT DISTINCT lang, measure, total FROM of_lang WHERE total < 200) l JOIN of_all a USING (measure)
+), lang_total AS (
+    SELECT lang, measure, sum(n) AS total FROM full_lang GROUP BY lang, measure
+), full_source AS (
+    SELECT lang, source, measure, bucket, n FROM of_source WHERE total >= 200
+    UNION ALL
+    SELECT s.lang, s.source, s.measure, s.bucket, s.n * t.total
+    FROM of_source s JOIN lang_total t ON s.measure = t.measure AND s.lang IS NOT DISTINCT FROM t.lang WHERE s.total < 200
+    UNION ALL
+    SELECT s.lang, s.source, s.measure, l.bucket, (200 - s.total) * l.n
+    FROM (SELECT DISTINCT lang, source, measure, total FROM of_source WHERE total < 200) s
+    JOIN full_lang l ON s.measure = l.measure AND s.lang IS NOT DISTINCT FROM l.lang
+), histogram AS (
+    SELECT lang, source, measure, bucket, sum(n) AS n FROM full_source GROUP BY lang, source, measure, bucket
 ), ranked AS (
-    SELECT *, sum(n) OVER (PARTITION BY level, of_lang, of_source, measure) AS total,
-           sum(n) OVER (PARTITION BY level, of_lang, of_source, measure ORDER BY bucket) AS upto,
+    SELECT *, sum(n) OVER (PARTITION BY lang, source, measure) AS total,
+           sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bucket) AS upto,
            (bucket - 32 * greatest(bucket // 32 - 1, 0)) << greatest(bucket // 32 - 1, 0) AS value
-    FROM merged
+    FROM histogram
 ), quartiles AS (
-    SELECT level, of_lang, of_source, measure, max(total) AS total, any_value(spread) AS spread, any_value("both") AS "both",
-           min(value) FILTER (100 * upto >= 25 * total) AS q25, min(value) FILTER (100 * upto >= 50 * total) AS q50,
+    SELECT lang, source, measure, min(value) FILTER (100 * upto >= 25 * total) AS q25, min(value) FILTER (100 * upto >= 50 * total) AS q50,
            min(value) FILTER (100 * upto >= 75 * total) AS q75
-    FROM ranked GROUP BY ALL
-), limits AS (
-    SELECT *, CASE WHEN "both" THEN q25 - 4 * greatest(q75 - q25, q50 // 8, spread) END AS low, q75 + 4 * greatest(q75 - q25, q50 // 8, spread) AS high
-    FROM quartiles
+    FROM ranked GROUP BY lang, source, measure
 ), inside AS (
-    SELECT doc_id, bool_and(
-        value BETWEEN coalesce(CASE WHEN a.total >= 200 THEN a.low WHEN b.total >= 200 THEN b.low ELSE c.low END, value)
-                  AND CASE WHEN a.total >= 200 THEN a.high WHEN b.total >= 200 THEN b.high ELSE c.high END) AS inside
+    SELECT doc_id, bool_and(value <= q50 + 9 * greatest(q50 - q25, q50 // 16, spread)
+                            AND (NOT "both" OR value >= q50 - 9 * greatest(q75 - q50, q50 // 16, spread))) AS inside
     FROM measures m
-    JOIN limits a ON a.level = 0 AND a.measure = m.measure AND a.of_lang IS NOT DISTINCT FROM m.lang AND a.of_source IS NOT DISTINCT FROM m.source
-    JOIN limits b ON b.level = 1 AND b.measure = m.measure AND b.of_lang IS NOT DISTINCT FROM m.lang
-    JOIN limits c ON c.level = 2 AND c.measure = m.measure
+    JOIN quartiles q ON q.measure = m.measure AND q.lang IS NOT DISTINCT FROM m.lang AND q.source IS NOT DISTINCT FROM m.source
     GROUP BY doc_id
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(inside, FALSE) AS kept

@@ -3,15 +3,20 @@
 Every text is measured once. The measures of a language and source go into
 log-linear histograms: mergeable quantile sketches of bounded size whose merge is
 a sum, so partial sketches combine before the shuffle and give the same answer in
-any order (relative error 1/32). Fences around the quartiles replace fixed
-cutoffs. A group under ``MIN_GROUP`` documents takes the merged sketch of its
-language, and a small language that of all. Documents meet their group's fences
-in a join on language and source.
-
-Defined results: null or empty text has no words and fails the base rules; null
-language or source is a group of its own; repeated rows are rows; without
-documents the result is empty. Extra columns pass through; a column named like a
-result is replaced by it.
+any order (relative error 1/32). Fences replace fixed cutoffs. They are measured on
+the side that junk does not reach: the upper one is the median and ``FENCE`` times
+what lies between the lower quartile and the median, the lower one the same with the
+upper quartile. So junk that makes up a third of a group moves neither, while a fence
+beyond the upper quartile would follow it. A group under ``MIN_GROUP`` documents is
+filled up to that number with its language's sketch in proportion, and a small
+language with that of all: one document more or less changes little. Documents meet
+their group's fences in a join on language and source.
+
+Defined results: null or empty text has no words and fails the base rules; texts of
+any length are measured whole; null language or source is a group of its own;
+repeated rows are rows; equal values lie in one bucket, on the inner side of a fence;
+without documents the result is empty. Extra columns pass through; a column named
+like a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -25,16 +30,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_GROUP = 200
-FENCE = 4
+FENCE = 9
 
-#: Measure, least spread of its fence, whether a low value fails too. Ratios are millionths.
+#: Measure, least distance of quartile and median, whether a low value fails too. Ratios are millionths.
 MEASURES = [
-    ("word_length", 250_000, True),
-    ("symbols", 5_000, False),
-    ("capitals", 20_000, False),
-    ("marks", 5_000, False),
-    ("dup_lines", 125_000, False),
-    ("repeats", 100_000, False),
+    ("word_length", 125_000, True),
+    ("symbols", 2_500, False),
+    ("capitals", 10_000, False),
+    ("marks", 2_500, False),
+    ("dup_lines", 62_500, False),
+    ("repeats", 50_000, False),
 ]
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 COUNTS = [*BASE, "n_lines", "n_capitals", "n_marks"]
@@ -95,34 +100,52 @@ def sketch(measured: DataFrame, lang_col: str = "lang", source_col: str = "sourc
     return rows.select("lang", "source", "m.measure", bucket.cast("int").alias("bucket")).groupBy("lang", "source", "measure", "bucket").agg(F.count("*").alias("n"))
 
 
+GROUP = ["level", "of_lang", "of_source", "measure"]
+
+
+def _filled(small: DataFrame, large: DataFrame, same: Column) -> DataFrame:
+    """Sketches of groups, those under ``MIN_GROUP`` filled up by the larger group's in proportion.
+
+    Numbers of a filled sketch are scaled to stay whole: each document of the group
+    counts as the larger group's total, and that group's documents share the rest.
+    """
+    enough = small.where(F.col("total") >= MIN_GROUP)
+    few = small.where(F.col("total") < MIN_GROUP)
+    other = large.select(F.col("of_lang").alias("in_lang"), F.col("measure").alias("in_measure"), F.col("bucket").alias("in_bucket"), F.col("n").alias("in_n"), F.col("total").alias("in_total"))
+    totals = other.select("in_lang", "in_measure", "in_total").distinct()
+    own = few.join(totals, same & (F.col("measure") == F.col("in_measure"))).select(*GROUP, "bucket", (F.col("n") * F.col("in_total")).alias("n"))
+    rest = few.select(*GROUP, "total").distinct().join(other, same & (F.col("measure") == F.col("in_measure")))
+    rest = rest.select(*GROUP, F.col("in_bucket").alias("bucket"), ((MIN_GROUP - F.col("total")) * F.col("in_n")).alias("n"))
+    mixed = own.unionByName(rest).groupBy(*GROUP, "bucket").agg(F.sum("n").alias("n"))
+    return enough.unionByName(mixed.withColumn("total", F.sum("n").over(Window.partitionBy(*GROUP))))
+
+
 def fences(sketches: DataFrame) -> DataFrame:
     """(lang, source, measure, low, high) of every group of the sketches."""
     merged = (
         sketches.withColumn("level", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
         .withColumn("of_lang", F.when(F.col("level") < 2, F.col("lang")))
         .withColumn("of_source", F.when(F.col("level") < 1, F.col("source")))
-        .groupBy("level", "of_lang", "of_source", "measure", "bucket")
+        .groupBy(*GROUP, "bucket")
         .agg(F.sum("n").alias("n"))
     )
-    group = Window.partitionBy("level", "of_lang", "of_source", "measure")
-    ranked = merged.withColumns({"total": F.sum("n").over(group), "upto": F.sum("n").over(group.orderBy("bucket"))})
+    merged = saved(merged.withColumn("total", F.sum("n").over(Window.partitionBy(*GROUP))), "sketches")
+    of_source, of_lang, of_all = [merged.where(F.col("level") == k) for k in range(3)]
+    of_lang = _filled(of_lang, of_all, F.lit(True))
+    filled = _filled(of_source, of_lang, F.col("of_lang").eqNullSafe(F.col("in_lang")))
+
+    group = Window.partitionBy(*GROUP)
+    ranked = filled.withColumn("upto", F.sum("n").over(group.orderBy("bucket")))
     shift = F.greatest(F.expr("bucket div 32 - 1").cast("int"), F.lit(0))
     value = F.call_function("shiftleft", F.col("bucket").cast("long") - 32 * shift, shift)
     quartile = {f"q{q}": F.min(F.when(100 * F.col("upto") >= q * F.col("total"), value)) for q in (25, 50, 75)}
-    stats = ranked.groupBy("level", "of_lang", "of_source", "measure").agg(F.max("total").alias("total"), *[c.alias(k) for k, c in quartile.items()])
+    stats = ranked.groupBy(*GROUP).agg(*[c.alias(k) for k, c in quartile.items()])
     least = F.coalesce(*[F.when(F.col("measure") == name, F.lit(spread)) for name, spread, _ in MEASURES])
-    spread = FENCE * F.greatest(F.col("q75") - F.col("q25"), F.expr("q50 div 8"), least)
+    wide = lambda distance: FENCE * F.greatest(distance, F.expr("q50 div 16"), least)
     low_too = F.col("measure").isin([name for name, _, low in MEASURES if low])
-    stats = stats.select("level", "of_lang", "of_source", "measure", "total", F.when(low_too, F.col("q25") - spread).alias("low"), (F.col("q75") + spread).alias("high"))
-
-    groups = sketches.select("lang", "source", "measure").distinct()
-    at = [stats.where(F.col("level") == k).select("of_lang", "of_source", F.col("measure").alias(f"measure{k}"), F.col("total").alias(f"total{k}"), F.col("low").alias(f"low{k}"), F.col("high").alias(f"high{k}")) for k in range(3)]
-    same_lang = F.col("lang").eqNullSafe(F.col("of_lang"))
-    out = groups.join(at[0], same_lang & F.col("source").eqNullSafe(F.col("of_source")) & (F.col("measure") == F.col("measure0"))).drop("of_lang", "of_source")
-    out = out.join(at[1], same_lang & (F.col("measure") == F.col("measure1"))).drop("of_lang", "of_source")
-    out = out.join(at[2].drop("of_lang", "of_source"), F.col("measure") == F.col("measure2"))
-    level = lambda k: F.when(F.col("total0") >= MIN_GROUP, F.col(f"{k}0")).when(F.col("total1") >= MIN_GROUP, F.col(f"{k}1")).otherwise(F.col(f"{k}2"))
-    return out.select("lang", "source", "measure", level("low").alias("low"), level("high").alias("high"))
+    low = F.when(low_too, F.col("q50") - wide(F.col("q75") - F.col("q50")))
+    high = F.col("q50") + wide(F.col("q50") - F.col("q25"))
+    return stats.select(F.col("of_lang").alias("lang"), F.col("of_source").alias("source"), "measure", low.alias("low"), high.alias("high"))
 
 
 def judge(measured: DataFrame, limits: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:

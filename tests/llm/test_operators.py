@@ -145,6 +145,35 @@ def test_quality_of_odd_rows_and_empty_table(spark, rng):
     assert quality_rules.apply_rules(table.limit(0)).count() == 0
 
 
+def _with_junk(rng, clean, junk, source="s0", start=0):
+    """Clean texts and texts with a mark in every other word."""
+    words = lambda mark: " ".join(prose(rng, 1) + (mark if k % 2 else "") for k in range(80))
+    return [(start + k, words(""), "en", source) for k in range(clean)] + [(start + clean + k, words("|#"), "en", source) for k in range(junk)]
+
+
+@pytest.mark.parametrize("junk", [60, 100, 130])
+def test_a_third_of_junk_does_not_move_the_fences(spark, rng, junk):
+    rows = _with_junk(rng, 300 - junk, junk)
+    kept = {r.doc_id: r.kept for r in quality_rules.apply_rules(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(kept[k] for k in range(300 - junk)) and not any(kept[k] for k in range(300 - junk, 300))
+
+
+def test_fences_change_little_at_the_size_of_a_group(spark, rng):
+    plain = [(5000 + k, prose(rng, 80), "en", "plain") for k in range(1000)]
+    rows = _with_junk(rng, 140, 62, source="mixed")
+    limits = []
+    for size in (199, 200, 201):
+        group = rows[: size - 62] + rows[140:]
+        measured = quality_rules.measure(spark.createDataFrame(plain + group, DOCS))
+        found = quality_rules.fences(quality_rules.sketch(measured)).where("source = 'mixed'").collect()
+        limits.append({r.measure: (r.low, r.high) for r in found})
+        kept = quality_rules.apply_rules(spark.createDataFrame(plain + group, DOCS)).where("source = 'mixed' and kept").count()
+        assert kept == size - 62
+    for name, (low, high) in limits[1].items():
+        for other in (limits[0], limits[2]):
+            assert abs(other[name][1] - high) <= 0.2 * high and (low is None or abs(other[name][0] - low) <= 0.2 * high)
+
+
 def test_sketches_merge_by_sum(spark, rng):
     measured = quality_rules.measure(spark.createDataFrame(odd_rows(rng), DOCS)).cache()
     whole = quality_rules.sketch(measured)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import accumulate
 
 import public_tokenizers
 import pytest
@@ -69,13 +71,25 @@ def quality(rows: list[tuple]) -> list[tuple]:
             for key in ((r[2], r[3]), (r[2],), ()):
                 groups[key][name].append(rounded(value))
 
+    def weights(key: tuple, name: str) -> Counter:
+        """Values of a group, a small one filled up by the next larger group's in proportion."""
+        own = Counter(groups[key][name])
+        if key == () or own.total() >= MIN_GROUP:
+            return own
+        larger = weights(key[:-1], name)
+        return Counter({v: own[v] * larger.total() + (MIN_GROUP - own.total()) * larger[v] for v in {*own, *larger}})
+
+    def quartiles(key: tuple, name: str) -> list[int]:
+        have = weights(key, name)
+        upto = list(accumulate(have[v] for v in sorted(have)))
+        return [next(v for v, n in zip(sorted(have), upto) if 100 * n >= p * have.total()) for p in (25, 50, 75)]
+
+    known = functools.cache(quartiles)
+
     def inside(r: tuple, m: dict) -> bool:
         for name, least, low in MEASURES:
-            key = next((k for k in ((r[2], r[3]), (r[2],)) if len(groups[k][name]) >= MIN_GROUP), ())
-            values = sorted(groups[key][name])
-            q = [values[-(-p * len(values) // 100) - 1] for p in (25, 50, 75)]
-            spread = FENCE * max(q[2] - q[0], q[1] // 8, least)
-            if m[name] > q[2] + spread or low and m[name] < q[0] - spread:
+            q = known((r[2], r[3]), name)
+            if m[name] > q[1] + FENCE * max(q[1] - q[0], q[1] // 16, least) or low and m[name] < q[1] - FENCE * max(q[2] - q[1], q[1] // 16, least):
                 return False
         return True
 
