@@ -8,15 +8,17 @@ through the wavelet ranks, occurrences are located by sampled suffixes, and the
 hit words merge into removal spans. Documents are never shuffled.
 
 The benchmark is the stated query set: it is cut into blocks of proven size, and
-each block is one broadcast and one pass of the same tasks.
+each block is one broadcast and one pass of the same tasks. With several blocks a
+pass is saved and its broadcast freed before the driver takes the next block.
 
 Words: A-Z lower-cased, runs of digits, letters and any character above ASCII.
 A window is ``window`` consecutive words of an item; an item of fewer words, but
 not none, is one window.
 
-Defined results: null or empty text has no words and no hits; null or empty items
-have no windows, an item without an id counts under the empty id; repeated documents and items count like any other; without items
-nothing is hit. Other columns pass through; a column named like a result is
+Defined results: null or empty text has no words and no hits; texts of any length are
+searched whole; null or empty items have no windows, an item without an id counts
+under the empty id; repeated documents and items count like any other; without items
+nothing is hit, without documents the result is empty. Other columns pass through; a column named like a result is
 replaced by it.
 """
 
@@ -33,6 +35,7 @@ from pyspark.sql import types as T
 
 from playerlake.llm.columns import HASHER, LOWER, bound_batches, ragged, row_slices, text_buffer, word_spans
 from playerlake.llm.fm_index import FMIndex
+from playerlake.llm.storage import remove_scratch, saved, scratch_folders
 
 WINDOW = 10
 SHARD_BYTES = 16 << 20
@@ -228,13 +231,14 @@ def _search(broadcast, window: int, text_col: str, kept: list[str], carry: bool)
     return run
 
 
-def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int = BLOCK_BYTES) -> list[list[tuple[str, bytes]]]:
-    """The query set in blocks of bounded size.
+def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int = BLOCK_BYTES) -> tuple[int, Iterator[list[tuple[str, bytes]]]]:
+    """The number of blocks of bounded size, and the query set block by block.
 
     Items are cut into overlapping pieces of at most ``block_bytes`` / 16 bytes on
     the executors, so even one huge item spreads over blocks; the number of
     blocks comes from the measured total of texts and ids. Pieces are dealt by id
-    and text, so many ids that share a text spread over blocks too.
+    and text, so many ids that share a text spread over blocks too. The pieces are
+    saved once, and the driver holds one block at a time.
     """
     piece = max(1024, block_bytes // 16)
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(text_col).cast("string").alias("text"))
@@ -258,11 +262,11 @@ def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, window:
                     a = b - window + 1
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else ([],) * 4, (pa.string(), pa.binary(), pa.int64(), pa.int64()))], names=["item", "text", "size", "part"])
 
-    pieces = items.mapInArrow(cut, schema)
+    pieces = saved(items.mapInArrow(cut, schema).dropDuplicates(["item", "text"]), "benchmark-pieces")
     total = pieces.agg(F.sum("size")).collect()[0][0] or 0
     count = max(1, math.ceil(total / block_bytes))
     block = F.pmod(F.xxhash64("item", "text"), F.lit(count))
-    return [[(r.item, bytes(r.text)) for r in pieces.where(block == k).select("item", "text").distinct().collect()] for k in range(count)]
+    return count, ([(r.item, bytes(r.text)) for r in pieces.where(block == k).select("item", "text").collect()] for k in range(count))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, keep_text: bool = True) -> DataFrame:
@@ -276,11 +280,18 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, text_col: str =
     results = {name.lower() for name in RESULT.names}
     out = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in results])
     fields = out.schema.fields
-    blocks = benchmark_blocks(benchmark, item_col, item_text_col, window)
+    count, blocks = benchmark_blocks(benchmark, item_col, item_text_col, window)
+    done: list[str] = []
     for k, block in enumerate(blocks):
-        kept = [f for f in fields if keep_text or k + 1 < len(blocks) or f.name != text_col]
-        search = _search(spark.sparkContext.broadcast(block), window, text_col, [f.name for f in kept], k > 0)
-        out = out.mapInArrow(search, T.StructType([*kept, *RESULT.fields]))
+        kept = [f for f in fields if keep_text or k + 1 < count or f.name != text_col]
+        shared = spark.sparkContext.broadcast(block)
+        out = out.mapInArrow(_search(shared, window, text_col, [f.name for f in kept], k > 0), T.StructType([*kept, *RESULT.fields]))
+        if k + 1 < count:  # this pass is over before the next block is fetched
+            with scratch_folders() as folders:
+                out = saved(out, "searched", compression="zstd")
+            shared.destroy()
+            remove_scratch(spark, done)
+            done = folders
     return out
 
 

@@ -34,7 +34,7 @@ KINDS = [
     ("card", r"[0-9](?:[\x20-]?[0-9]){11,}+", 1.0),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 1.0),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})", 1.0),
-    ("token", r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]{0,40}[0-9])[A-Za-z0-9_-]{20,}+", 0.3),
+    ("token", r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{20,}+", 0.3),
     ("account", r"(?<![A-Za-z0-9.+-])[0-9]{6,11}+(?![A-Za-z0-9@-]|\.[0-9])", 0.3),
 ]
 BASE = ["email", "ip", "card", "phone"]

@@ -105,7 +105,9 @@ def test_contamination_of_empty_tables(spark):
 def test_items_that_share_a_text_spread_over_blocks(spark, rng):
     text = prose(rng, 15)
     items = spark.createDataFrame([(k, text) for k in range(600)] + [(1000 + k, prose(rng, 15)) for k in range(100)], "item_id long, text string")
-    blocks = decontamination.benchmark_blocks(items, "item_id", "text", 10, block_bytes=8192)
+    count, blocks = decontamination.benchmark_blocks(items, "item_id", "text", 10, block_bytes=8192)
+    blocks = list(blocks)
+    assert len(blocks) == count > 2
     assert sorted(int(item) for block in blocks for item, _ in block) == [*range(600), *range(1000, 1100)]
     assert max(sum(len(t) + len(i) for i, t in block) for block in blocks) < 2 * 8192
 
@@ -446,3 +448,39 @@ def test_classifier_learns_and_defines_odd_rows(spark, rng):
     none = quality_classifier.score_quality(docs, labels.limit(0)).collect()
     assert {round(r.score, 6) for r in none} == {0.5}
     assert quality_classifier.score_quality(docs.limit(0), labels).count() == 0
+
+
+def test_vectors_and_pooling_equal_brute_force(spark, rng):
+    import numpy as np
+    import pyarrow as pa
+
+    from playerlake.llm.columns import text_buffer
+
+    texts = [t or "" for _, t, *_ in odd_rows(rng) if len(t or "") < 5000] + ["x", "Ab9 Ab9!", "a\nb\tc d"]
+    words = [re.findall(WORD, t) for t in texts]
+    unit = {}
+    for w in {w for ws in words for w in ws}:
+        spelling, frame, _ = quality_classifier.units_of(*text_buffer(pa.array([w])))
+        unit[w] = (int(spelling[0]), int(frame[0]))
+    assert unit["Ab9"][1] == unit["Cd7"][1] if "Cd7" in unit else True
+    index = quality_classifier.index_vectors().astype(np.int64)
+    sums, seen = np.zeros(index.shape, np.int64), np.zeros(len(index), np.int64)
+    for ws in words:
+        for k, w in enumerate(ws):
+            near = [ws[j] for j in range(max(0, k - quality_classifier.REACH), min(len(ws), k + quality_classifier.REACH + 1)) if j != k]
+            for u in unit[w]:
+                seen[u] += 1
+                for other in near:
+                    sums[u] += index[unit[other][0]] + index[unit[other][1]]
+    want = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+    want[seen > 0] -= (want * seen[:, None]).sum(axis=0) / seen.sum()
+    vectors = quality_classifier.unit_vectors(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    assert np.allclose(vectors, want, atol=1e-5)
+    pooled = quality_classifier.pool(*text_buffer(pa.array(texts)), vectors)
+    for row, ws, text in zip(pooled, words, texts):
+        rest = [np.log1p(len(ws)), np.log1p(len(text.encode())) - np.log1p(len(ws))]
+        parts = [np.zeros(quality_classifier.WIDTH)] * 4
+        if ws:
+            spelled, framed = (np.array([want[unit[w][k]] for w in ws]) for k in (0, 1))
+            parts = [spelled.mean(axis=0), spelled.std(axis=0), framed.mean(axis=0), framed.std(axis=0)]
+        assert np.allclose(row, np.concatenate([*parts, rest]), atol=2e-3)
