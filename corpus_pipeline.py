@@ -20,12 +20,11 @@ from playerlake.llm.piece_codec import encode
 from playerlake.llm.pii import redact
 from playerlake.llm.quality_rules import apply_rules
 from playerlake.llm.simhash import one_per_group
-from playerlake.llm.storage import saved
+from playerlake.llm.storage import remove_scratch, saved, scratch_folders
 from playerlake.session import configure
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
-
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -98,8 +97,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared scratch folder and read again."""
+    """All stages over documents, each written to the shared scratch folder and read again.
+
+    What a stage has left in the scratch folder goes once the next one is written.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    done: list[str] = []
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch_folders() as folders:
+            docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        remove_scratch(spark, [*done, *folders[:-1]])
+        done = folders[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
