@@ -97,16 +97,19 @@ def _point_view(spark: SparkSession, name: str, folder: str, state: State) -> No
     """The catalog's name over the state's data folders, in one step."""
     if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
         raise ValueError(f"{name} is a table that this library did not write; rename it first")
-    parts = state.folders
-    at = f"{folder}/versions/" + (parts[0] if len(parts) == 1 else "{" + ",".join(parts) + "}")
-    columns = ", ".join(f"`{c}`" for c in _schema(state).names)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {state.fmt}.`{at}`")
+    parts, schema = state.folders, _schema(state)
+    if parts:
+        at = f"{folder}/versions/" + (parts[0] if len(parts) == 1 else "{" + ",".join(parts) + "}")
+        rows = ", ".join(f"`{c}`" for c in schema.names) + f" FROM {state.fmt}.`{at}`"
+    else:
+        rows = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields) + " WHERE false"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {rows}")
 
 
 def point_catalog(spark: SparkSession, name: str, root: str | None = None) -> None:
     """Bring a catalog table's view to the last commit (nothing to do for a path)."""
     folder = table_folder(spark, name, root)
-    if "/" not in name and (state := commits.latest(spark, folder)) and state.folders:
+    if "/" not in name and (state := commits.latest(spark, folder)):
         _point_view(spark, name, folder, state)
 
 

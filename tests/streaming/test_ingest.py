@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from playerlake.session import local_path
 from playerlake.sources.schemas import GAME_LOGS_SCHEMA, PLAYERS_SCHEMA
@@ -169,3 +170,18 @@ def test_compaction_keeps_rows_ledger_and_quarantine(spark, scratch):
     land_raw(_players(spark, [4]), "player_profiles", landing)
     assert ingest_source(spark, "player_profiles", landing, target, ckpt).rows == 1
     assert read_table(spark, target).count() == 4
+
+
+def test_a_catalog_table_shows_every_batch(spark, scratch):
+    database = f"playerlake_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch}/db'")
+    landing, target, ckpt = f"{scratch}/raw", f"{database}.bronze_players", f"{scratch}/_ckpt"
+    os.makedirs(local_path(landing))
+    assert ingest_source(spark, "player_profiles", landing, target, ckpt).rows == 0
+    assert spark.table(target).columns == PLAYERS_SCHEMA.names and spark.table(target).count() == 0
+    for ids in ([1], [2, 3], [4]):
+        land_raw(_players(spark, ids).coalesce(1), "player_profiles", landing)
+    assert ingest_source(spark, "player_profiles", landing, target, ckpt, max_files_per_trigger=1).batches == 3
+    assert sorted(r.plid for r in spark.table(target).collect()) == ["P1", "P2", "P3", "P4"]
+    compact_table(spark, target)
+    assert spark.table(target).count() == 4 and len(current_state(spark, target).folders) == 1
