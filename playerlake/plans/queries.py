@@ -12,7 +12,8 @@ the questions as SQL text over registered views, the ``q_*_ordered`` ones state
 row's place in the order that a question asks for.
 
 The ``*_general`` entries run the same operators over tables in which ids or whole
-rows occur again, so nothing is known of them. ``player_engagement_today`` measures
+rows occur again, so nothing is known of them (the player summary with repeated rows
+is written first, as such a table would be). ``player_engagement_today`` measures
 from the day that the run read off the clock.
 """
 
@@ -126,8 +127,9 @@ class Layers:
 
     @cached_property
     def summary_twice(self) -> DataFrame:
-        """The player summary and, once more, its rows of players on mobiles."""
-        return self.summary.unionAll(self.summary.where(F.col("PrimaryPlatform") == "Mobile"))
+        """The player summary and, once more, its rows of players on mobiles, written and read back."""
+        twice = self.summary.unionAll(self.summary.where(F.col("PrimaryPlatform") == "Mobile"))
+        return write_table(twice, scratch_dir(self.spark, "summary_twice"))
 
     def tables(self) -> dict[str, DataFrame]:
         """The layers under their table names, as ``medallion`` takes them."""

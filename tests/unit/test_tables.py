@@ -166,3 +166,16 @@ def test_facts_are_stored_with_the_rows_and_end_with_the_frame(spark, target):
     written = write_table(frame, **target)
     assert facts_of(written) == facts_of(frame) == facts_of(read_table(spark, **target))
     assert not facts_of(write_table(_frame(spark, [1, 1]), **target)).key
+
+
+def test_stores_that_only_hadoop_reaches(spark, scratch):
+    """Commits by a rename that never overwrites, where no local link can be made."""
+    os.makedirs(local_path(scratch))
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.store.link./lake", f"file://{local_path(scratch)}")
+    name = "viewfs://store/lake/table"
+    for k in range(3):
+        assert [r.x for r in write_table(_frame(spark, [k]), name).collect()] == [k]
+    assert commits.numbers(spark, name) == [1, 2]
+    assert not commits._put(spark, f"{name}/_commits/{2:012d}", "other")
+    assert commits.read(spark, name, 2).fmt == "parquet"
+    assert [n for n, _ in commits.children(spark, f"{name}/_commits") if n.startswith(".")] == []
