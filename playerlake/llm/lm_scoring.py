@@ -1,26 +1,37 @@
 """Language-model scores from a log-bilinear model trained by noise contrast.
 
 Vocabulary. Tasks encode shards of bounded size with a dictionary each; only the
-dictionaries are shuffled, so every count is exact over the whole training corpus
-and a frequent word moves once a shard. Counts go back to their shard, and the
-documents become sequences of one-byte symbols: the most frequent words have one
-each, the others share classes by their first and last bytes.
+dictionaries are shuffled, so every count is exact over the whole training corpus.
+Counts are sums that Spark combines before the shuffle, and go back to the shards by
+a join, of which adaptive execution can split a frequent word. The documents become
+sequences of leaves.
+
+Leaves. With V distinct training words a side is the cube root of V. The most
+frequent words are symbols of their own; the others fall into about a side of
+classes by their first and last bytes. The next side * side / 2 most frequent words
+are leaves of their own in their class, the rest share half a side of groups a class.
+So leaves grow with V ** (2/3), and what a token costs grows with the side.
 
 Model. The next symbol's logit is bilinear in position-weighted embeddings of the
-last ``CONTEXT`` symbols and an output embedding, plus a bias that starts at the
-unigram. Tasks train by noise-contrastive estimation with noise shared in a
-minibatch, over every training token once; a round's parameters are averaged,
-weighted by tokens, in Spark. Scoring multiplies batches of contexts with all
-outputs, so each distribution over symbols is normalised exactly. A word of a
-class then has its smoothed share of the class, one unseen word included, and the
-whole is a distribution over the vocabulary and an unknown word.
+last ``CONTEXT`` leaves and an output embedding, plus a bias that starts at the
+unigram; inside a class the same prediction meets the embeddings of the class's
+leaves. Both levels train by noise-contrastive estimation, with noise from the symbols
+and from the class, shared in a minibatch, over every training token once. There are
+several rounds; in each the tasks train on a part of the documents, and Spark averages
+every embedding, weighted by the tokens that have moved it. Scoring multiplies batches
+of contexts with all outputs of a level, so each distribution is normalised exactly. A
+word of a group then has its smoothed share of the group, one unseen word included,
+and the whole is a distribution over the vocabulary and an unknown word.
 
 Words: A-Z lower-cased, separated by space, tab to carriage return; an end token
 follows each text. Word identity is a 64-bit hash of the spelling.
 
 Defined results: null or empty text is the end token alone; a null doc_id counts
-as the empty text for the split; repeated rows are rows and count each; without
-training rows all scores follow from the smoothing; extra columns are ignored.
+as the empty text for the split; repeated rows are rows and count each; words of
+equal count take their places by their hash; a very long text is one row of its
+shard and is scored whole; without training rows all scores follow from the
+smoothing; an empty table gives no rows; extra columns are ignored. Ids are cast
+to long, so other ids are an error.
 """
 
 from __future__ import annotations
@@ -30,24 +41,30 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playerlake.llm.columns import HASHER, LOWER, NOT_SPACE, bound_batches, row_slices, text_buffer, word_spans
 from playerlake.llm.storage import saved
 
-SYMBOLS = 256
+#: Most frequent words, which are symbols; and the least classes and groups a class.
 WORDS = 160
-CLASSES = SYMBOLS - WORDS
-START = SYMBOLS  # input symbol before a text
+MIN_CLASSES = 96
+MIN_GROUPS = 8
 
 WIDTH = 16
 CONTEXT = 3
 NOISE = 32
+INNER_NOISE = 16
 MINIBATCH = 4096
-RATE = 0.1
-#: One document in so many trains the first round, the others the second.
-WARM_UP = 8
+INNER_BATCH = 32768
+SCORE_BATCH = 1024
+RATE = 0.2
+#: Documents are dealt over so many parts; a round trains on the parts below its limit that no round had before.
+PARTS = 8
+ROUNDS = (1, 3, 8)
+#: Training tokens of a task, unless that leaves cores idle.
+TASK_TOKENS = 32 << 20
 SHARD_BYTES = 16 << 20
 END_KEY = np.uint64(0x1)
 SEED = 7
@@ -69,16 +86,16 @@ class _Shard:
         data = LOWER[data]
         starts, ends = word_spans(data, offsets, NOT_SPACE)
         hashes = HASHER.ranges(HASHER.prefix(data), starts, ends) | np.uint64(2)  # apart from the end's key
-        # class of a word outside the symbols: its first two and last two bytes
+        # a word's class comes from its first two and last two bytes
         spelling = data.astype(np.uint64)
         mixed = ((spelling[starts] << np.uint64(24)) | (spelling[np.minimum(starts + 1, ends - 1)] << np.uint64(16)) | (spelling[np.maximum(ends - 2, starts)] << np.uint64(8)) | spelling[ends - 1]) * np.uint64(0x9E3779B97F4A7C15)
-        classes = ((mixed >> np.uint64(33)) % np.uint64(CLASSES)).astype(np.int16)
+        classes = (mixed >> np.uint64(33)).astype(np.int32)  # modulo their number, once that is known
         row = np.searchsorted(offsets, starts, side="right") - 1
         n = np.bincount(row, minlength=len(offsets) - 1)
         place = np.arange(len(starts)) + row  # an end follows each row's words
         keys = np.full(len(starts) + len(n), END_KEY, np.uint64)
         keys[place] = hashes
-        kinds = np.zeros(len(keys), np.int16)
+        kinds = np.zeros(len(keys), np.int32)
         kinds[place] = classes
         self.ids += ids
         self.held += held
@@ -100,7 +117,7 @@ class _Shard:
                 [pa.array([0] * m, pa.int32()), pa.array([shard] * m, pa.int64()), pa.array(self.ids[low:high], pa.int64()), pa.array(held[low:high]),
                  pa.array([codes[edges[k] : edges[k + 1]].tobytes() for k in range(low, high)], pa.binary()),
                  pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64())], names=names)
-        classes = np.concatenate(self.classes)[first].astype(np.int32)
+        classes = np.concatenate(self.classes)[first]
         for low in range(0, len(known), 1 << 17):
             part = slice(low, low + (1 << 17))
             m = len(known[part])
@@ -124,173 +141,324 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from shard.rows(number)
 
 
-def _symbols(top: dict[int, int], rest: dict[int, tuple[int, int]], n_tokens: int, n_words: int):
-    """applyInArrow over a shard's dictionary and documents: symbol sequences and count scores."""
-    names = ["doc_id", "held_out", "part", "symbols", "n_tokens", "n_known", "base_score", "class_score"]
-    keys = np.array(sorted(top), np.int64)
-    values = np.array([top[k] for k in sorted(top)], np.int64)
-    total = np.array([rest.get(k, (0, 0)) for k in range(CLASSES)], np.float64)
+class Leaves:
+    """Numbers of the leaves: symbols' words, then the groups by class, then the own leaves by class.
+
+    ``row`` is a leaf's place among the leaves of classes in the order of classes, -1 for
+    a symbol's word; class c has the rows from ``edges[c]`` to ``edges[c + 1]``.
+    """
+
+    def __init__(self, classes: int, groups: int, own: np.ndarray) -> None:
+        self.classes, self.groups = classes, groups
+        self.symbols = WORDS + classes
+        kind = np.concatenate([np.repeat(np.arange(classes), groups), np.repeat(np.arange(classes), own)])
+        self.size = WORDS + len(kind)
+        self.symbol = np.concatenate([np.arange(WORDS), WORDS + kind]).astype(np.int32)
+        self.row = np.full(self.size, -1, np.int32)
+        order = np.argsort(kind, kind="stable")
+        self.row[WORDS + order] = np.arange(len(kind))
+        self.edges = np.concatenate([[0], np.cumsum(np.bincount(kind, minlength=classes))])
+        self.shared = np.zeros(self.size, bool)
+        self.shared[WORDS : WORDS + classes * groups] = True
+
+    @staticmethod
+    def sides(n_words: int) -> tuple[int, int, int]:
+        """(classes, groups a class, words with an own leaf) for a vocabulary."""
+        side = int(np.ceil(np.cbrt(n_words)))
+        return max(MIN_CLASSES, side), max(MIN_GROUPS, side // 2), side * side // 2
+
+
+def _sequences(leaves: Leaves, totals, n_tokens: int, n_words: int):
+    """applyInArrow over a shard's dictionary and documents: sequences of leaves and count scores."""
+    names = ["doc_id", "held_out", "part", "leaves", "n_tokens", "n_known", "base_score", "group_score"]
 
     def run(words: pa.Table, docs: pa.Table) -> pa.Table:
         size = words.num_rows
         code = words.column("code").to_numpy()
-        key, kind, count = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, np.float64)
-        key[code], kind[code], count[code] = (words.column(c).to_numpy() for c in ("key", "class", "count"))
+        leaf, count = np.zeros(size, np.int32), np.zeros(size, np.float64)
+        leaf[code], count[code] = (words.column(c).to_numpy() for c in ("leaf", "count"))
+        in_leaf, kinds = (t[leaf] for t in totals.value)
         base = np.log10((count + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
-        share = np.log10((count + 0.5) / (total[kind, 0] + 0.5 * (total[kind, 1] + 1)))
-        symbol = WORDS + kind
-        if len(keys):
-            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            frequent = keys[at] == key
-            symbol, share = np.where(frequent, values[at], symbol), np.where(frequent, 0.0, share)
-        raw = docs.column("codes").combine_chunks()
-        data, offsets = text_buffer(raw)
+        share = np.where(leaves.shared[leaf], np.log10((count + 0.5) / (in_leaf + 0.5 * (kinds + 1))), 0.0)
+        data, offsets = text_buffer(docs.column("codes"))
         codes, edges = data.view(np.int32) if len(data) else np.zeros(0, np.int32), offsets // 4
         n = np.diff(edges)
-        sequence = symbol[codes].astype(np.uint8).tobytes()
+        sequence = leaf[codes].tobytes()
         sums = lambda x: np.add.reduceat(x[codes], edges[:-1]) if len(n) else np.zeros(0)  # noqa: E731  every document has its end token
         ids = docs.column("doc_id")
-        part = np.array([hash(i) % WARM_UP if i is not None else 0 for i in ids.to_pylist()], np.int32)
+        part = np.array([hash(i) % PARTS if i is not None else 0 for i in ids.to_pylist()], np.int32)
         return pa.table([
-            ids, docs.column("held_out"), pa.array(part), pa.array([sequence[a:b] for a, b in zip(edges, edges[1:])], pa.binary()), pa.array(n),
+            ids, docs.column("held_out"), pa.array(part), pa.array([sequence[a:b] for a, b in zip(offsets, offsets[1:])], pa.binary()), pa.array(n),
             pa.array(sums((count > 0).astype(np.int64)).astype(np.int64)), pa.array(sums(base)), pa.array(sums(share))], names=names)
 
     return run
 
 
 class LogBilinear:
-    """Parameters: input embeddings, weights of context positions, output embeddings, biases."""
+    """Embeddings of context leaves, weights of context places, outputs of symbols and of classes' leaves.
 
-    def __init__(self, inputs: np.ndarray, places: np.ndarray, outputs: np.ndarray, bias: np.ndarray) -> None:
-        self.inputs, self.places, self.outputs, self.bias = inputs, places, outputs, bias
+    The last column of a prediction is 1 and that of an output table its bias; inputs have none.
+    ``seen`` has each row's mean of the squared gradients of former rounds, from which Adagrad goes on.
+    """
+
+    def __init__(self, leaves: Leaves, tables: list[np.ndarray], seen: list[np.ndarray] | None = None) -> None:
+        self.leaves, self.tables = leaves, tables
+        self.seen = [np.full(len(t), 1e-1, np.float32) for t in tables] if seen is None else seen
+        self.inputs, self.places, self.outputs, self.inner = tables
 
     @classmethod
-    def unigram(cls, share: np.ndarray) -> LogBilinear:
+    def unigram(cls, leaves: Leaves, share: np.ndarray, inner_share: np.ndarray) -> LogBilinear:
         """Small random embeddings and the unigram's log-probabilities as biases."""
         rng = np.random.default_rng(SEED)
         draw = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
-        return cls(draw(SYMBOLS + 1, WIDTH), 1 + draw(CONTEXT, WIDTH), draw(SYMBOLS, WIDTH), np.log(share).astype(np.float32))
+        biased = lambda p: np.column_stack([draw(len(p), WIDTH - 1), np.log(p).astype(np.float32)])
+        return cls(leaves, [draw(leaves.size + 1, WIDTH), 1 + draw(CONTEXT, WIDTH), biased(share), biased(inner_share)])
 
-    def arrays(self) -> list[np.ndarray]:
-        return [self.inputs, self.places, self.outputs, self.bias]
-
-    def flat(self) -> np.ndarray:
-        return np.concatenate([a.ravel() for a in self.arrays()])
-
-    @classmethod
-    def from_flat(cls, flat: np.ndarray) -> LogBilinear:
-        shapes = [(SYMBOLS + 1, WIDTH), (CONTEXT, WIDTH), (SYMBOLS, WIDTH), (SYMBOLS,)]
-        edges = np.cumsum([0, *[int(np.prod(s)) for s in shapes]])
-        return cls(*[flat[a:b].astype(np.float32).reshape(s) for a, b, s in zip(edges, edges[1:], shapes)])
+    def copy(self) -> LogBilinear:
+        return LogBilinear(self.leaves, [t.copy() for t in self.tables], [s.copy() for s in self.seen])
 
     def predict(self, context: np.ndarray) -> np.ndarray:
-        """Predicted embedding of the next symbol from (rows, CONTEXT) symbols."""
-        out = self.inputs[context[:, 0]] * self.places[0]
+        """Predicted embedding of the next leaf from (rows, CONTEXT) leaves; its last column meets the biases."""
+        out = self.inputs.take(context[:, 0], axis=0)
+        out *= self.places[0]
         for j in range(1, CONTEXT):
-            out += self.inputs[context[:, j]] * self.places[j]
+            more = self.inputs.take(context[:, j], axis=0)
+            more *= self.places[j]
+            out += more
+        out[:, -1] = 1
         return out
 
+    def by_class(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """(positions of the targets in classes, sorted by row; their rows; (class, from, to) in these)."""
+        row = self.leaves.row[target]
+        at = np.flatnonzero(row >= 0)
+        at = at[_order(row[at])]
+        row = row[at]
+        cuts = np.searchsorted(row, self.leaves.edges)
+        return at, row, [(c, a, b) for c, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())) if b > a]
+
     def log10(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Normalised log10 probability of each target."""
-        logits = self.predict(context) @ self.outputs.T
-        logits += self.bias
-        chosen = logits[np.arange(len(target)), target]
-        # subtracting the largest keeps the exponentials finite
+        """Normalised log10 probability of each target leaf."""
+        predicted = self.predict(context)
+        logs = np.empty(len(target), np.float32)
+        symbol = self.leaves.symbol[target]
+        for low in range(0, len(target), SCORE_BATCH):
+            part = slice(low, low + SCORE_BATCH)
+            logs[part] = _log_softmax(predicted[part], self.outputs, symbol[part])
+        at, row, runs = self.by_class(target)
+        predicted = predicted[at]
+        for c, a, b in runs:
+            low, high = self.leaves.edges[c : c + 2]
+            for start in range(a, b, SCORE_BATCH):
+                part = slice(start, min(start + SCORE_BATCH, b))
+                logs[at[part]] += _log_softmax(predicted[part], self.inner[low:high], row[part] - low)
+        return logs / np.float32(np.log(10))
+
+
+def _log_softmax(q: np.ndarray, outputs: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Logarithm of each row's share of its chosen output."""
+    logits = q @ outputs.T
+    picked = logits[np.arange(len(chosen)), chosen]
+    # lengths bound the logits, and exponentials stay finite below 80; beyond that each row is moved by its largest one
+    if np.einsum("ij,ij->i", q, q).max() * np.einsum("ij,ij->i", outputs, outputs).max() > 80**2:
         most = logits.max(axis=1)
         logits -= most[:, None]
-        np.exp(logits, out=logits)
-        return (chosen - most - np.log(logits.sum(axis=1))) / np.float32(np.log(10))
+        picked -= most
+    np.exp(logits, out=logits)
+    return picked - np.log(logits @ np.ones(len(outputs), np.float32))
 
 
-def _sum_rows(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """values summed by index."""
-    order = np.argsort(index, kind="stable")
-    ordered = index[order]
-    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    out = np.zeros((size, *values.shape[1:]), np.float32)
-    out[ordered[first]] = np.add.reduceat(values[order], first, axis=0)
-    return out
+def _order(index: np.ndarray) -> np.ndarray:
+    """Stable order of numbers below 2 ** 32, by halves of 16 bits, which numpy sorts by radix."""
+    order = np.argsort((index & 0xFFFF).astype(np.uint16), kind="stable")
+    high = (index >> 16).astype(np.uint16)
+    return order[np.argsort(high[order], kind="stable")] if high.any() else order
+
+
+def _sum_rows(index: np.ndarray, values: np.ndarray, ordered: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct indices, the values' sums by them, their numbers)."""
+    if not ordered:
+        order = _order(index)
+        index, values = index.take(order), values.take(order, axis=0)
+    first = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
+    return index[first], np.add.reduceat(values, first, axis=0), np.diff(first, append=len(index))
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)); the argument is overwritten."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 class Trainer:
-    """Noise-contrastive estimation with Adagrad steps."""
+    """Noise-contrastive estimation with Adagrad steps on the rows that a minibatch touches.
 
-    def __init__(self, model: LogBilinear, noise: np.ndarray, seed: int) -> None:
-        self.m, self.noise, self.rng = model, noise, np.random.default_rng([SEED, seed])
-        self.log_kn = np.log(NOISE * noise).astype(np.float32)
-        self.seen = [np.full_like(a, 1e-1) for a in model.arrays()]
+    ``moved`` counts, for every row of every table, the tokens that have moved it.
+    """
+
+    INPUTS, PLACES, OUTPUTS, INNER = range(4)
+
+    def __init__(self, model: LogBilinear, noise: np.ndarray, inner_noise: np.ndarray, seed: int) -> None:
+        self.m, self.rng = model, np.random.default_rng([SEED, seed])
+        self.noise_log = np.log(NOISE * noise).astype(np.float32)
+        self.inner_log = np.log(INNER_NOISE * inner_noise).astype(np.float32)
         self.cumulative = np.cumsum(noise) / noise.sum()
+        self.inner_cumulative = np.cumsum(inner_noise)
+        self.seen = [np.repeat(s[:, None], WIDTH, axis=1) for s in model.seen]
+        self.moved = [np.zeros(len(t), np.int64) for t in model.tables]
         self.tokens = 0
 
+    def _climb(self, table: int, rows, gradient: np.ndarray, tokens) -> None:
+        seen = self.seen[table].take(rows, axis=0) + gradient * gradient
+        self.seen[table][rows] = seen
+        t = self.m.tables[table]
+        t[rows] = t.take(rows, axis=0) + np.float32(RATE) * gradient / np.sqrt(seen)
+        self.moved[table][rows] += tokens
+
+    def _back(self, context: np.ndarray, g_q: np.ndarray) -> None:
+        """A step of the context's embeddings and the places' weights."""
+        m, scale = self.m, np.float32(1 / np.sqrt(len(context)))
+        g_q *= scale
+        g_q[:, -1] = 0
+        summed = [_sum_rows(context[:, j], g_q) for j in range(CONTEXT)]
+        g_places = np.stack([np.einsum("ij,ij->j", m.inputs.take(rows, axis=0), sums) for rows, sums, _ in summed])
+        for j, (rows, sums, n) in enumerate(summed):
+            self._climb(self.INPUTS, rows, sums * m.places[j], n)
+        self._climb(self.PLACES, np.arange(CONTEXT), g_places, len(context))
+
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
-        m, size = self.m, len(target)
-        drawn = np.minimum(np.searchsorted(self.cumulative, self.rng.random(NOISE)), SYMBOLS - 1)
-        q = m.predict(context)
-        true_out, noise_out = m.outputs[target], m.outputs[drawn]
-        sigmoid = lambda x: 1 / (1 + np.exp(-x))
-        # gradients of the mean log-likelihood of telling the true symbol from noise
-        up = (1 - sigmoid((q * true_out).sum(axis=1) + m.bias[target] - self.log_kn[target])) / np.float32(size)
-        down = -sigmoid(q @ noise_out.T + (m.bias - self.log_kn)[drawn]) / np.float32(size)
-        g_q = up[:, None] * true_out + down @ noise_out
-        g_out = _sum_rows(target, up[:, None] * q, SYMBOLS)
+        """One minibatch against noise from all symbols."""
+        outputs = self.m.outputs
+        target = self.m.leaves.symbol[target]
+        drawn = np.minimum(np.searchsorted(self.cumulative, self.rng.random(NOISE)), len(outputs) - 1)
+        q, true_out, noise_out = self.m.predict(context), outputs.take(target, axis=0), outputs[drawn]
+        # gradients of the log-likelihood of telling the true symbol from noise
+        up = 1 - _sigmoid(np.einsum("ij,ij->i", q, true_out) - self.noise_log[target])
+        down = -_sigmoid(q @ noise_out.T - self.noise_log[drawn])
+        g_out = np.zeros_like(outputs)
+        rows, sums, _ = _sum_rows(target, up[:, None] * q)
+        g_out[rows] = sums
         np.add.at(g_out, drawn, down.T @ q)
-        g_bias = np.bincount(target, weights=up, minlength=SYMBOLS) + np.bincount(drawn, weights=down.sum(axis=0), minlength=SYMBOLS)
-        g_in, g_places = np.zeros_like(m.inputs), np.zeros_like(m.places)
-        for j in range(CONTEXT):
-            c = context[:, j]
-            g_places[j] = (g_q * m.inputs[c]).sum(axis=0)
-            g_in += _sum_rows(c, g_q * m.places[j], SYMBOLS + 1)
-        for a, g, seen in zip(m.arrays(), (g_in, g_places, g_out, g_bias), self.seen):
-            g = (g * np.float32(np.sqrt(size))).astype(np.float32)
-            seen += g * g
-            a += np.float32(RATE) * g / np.sqrt(seen)
-        self.tokens += size
-
-
-def _contexts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """((tokens, CONTEXT) symbols before each token, nearest first; the tokens; row edges)."""
-    data, offsets = text_buffer(batch.column("symbols"))
+        g_q = up[:, None] * true_out + down @ noise_out
+        self._climb(self.OUTPUTS, np.arange(len(outputs)), g_out * np.float32(1 / np.sqrt(len(target))), len(target))
+        self._back(context, g_q)
+        self.tokens += len(target)
+
+    def inner_step(self, context: np.ndarray, target: np.ndarray) -> None:
+        """One minibatch in which each class's tokens meet noise from their class; it moves the outputs alone."""
+        inner, edges = self.m.inner, self.m.leaves.edges
+        at, row, runs = self.m.by_class(target)
+        if not runs:
+            return
+        q, true_out = self.m.predict(context[at]), inner.take(row, axis=0)
+        up = 1 - _sigmoid(np.einsum("ij,ij->i", q, true_out) - self.inner_log[row])
+        rows, sums, _ = _sum_rows(row, up[:, None] * q, ordered=True)
+        g_out, size = np.zeros_like(inner), np.ones(len(edges) - 1, np.float32)
+        g_out[rows] = sums
+        uniform = self.rng.random((len(edges) - 1, INNER_NOISE))
+        ends = np.append(0.0, self.inner_cumulative)[edges]
+        drawn = np.searchsorted(self.inner_cumulative, ends[:-1, None] + uniform * np.diff(ends)[:, None])
+        drawn = np.clip(drawn, edges[:-1, None], edges[1:, None] - 1)
+        for c, a, b in runs:
+            part, noise_out = q[a:b], inner[drawn[c]]
+            down = _sigmoid(part @ noise_out.T - self.inner_log[drawn[c]])
+            np.subtract.at(g_out, drawn[c], down.T @ part)
+            size[c] = b - a
+        met = np.repeat(size, np.diff(edges))
+        g_out /= np.sqrt(met)[:, None]
+        rows = np.flatnonzero(g_out.any(axis=1))
+        self._climb(self.INNER, rows, g_out[rows], met[rows].astype(np.int64))
+
+
+def _contexts(batch: pa.RecordBatch, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """((tokens, CONTEXT) leaves before each token, nearest first; the tokens; row edges)."""
+    data, offsets = text_buffer(batch.column("leaves"))
+    data, offsets = data.view(np.int32), offsets // 4
     n = len(data)
     within = np.arange(n) - np.repeat(offsets[:-1], np.diff(offsets))
-    context = np.full((n, CONTEXT), START, np.int16)
+    context = np.full((n, CONTEXT), start, np.int32)
     for j in range(CONTEXT):
         have = np.flatnonzero(within > j)
         context[have, j] = data[have - j - 1]
-    return context, data.astype(np.int16), offsets
+    return context, data, offsets
+
 
+MOVED = f"part int, row int, moved long, seen float, {', '.join(f'v{k} float' for k in range(WIDTH))}"
+
+
+def _train(model, noise):
+    """mapInArrow: trains over a task's sequences and gives each row that has moved."""
+    names = [c.split()[0] for c in MOVED.split(", ")]
 
-def _train(parameters, noise: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(LogBilinear.from_flat(parameters.value), noise, TaskContext.get().partitionId())
+        trainer = Trainer(model.value.copy(), *noise.value, TaskContext.get().partitionId())
+        start = trainer.m.leaves.size
         for batch in batches:
-            context, target, _ = _contexts(batch)
-            order = trainer.rng.permutation(-(-len(target) // MINIBATCH))
-            for k in order:
-                part = slice(k * MINIBATCH, (k + 1) * MINIBATCH)
-                trainer.step(context[part], target[part])
-        if trainer.tokens:
-            flat = trainer.m.flat().astype(np.float64) * trainer.tokens
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat), pa.array(np.full(len(flat), float(trainer.tokens)))], names=["at", "value", "weight"])
+            context, target, _ = _contexts(batch, start)
+            for low in range(0, len(target), INNER_BATCH):
+                part = slice(low, low + INNER_BATCH)
+                near, next_ = context[part], target[part]
+                for k in trainer.rng.permutation(-(-len(next_) // MINIBATCH)):
+                    trainer.step(near[k * MINIBATCH : (k + 1) * MINIBATCH], next_[k * MINIBATCH : (k + 1) * MINIBATCH])
+                trainer.inner_step(near, next_)
+        for table, moved in enumerate(trainer.moved):
+            rows = np.flatnonzero(moved)
+            values = trainer.m.tables[table][rows]
+            for low in range(0, len(rows), 1 << 14):
+                part = slice(low, low + (1 << 14))
+                columns = [pa.array(np.full(len(rows[part]), table, np.int32)), pa.array(rows[part].astype(np.int32)), pa.array(moved[rows[part]]), pa.array(trainer.seen[table][rows[part]].mean(axis=1))]
+                yield pa.RecordBatch.from_arrays([*columns, *[pa.array(np.ascontiguousarray(v)) for v in values[part].T]], names=names)
 
     return run
 
 
-def _score(parameters):
+def _averaged(model: LogBilinear, trained: DataFrame) -> LogBilinear:
+    """The model with the means over tasks of the rows that any of them has moved."""
+    means = [(F.sum(F.col(c) * F.col("moved")) / F.sum("moved")).cast("float").alias(c) for c in ("seen", *(f"v{k}" for k in range(WIDTH)))]
+    rows = trained.groupBy("part", "row").agg(*means).toArrow()  # one for each row of the model
+    out = model.copy()
+    part, row, seen = (rows.column(c).to_numpy() for c in ("part", "row", "seen"))
+    values = np.stack([rows.column(f"v{k}").to_numpy() for k in range(WIDTH)], axis=1)
+    for table, t in enumerate(out.tables):
+        t[row[part == table]] = values[part == table]
+        out.seen[table][row[part == table]] = seen[part == table]
+    return out
+
+
+def _score(model):
     names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = LogBilinear.from_flat(parameters.value)
+        m = model.value
         for batch in batches:
-            context, target, offsets = _contexts(batch)
+            context, target, offsets = _contexts(batch, m.leaves.size)
             logs = np.empty(len(target), np.float64)
-            for low in range(0, len(target), MINIBATCH):
-                logs[low : low + MINIBATCH] = model.log10(context[low : low + MINIBATCH], target[low : low + MINIBATCH])
-            score = np.add.reduceat(logs, offsets[:-1]) + batch.column("class_score").to_numpy()
+            for low in range(0, len(target), 4 * INNER_BATCH):
+                part = slice(low, low + 4 * INNER_BATCH)
+                logs[part] = m.log10(context[part], target[part])
+            score = np.add.reduceat(logs, offsets[:-1]) + batch.column("group_score").to_numpy()
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names[:-1]], pa.array(score)], names=names)
 
     return run
 
 
+def _placed(vocabulary: DataFrame, n_words: int) -> tuple[Leaves, DataFrame]:
+    """(leaves, vocabulary with each word's leaf)."""
+    spark = vocabulary.sparkSession
+    classes, groups, n_own = Leaves.sides(n_words)
+    seen = vocabulary.where("count > 0")
+    top = seen.orderBy(F.desc("count"), "key").limit(WORDS + n_own).select("key", "class").toArrow()  # by V ** (2/3), as the model
+    key, kind = top.column("key").to_numpy(), top.column("class").to_numpy()[WORDS:] % classes
+    leaves = Leaves(classes, groups, np.bincount(kind, minlength=classes))
+    leaf = np.arange(len(key), dtype=np.int32)
+    leaf[WORDS:][np.argsort(kind, kind="stable")] = WORDS + classes * groups + np.arange(len(kind))
+    own = spark.createDataFrame(pa.table([pa.array(key), pa.array(leaf)], names=["key", "own"]))
+    group = F.lit(WORDS) + (F.col("class") % classes) * groups + F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int")
+    return leaves, vocabulary.join(own, "key", "left").select("key", "count", F.coalesce("own", group).alias("leaf"))
+
+
 def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", held_out: F.Column | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
@@ -298,40 +466,35 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     bound_batches(spark)
+    share_out = spark.sparkContext.broadcast
     name = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
     held = F.coalesce(held_out if held_out is not None else F.crc32(name.cast("binary")) % 5 == 1, F.lit(False))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), held.alias("held_out"), F.col(f"`{text_col}`").cast("string").alias("text"))
     encoded = saved(rows.mapInArrow(_encode, ENCODED), "lm-encoded", compression="zstd")
 
-    # counts of each word over all shards, next to each shard's code of it
-    words = encoded.where("kind = 1").select("shard", "code", "key", "class", "n")
-    same = Window.partitionBy("key")
-    counted = words.withColumns({"count": F.sum("n").over(same.orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), "row": F.row_number().over(same.orderBy("shard"))})
-    counted = saved(counted.select("shard", "code", "key", "class", "count", (F.col("row") == 1).alias("once")), "lm-counts", compression="zstd")
-    seen = counted.where("once and count > 0")
-    classes = seen.groupBy("class").agg(F.sum("count").alias("n"), F.count("*").alias("v")).collect()  # CLASSES rows at most
-    frequent = seen.orderBy(F.desc("count"), "key").limit(WORDS).collect()
-    rest = {r["class"]: [r["n"], r["v"]] for r in classes}
-    n_tokens, n_words = sum(n for n, _ in rest.values()), sum(v for _, v in rest.values())
-    for r in frequent:
-        rest[r["class"]][0] -= r["count"]
-        rest[r["class"]][1] -= 1
-    top = {r["key"]: k for k, r in enumerate(frequent)}
-    share = np.array([*[r["count"] for r in frequent], *[0] * (WORDS - len(frequent)), *[rest.get(k, (0, 0))[0] for k in range(CLASSES)]], np.float64)
-    share = (share + 0.5) / (share + 0.5).sum()
-
-    to_symbols = _symbols(top, {k: tuple(v) for k, v in rest.items()}, n_tokens, n_words)
-    schema = "doc_id long, held_out boolean, part int, symbols binary, n_tokens long, n_known long, base_score double, class_score double"
-    by_shard = counted.select("shard", "code", "key", "class", "count").groupBy("shard")
-    sequences = by_shard.cogroup(encoded.where("kind = 0").select("shard", "doc_id", "held_out", "codes").groupBy("shard")).applyInArrow(to_symbols, schema)
-    sequences = saved(sequences, "lm-symbols", compression="zstd")
-
-    flat = LogBilinear.unigram(share).flat()
-    for round_ in ("part = 0", "part <> 0"):
-        trained = sequences.where(f"not held_out and {round_}").select("symbols").mapInArrow(_train(spark.sparkContext.broadcast(flat), share), "at int, value double, weight double")
-        mean = trained.groupBy("at").agg((F.sum("value") / F.sum("weight")).alias("value")).collect()  # one row for each parameter
-        if mean:
-            flat = flat.copy()
-            flat[[r["at"] for r in mean]] = [r["value"] for r in mean]
-    scored = sequences.mapInArrow(_score(spark.sparkContext.broadcast(flat)), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    words = encoded.where("kind = 1")
+    vocabulary = saved(words.groupBy("key").agg(F.sum("n").alias("count"), F.min("class").alias("class")), "lm-vocabulary", compression="zstd")
+    size = vocabulary.where("count > 0").agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
+    n_tokens, n_words = size["n"] or 0, size["v"]
+    leaves, placed = _placed(vocabulary, n_words)
+    found = placed.where("count > 0").groupBy("leaf").agg(F.sum("count").alias("n"), F.count("*").alias("v")).toArrow()  # a row a leaf
+    totals = np.zeros((2, leaves.size))
+    totals[:, found.column("leaf").to_numpy()] = found.column("n").to_numpy(), found.column("v").to_numpy()
+
+    schema = "doc_id long, held_out boolean, part int, leaves binary, n_tokens long, n_known long, base_score double, group_score double"
+    counted = words.select(F.col("shard").alias("of_shard"), "code", "key").join(placed, "key").select("of_shard", "code", "count", "leaf").groupBy("of_shard")
+    coded = encoded.where("kind = 0").select("shard", "doc_id", "held_out", "codes").groupBy("shard")
+    sequences = saved(counted.cogroup(coded).applyInArrow(_sequences(leaves, share_out(totals), n_tokens, n_words), schema), "lm-leaves", compression="zstd")
+
+    share = np.bincount(leaves.symbol, weights=totals[0], minlength=leaves.symbols) + 0.5
+    in_class = np.empty(leaves.size - WORDS)
+    in_class[leaves.row[WORDS:]] = totals[0, WORDS:] + 0.5
+    in_class /= np.repeat(np.add.reduceat(in_class, leaves.edges[:-1]), np.diff(leaves.edges))
+    share /= share.sum()
+    model, noise = LogBilinear.unigram(leaves, share, in_class), share_out((share, in_class))
+    tasks = max(spark.sparkContext.defaultParallelism, n_tokens // TASK_TOKENS)
+    for low, high in zip((0, *ROUNDS), ROUNDS):
+        part = sequences.where(f"not held_out and part >= {low} and part < {high}").select("leaves").coalesce(tasks)
+        model = _averaged(model, part.mapInArrow(_train(share_out(model), noise), MOVED))
+    scored = sequences.mapInArrow(_score(share_out(model)), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.withColumn("train_tokens", F.lit(n_tokens).cast("long"))

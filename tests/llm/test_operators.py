@@ -409,24 +409,92 @@ def test_counts_and_base_scores_equal_brute_force(spark, rng):
     assert all(math.isfinite(r.score) and r.score < 0 for r in scored)
 
 
-def test_symbol_probabilities_are_normalised_and_learnt():
+def small_language_model(rng):
     import numpy as np
 
-    model = lm_scoring.LogBilinear.unigram(np.full(lm_scoring.SYMBOLS, 1 / lm_scoring.SYMBOLS))
-    context = np.random.default_rng(0).integers(0, lm_scoring.SYMBOLS, (1, lm_scoring.CONTEXT)).repeat(lm_scoring.SYMBOLS, axis=0)
-    assert abs((10.0 ** model.log10(context, np.arange(lm_scoring.SYMBOLS)).astype(float)).sum() - 1) < 1e-4
-    # a cycle of symbols: after training the next one is likelier than before
-    sequence = np.arange(20_000) % 7
+    leaves = lm_scoring.Leaves(5, 3, np.array([2, 0, 1, 4, 0]))
+    share = rng.random(leaves.symbols) + 0.1
+    inner = rng.random(leaves.size - lm_scoring.WORDS) + 0.1
+    inner /= np.repeat(np.add.reduceat(inner, leaves.edges[:-1]), np.diff(leaves.edges))
+    return leaves, share / share.sum(), inner
+
+
+def test_leaf_probabilities_equal_brute_force_and_are_normalised():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    leaves, share, inner = small_language_model(rng)
+    assert sorted(leaves.row[lm_scoring.WORDS :]) == list(range(leaves.size - lm_scoring.WORDS))
+    for scale in (1, 60):  # the second has logits whose exponentials need moving
+        model = lm_scoring.LogBilinear.unigram(leaves, share, inner)
+        for t in model.tables:
+            t *= scale
+        for _ in range(3):
+            before = rng.integers(0, leaves.size + 1, lm_scoring.CONTEXT)
+            found = model.log10(before[None].repeat(leaves.size, axis=0), np.arange(leaves.size)).astype(float)
+            assert abs((10.0**found).sum() - 1) < 1e-3
+            q = [sum(float(model.inputs[w, k]) * float(model.places[j, k]) for j, w in enumerate(before)) for k in range(lm_scoring.WIDTH - 1)] + [1.0]
+            dot = lambda out: sum(x * float(y) for x, y in zip(q, out))
+            top = [dot(out) for out in model.outputs]
+            log = lambda chosen, of: (chosen - max(of) - math.log(sum(math.exp(x - max(of)) for x in of))) / math.log(10)
+            for leaf in range(0, leaves.size, 7):
+                want = log(top[leaves.symbol[leaf]], top)
+                if leaf >= lm_scoring.WORDS:
+                    same = [k for k in range(lm_scoring.WORDS, leaves.size) if leaves.symbol[k] == leaves.symbol[leaf]]
+                    want += log(dot(model.inner[leaves.row[leaf]]), [dot(model.inner[leaves.row[k]]) for k in same])
+                assert abs(found[leaf] - want) < 1e-3 * max(1, abs(want))
+
+
+def test_language_model_learns_symbols_and_leaves_of_a_class():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    leaves, share, inner = small_language_model(rng)
+    inside = np.flatnonzero(leaves.symbol == lm_scoring.WORDS + 3)
+    cycle = np.array([0, inside[0], 1, inside[1], 2, inside[2], 3])  # what follows is in a symbol or inside one class
+    sequence = np.tile(cycle, 3000)
     around = np.stack([np.roll(sequence, j + 1) for j in range(lm_scoring.CONTEXT)], axis=1)
-    noise = np.full(lm_scoring.SYMBOLS, 1e-4)
-    noise[:7] = 1 / 7
-    noise /= noise.sum()
-    trainer = lm_scoring.Trainer(lm_scoring.LogBilinear.unigram(noise), noise, 0)
-    before = trainer.m.log10(around, sequence).mean()
+    trainer = lm_scoring.Trainer(lm_scoring.LogBilinear.unigram(leaves, share, inner), share, inner, 0)
+    untrained = trainer.m.copy()
     for _ in range(20):
         for low in range(0, len(sequence), 1000):
             trainer.step(around[low : low + 1000], sequence[low : low + 1000])
-    assert trainer.m.log10(around, sequence).mean() > before + 0.3
+            trainer.inner_step(around[low : low + 1000], sequence[low : low + 1000])
+    gain = trainer.m.log10(around, sequence) - untrained.log10(around, sequence)
+    assert gain.mean() > 0.3 and gain[np.isin(sequence, inside)].mean() > 0.3
+    inner_only = lm_scoring.LogBilinear(leaves, [*trainer.m.tables[:3], untrained.tables[3]])
+    assert (trainer.m.log10(around, sequence) - inner_only.log10(around, sequence)).sum() > 0
+    assert trainer.moved[trainer.OUTPUTS].min() == 20 * len(sequence) and trainer.moved[trainer.INPUTS].sum() == 3 * 20 * len(sequence)
+
+
+def test_rows_are_summed_by_index():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for top in (9, 1 << 15, 1 << 20):
+        index, values = rng.integers(0, top, 500).astype(np.int32), rng.random((500, 4)).astype(np.float32)
+        rows, sums, n = lm_scoring._sum_rows(index, values)
+        assert list(rows) == sorted(set(index.tolist())) and n.sum() == 500
+        for row, total, size in zip(rows, sums, n):
+            assert np.allclose(total, values[index == row].sum(axis=0), atol=1e-5) and size == (index == row).sum()
+
+
+def test_vocabulary_grows_and_every_word_has_one_leaf(spark):
+    sides = [lm_scoring.Leaves.sides(v) for v in (0, 10**4, 10**6, 10**8)]
+    assert sides[0] == (lm_scoring.MIN_CLASSES, lm_scoring.MIN_GROUPS, 0) and [s[2] for s in sides] == sorted({s[2] for s in sides})
+    rows = [(k * 7919, k % 5, 1 + k % 97) for k in range(4000)] + [(-k, 1, 0) for k in range(1, 50)]
+    vocabulary = spark.createDataFrame([(k, n, c * 31 + k % 1000) for k, c, n in rows], "key long, count long, class int")
+    leaves, placed = lm_scoring._placed(vocabulary, 4000)
+    found = {r["key"]: r["leaf"] for r in placed.collect()}
+    count, kind = {k: n for k, _, n in rows}, {k: c * 31 + k % 1000 for k, c, _ in rows}
+    order = sorted((k for k in count if count[k]), key=lambda k: (-count[k], k))
+    own = lm_scoring.Leaves.sides(4000)[2]
+    assert len(found) == len(rows) and [found[k] for k in order[: lm_scoring.WORDS]] == list(range(lm_scoring.WORDS))
+    mine = [found[k] for k in order[lm_scoring.WORDS : lm_scoring.WORDS + own]]
+    assert len(set(mine)) == own and not any(leaves.shared[k] for k in mine)
+    for k in set(count) - set(order[: lm_scoring.WORDS]):
+        assert leaves.symbol[found[k]] == lm_scoring.WORDS + kind[k] % leaves.classes
+    assert all(leaves.shared[found[k]] for k in set(count) - set(order[: lm_scoring.WORDS + own]))
 
 
 def test_language_model_on_empty_tables(spark):
