@@ -59,7 +59,7 @@ INNER_NOISE = 16
 MINIBATCH = 4096
 INNER_BATCH = 32768
 SCORE_BATCH = 1024
-RATE = 0.2
+RATE = 0.1
 #: Documents are dealt over so many parts; a round trains on the parts below its limit that no round had before.
 PARTS = 8
 ROUNDS = (1, 3, 8)
@@ -388,12 +388,13 @@ def _contexts(batch: pa.RecordBatch, start: int) -> tuple[np.ndarray, np.ndarray
 MOVED = f"part int, row int, moved long, seen float, {', '.join(f'v{k} float' for k in range(WIDTH))}"
 
 
-def _train(model, noise):
+def _train(model, noise, round_: int):
     """mapInArrow: trains over a task's sequences and gives each row that has moved."""
     names = [c.split()[0] for c in MOVED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(model.value.copy(), *noise.value, TaskContext.get().partitionId())
+        # every round and task draws its own noise: the same draws again would teach the few drawn words alone
+        trainer = Trainer(model.value.copy(), *noise.value, round_ << 32 | TaskContext.get().partitionId())
         start = trainer.m.leaves.size
         for batch in batches:
             context, target, _ = _contexts(batch, start)
@@ -495,6 +496,6 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     tasks = max(spark.sparkContext.defaultParallelism, n_tokens // TASK_TOKENS)
     for low, high in zip((0, *ROUNDS), ROUNDS):
         part = sequences.where(f"not held_out and part >= {low} and part < {high}").select("leaves").coalesce(tasks)
-        model = _averaged(model, part.mapInArrow(_train(share_out(model), noise), MOVED))
+        model = _averaged(model, part.mapInArrow(_train(share_out(model), noise, low), MOVED))
     scored = sequences.mapInArrow(_score(share_out(model)), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.withColumn("train_tokens", F.lit(n_tokens).cast("long"))

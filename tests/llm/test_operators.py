@@ -497,6 +497,13 @@ def test_vocabulary_grows_and_every_word_has_one_leaf(spark):
     assert all(leaves.shared[found[k]] for k in set(count) - set(order[: lm_scoring.WORDS + own]))
 
 
+def test_language_model_beats_its_unigram_on_held_out_rows_over_all_rounds(spark):
+    words = [f"w{k}" for k in range(300)]
+    rows = [(k, " ".join(words[(k * 37 + 11 * j) % 300] for j in range(400)), "en", "s0") for k in range(200)]  # each word settles the next
+    scored = [r for r in lm_scoring.score_documents(spark.createDataFrame(rows, DOCS)).collect() if r.held_out]
+    assert scored and sum(r.score for r in scored) > sum(r.base_score for r in scored) * 0.95
+
+
 def test_language_model_on_empty_tables(spark):
     assert lm_scoring.score_documents(spark.createDataFrame([], DOCS)).count() == 0
     row, = lm_scoring.score_documents(spark.createDataFrame([(1, None, None, None)], DOCS), held_out=F.lit(True)).collect()
