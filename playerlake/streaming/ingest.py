@@ -24,7 +24,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,7 +104,8 @@ def append_batch(batch: DataFrame, batch_id: int, folder: str, stream: str, sche
         return before
     version = uuid.uuid4().hex
     path = f"{folder}/versions/{version}"
-    batch.withColumn(BROKEN, F.col(RAW_RECORD).isNotNull()).write.format(fmt).partitionBy(BROKEN).save(path)
+    with _one_writer_a_part(spark):
+        batch.withColumn(BROKEN, F.col(RAW_RECORD).isNotNull()).write.format(fmt).partitionBy(BROKEN).save(path)
     there = {name for name, _ in commits.children(spark, path)}
     parts = [f"{BROKEN}={flag}" if f"{BROKEN}={flag}" in there else None for flag in ("false", "true")]
     rows, quarantined = [spark.read.format(fmt).schema(batch.schema).load(f"{path}/{part}").count() if part else 0 for part in parts]
@@ -125,6 +127,21 @@ def append_batch(batch: DataFrame, batch_id: int, folder: str, stream: str, sche
     return after
 
 
+@contextmanager
+def _one_writer_a_part(spark: SparkSession) -> Iterator[None]:
+    """A task's rows go straight to its writers: one of whole records, one of broken ones.
+
+    Spark else sorts all rows of a task by the part first, and holds them for that.
+    """
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "2")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def _empty(schema: StructType, raw: StructType, fmt: str) -> State:
     return State(fmt, schema.json(), info={"quarantine": raw.jsonValue()})
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
+import subprocess
+import sys
 import uuid
 
 from playerlake.session import local_path
@@ -121,6 +124,31 @@ def test_csv_lines_of_other_lengths_go_to_the_quarantine(spark, scratch):
     assert sorted(r[RAW_RECORD] for r in read_quarantine(spark, target).collect()) == ["P2,US", "P3,US,30,2025-01-01,1,more,still"]
 
 
+def test_a_batch_is_written_without_a_sort(tmp_path):
+    """A task holds none of its rows, as its execution memory tells, though broken and whole records alternate in it."""
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "log").mkdir()
+    lines = "".join(f"P{i},US,30,2025-01-01,1\nP{i},US\n" for i in range(2000))
+    (tmp_path / "raw" / "a.csv").write_text("plid,country,age,acc_creat_date,gender\n" + lines)
+    code = (
+        "import sys\n"
+        "from playerlake.session import build_session\n"
+        "from playerlake.sources.tables import read_quarantine, read_table\n"
+        "from playerlake.streaming.ingest import ingest_source\n"
+        "at = sys.argv[1]\n"
+        "spark = build_session('local[2]', shuffle_partitions=2, extra={'spark.eventLog.enabled': 'true', 'spark.eventLog.dir': 'file://' + at + '/log', 'spark.eventLog.compress': 'false', 'spark.eventLog.rolling.enabled': 'false'})\n"
+        "got = ingest_source(spark, 'player_profiles', at + '/raw', at + '/bronze', at + '/ckpt')\n"
+        "print('GOT', got.rows, got.quarantined, read_table(spark, at + '/bronze').where(\"country = 'US' and gender = '1'\").count(), read_quarantine(spark, at + '/bronze').where('_corrupt_record is not null').count())\n"
+        "spark.stop()\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code, str(tmp_path)], capture_output=True, text=True, timeout=300, cwd=root)
+    assert "GOT 2000 2000 2000 2000" in out.stdout, out.stderr
+    ends = [json.loads(line) for log in (tmp_path / "log").iterdir() for line in log.read_text().splitlines() if '"SparkListenerTaskEnd"' in line]
+    written = [e["Task Metrics"] for e in ends if e["Task Metrics"]["Output Metrics"]["Records Written"] == 4000]
+    assert len(written) == 1 and written[0]["Peak Execution Memory"] == 0
+
+
 def test_a_replayed_batch_adds_nothing(spark, scratch):
     """The stream's own commit is lost, as if the job died between the table's commit and the checkpoint's."""
     landing, target, ckpt = f"{scratch}/raw", f"{scratch}/bronze_players", f"{scratch}/_ckpt"
